@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from bodega.operators.joins import q
 
-BUCKETS = 1024
+# Primes, so that ids in regular steps still spread evenly.
+BUCKETS = 1_021
+FACT_BUCKETS = 16_381
 
 
 def number_rows(
@@ -17,7 +20,6 @@ def number_rows(
     key: str,
     order: Sequence[str],
     start: int = 0,
-    bucket: Column | None = None,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Add `key` = start+1 .. start+n.
@@ -26,10 +28,12 @@ def number_rows(
     buckets of their ordering columns instead, and each bucket starts where the sizes of the lower
     buckets end. Only the bucket sizes (at most `buckets` rows) pass through one task. `order` must
     identify a row; the result depends on the rows and `buckets`, not on the layout of the cluster.
+    The bucket of a single integer column is that number modulo `buckets`, else a hash.
     """
     columns = [q(c) for c in order]
-    spread = F.pmod(F.xxhash64(*columns), F.lit(buckets)) if bucket is None else bucket
-    rows = df.withColumn("_bucket", spread.cast("int"))
+    plain = len(order) == 1 and isinstance(df.schema[order[0]].dataType, IntegralType)
+    spread = F.pmod(columns[0] if plain else F.xxhash64(*columns), F.lit(buckets))
+    rows = df.withColumn("_bucket", F.coalesce(spread, F.lit(0)).cast("int"))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("_bucket")

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bodega.functions.dates import moment, open_end
@@ -35,9 +35,9 @@ def _versioned(rows: DataFrame, run_ts: datetime | str) -> DataFrame:
 
 
 def first_versions(staging: DataFrame, key: str, business: Sequence[str], run_ts: datetime | str,
-                   buckets: int = BUCKETS, bucket: Column | None = None) -> DataFrame:
+                   buckets: int = BUCKETS) -> DataFrame:
     """A new dimension: every staging row is an open version."""
-    return number_rows(_versioned(staging, run_ts), key, business, 0, bucket, buckets)
+    return number_rows(_versioned(staging, run_ts), key, business, 0, buckets)
 
 
 def changes(dim: DataFrame, staging: DataFrame, business: Sequence[str], tracked: Mapping[str, object],
@@ -74,7 +74,6 @@ def merge_versions(
     null_safe: bool = False,
     start: int | None = None,
     buckets: int = BUCKETS,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """The whole dimension after a type 2 merge: untouched rows, closed versions, new versions.
 
@@ -95,7 +94,7 @@ def merge_versions(
         .select(*[q(c) for c in dim.columns])
     )
     first = next_start(dim, key) if start is None else start
-    added = number_rows(_versioned(pending.drop("_changed"), run_ts), key, business, first, bucket, buckets)
+    added = number_rows(_versioned(pending.drop("_changed"), run_ts), key, business, first, buckets)
     return kept.unionByName(added.select(*[q(c) for c in dim.columns]))
 
 
@@ -108,7 +107,6 @@ def missing_members(
     against_open: bool = True,
     start: int | None = None,
     buckets: int = BUCKETS,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """Rows to append to an insert-only dimension: keys without an open version, or (with
     `against_open=False`) without any row. Nothing is ever closed."""
@@ -116,4 +114,4 @@ def missing_members(
     fresh = staging.join(known.select(*[q(b) for b in business]), list(business), "left_anti")
     first = next_start(dim, key) if start is None else start
     stamped = _versioned(fresh, run_ts)
-    return number_rows(stamped, key, business, first, bucket, buckets).select(*[q(c) for c in dim.columns])
+    return number_rows(stamped, key, business, first, buckets).select(*[q(c) for c in dim.columns])

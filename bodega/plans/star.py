@@ -14,7 +14,7 @@ from bodega.functions.dates import date_key
 from bodega.operators.control import ControlTables, LayerResult, run_layer
 from bodega.operators.incremental import IdRange, high_water, newer, newer_in_ranges, range_high_water
 from bodega.operators.joins import q, resolve
-from bodega.operators.keys import number_rows
+from bodega.operators.keys import FACT_BUCKETS, number_rows
 from bodega.operators.scd import (
     LINEAGE, VALID_FROM, VALID_TO, first_versions, merge_versions, missing_members, newest, open_versions,
 )
@@ -151,7 +151,7 @@ def load_fact(f: FactLoad, silver: Reader, gold: Store, run_ts: datetime, keys:
     if keys:
         start = (high_water(fact, f.key) or 0) if fact is not None else 0
         order = list(f.order) or [f.ident]
-        numbered = number_rows(rows, f.key, order, start)
+        numbered = number_rows(rows, f.key, order, start, FACT_BUCKETS)
         rows = numbered.select(q(f.key), *[q(c) for c in rows.columns])
     return gold.replace(f.target, rows) if f.by == "all" else gold.append(f.target, rows)
 
