@@ -1,6 +1,6 @@
 """Every registered query, by name."""
 
-from bodega.queries import relational  # noqa: F401
+from bodega.queries import flows, relational, warehouse  # noqa: F401
 from bodega.queries.base import REGISTRY, Tables
 
 __all__ = ["REGISTRY", "Tables"]
