@@ -1,6 +1,6 @@
 """Every registered query, by name."""
 
-from bodega.queries import flows, quality, relational, warehouse  # noqa: F401
+from bodega.queries import flows, lineage, quality, relational, risk, warehouse  # noqa: F401
 from bodega.queries.base import REGISTRY, Tables
 
 __all__ = ["REGISTRY", "Tables"]
