@@ -23,17 +23,26 @@ DATE_SHAPE = r"^\s*([0-9]{4}|[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?)\s*$"
 COMPACT_DATE_SHAPE = r"^\s*[0-9]{8}\s*$"
 
 
+# The tests below look at length or first character before they match a pattern: a pattern match decodes
+# the whole text, which is dear for long texts that cannot match anyway.
+
+
+def _may_start_number(v: Column) -> Column:
+    first = F.ascii(F.ltrim(v))
+    return first.between(48, 57) | first.isin(43, 45, 46) | first.between(9, 13)
+
+
 def looks_numeric(c: Column | str) -> Column:
     """A plain decimal number that fits decimal(18,4); exponents are not accepted."""
     v = as_col(c)
-    return v.rlike(NUMBER_SHAPE) & F.trim(v).try_cast("decimal(18,4)").isNotNull()
+    return _may_start_number(v) & v.rlike(NUMBER_SHAPE) & F.trim(v).try_cast("decimal(18,4)").isNotNull()
 
 
 def text_to_date(c: Column | str) -> Column:
     v = F.trim(as_col(c))
-    return F.when(v.rlike(DATE_SHAPE), v.try_cast("date")).when(
-        v.rlike(COMPACT_DATE_SHAPE),
-        F.concat_ws("-", F.substring(v, 1, 4), F.substring(v, 5, 2), F.substring(v, 7, 2)).try_cast("date"),
+    compact = F.concat_ws("-", F.substring(v, 1, 4), F.substring(v, 5, 2), F.substring(v, 7, 2))
+    return F.when(~_may_start_number(v), F.lit(None)).when(v.rlike(DATE_SHAPE), v.try_cast("date")).when(
+        v.rlike(COMPACT_DATE_SHAPE), compact.try_cast("date")
     )
 
 
@@ -47,12 +56,14 @@ def looks_email(c: Column | str) -> Column:
 
 
 def looks_dni(c: Column | str) -> Column:
-    return as_col(c).rlike(r"^[0-9]{8}[A-Za-z]\z")
+    v = as_col(c)
+    return (F.length(v) == 9) & v.rlike(r"^[0-9]{8}[A-Za-z]\z")
 
 
 def strict_dni(c: Column | str) -> Column:
     """Upper-case shape after trimming: the base of the conformity share."""
-    return F.trim(as_col(c)).rlike(r"^[0-9]{8}[A-Z]\z")
+    v = F.trim(as_col(c))
+    return (F.length(v) == 9) & v.rlike(r"^[0-9]{8}[A-Z]\z")
 
 
 def valid_dni(c: Column | str) -> Column:
@@ -63,11 +74,13 @@ def valid_dni(c: Column | str) -> Column:
 
 
 def looks_postal_code(c: Column | str) -> Column:
-    return as_col(c).rlike(r"^[0-5][0-9]{4}\z")
+    v = as_col(c)
+    return (F.length(v) == 5) & v.rlike(r"^[0-5][0-9]{4}\z")
 
 
 def looks_phone(c: Column | str) -> Column:
-    return as_col(c).rlike(r"^[6-9][0-9]{8}\z")
+    v = as_col(c)
+    return (F.length(v) == 9) & v.rlike(r"^[6-9][0-9]{8}\z")
 
 
 def looks_iban(c: Column | str) -> Column:
@@ -81,7 +94,7 @@ def valid_iban(c: Column | str) -> Column:
     digits = F.concat(F.substring(v, 5, 20), F.lit(IBAN_COUNTRY_DIGITS), F.substring(v, 3, 2))
     remainder = digits.try_cast("decimal(26,0)") % F.lit(97).cast("decimal(26,0)")
     return F.when(v.isNull(), F.lit(None)).otherwise(
-        v.rlike(r"^ES[0-9]{22}\z") & F.coalesce(remainder == 1, F.lit(False))
+        (F.length(v) == 24) & v.rlike(r"^ES[0-9]{22}\z") & F.coalesce(remainder == 1, F.lit(False))
     )
 
 
@@ -92,4 +105,5 @@ def iban_check_digits(account: Column | str) -> Column:
 
 
 def yes_no_among(c: Column | str, texts: tuple[str, ...]) -> Column:
-    return F.upper(F.trim(as_col(c))).isin(*texts)
+    v = F.trim(as_col(c))
+    return (F.length(v) <= max(map(len, texts))) & F.upper(v).isin(*texts)

@@ -1,8 +1,9 @@
 """Column profile: counts, scores, value patterns and the inferred logical type, one row per column.
 
-A table is read once. Its cells are unpivoted to (column, value) and counted per distinct value, so a
-repeated value is collapsed before the shuffle and a hot value never travels more than once per map
-task. Patterns are then tested once per distinct value and weighted by its count.
+Columns of one storage type are unpivoted together to (column, value) in their own type and counted
+per distinct value, so a repeated value is collapsed before the shuffle and a hot value never travels
+more than once per map task. Patterns are then tested once per distinct value and weighted by its
+count. Every column is read once: there is one scan per storage type, pruned to its columns.
 """
 
 from __future__ import annotations
@@ -54,98 +55,106 @@ def value_class(field: T.StructField) -> str:
     return "text"
 
 
-def cell_text(field: T.StructField) -> Column:
-    """A text that is equal exactly when the typed values are equal."""
-    c = F.col(f"`{field.name}`")
+def storage(field: T.StructField) -> str:
+    """The type a column is counted in; columns of one storage type share a scan."""
+    kind = field.dataType
     if value_class(field) == "none":
-        return F.lit(None).cast("string")
-    if isinstance(field.dataType, T.BooleanType):
-        return c.cast("int").cast("string")
-    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        whole = (c == F.floor(c)) & (F.abs(c) < 1e15)  # 1.0 reads "1"; -0.0 and 0.0 are one value
-        return F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string"))
-    return c.cast("string")
-
-
-TESTS: dict[str, Callable[[Column], Column]] = {
-    "number_text": ident.looks_numeric,
-    "number_typed": lambda v: v.try_cast("decimal(18,4)").isNotNull(),
-    "day_text": lambda v: ident.in_calendar(ident.text_to_date(v)),
-    "day_typed": lambda v: ident.in_calendar(v.try_cast("date")),
-    "bit": lambda v: F.trim(v).isin("0", "1"),
-    "yes_no": lambda v: ident.yes_no_among(v, ident.YES_NO_TEXTS),
-    "yes_no_bit": lambda v: ident.yes_no_among(v, ident.YES_NO_TEXTS_AND_BITS),
-    "no_category": lambda v: ident.yes_no_among(v, ident.NOT_A_CATEGORY),
-    "email": ident.looks_email,
-    "dni": ident.looks_dni,
-    "dni_strict": ident.strict_dni,
-    "dni_valid": ident.valid_dni,
-    "cp": ident.looks_postal_code,
-    "telefono": ident.looks_phone,
-    "iban": ident.looks_iban,
-    "iban_valid": lambda v: ident.looks_iban(v) & ident.valid_iban(v),
-}
-BY_CLASS = {
-    "number": ("number_typed", "bit"),
-    "day": ("day_typed",),
-    "text": tuple(t for t in TESTS if t not in ("number_typed", "day_typed", "bit")),
-}
-BIT = {name: 1 << i for i, name in enumerate(TESTS)}
-
-
-def _flags(value: Column, kind: Column) -> Column:
-    """All tests of the value's class as one integer."""
-    out = F.lit(0)
-    for name in ("number", "day", "text"):
-        bits = [F.when(TESTS[t](value), F.lit(BIT[t])).otherwise(F.lit(0)) for t in BY_CLASS[name]]
-        out = F.when(kind == F.lit(name), reduce(lambda a, b: a.bitwiseOR(b), bits)).otherwise(out)
-    return out
-
-
-def _percent(part: Column, whole: Column) -> Column:
-    big = "decimal(20,0)"
-    return (F.lit(100).cast(big) * part.cast(big) / F.nullif(whole, F.lit(0)).cast(big)).cast("decimal(5,2)")
+        return "none"
+    if isinstance(kind, (T.BooleanType, T.IntegralType)):
+        return "bigint"
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return "double"
+    if isinstance(kind, T.DecimalType):
+        return f"decimal({18 if kind.precision <= 18 else 38},{kind.scale})"
+    if value_class(field) == "day":
+        return kind.simpleString()
+    return "string"
+
+
+def tests_of(kind: str) -> dict[str, Column]:
+    """The pattern tests of a storage type over the column _value."""
+    v = F.col("_value")
+    if kind == "none":
+        return {}
+    if kind == "string":
+        return {
+            "number": ident.looks_numeric(v),
+            "day": ident.in_calendar(ident.text_to_date(v)),
+            "yes_no": ident.yes_no_among(v, ident.YES_NO_TEXTS),
+            "yes_no_bit": ident.yes_no_among(v, ident.YES_NO_TEXTS_AND_BITS),
+            "no_category": ident.yes_no_among(v, ident.NOT_A_CATEGORY),
+            "email": ident.looks_email(v),
+            "dni": ident.looks_dni(v),
+            "dni_strict": ident.strict_dni(v),
+            "dni_valid": ident.valid_dni(v),
+            "cp": ident.looks_postal_code(v),
+            "telefono": ident.looks_phone(v),
+            "iban": ident.looks_iban(v),
+            "iban_valid": ident.looks_iban(v) & ident.valid_iban(v),
+        }
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return {"day": ident.in_calendar(v.cast("date"))}
+    # A decimal with places never reads "0" or "1".
+    bit = F.lit(False) if kind.startswith("decimal") and not kind.endswith(",0)") else v.isin(0, 1)
+    return {"number": v.try_cast("decimal(18,4)").isNotNull(), "bit": bit}
+
+
+TESTS = ("number", "day", "bit", "yes_no", "yes_no_bit", "no_category", "email", "dni", "dni_strict", "dni_valid",
+         "cp", "telefono", "iban", "iban_valid")
+
+
+def _flags(tests: Mapping[str, Column]) -> Column:
+    """All tests of a value as one integer, so that it is tested once and summed many times."""
+    bits = [F.when(test, 1 << TESTS.index(name)).otherwise(0) for name, test in tests.items()]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def value_counts(df: DataFrame, kind: str) -> DataFrame:
+    """(column position, value, count, flags) of the columns stored as `kind`, a row per distinct value."""
+    columns = {str(i): f for i, f in enumerate(df.schema.fields) if storage(f) == kind}
+    cells = df.select(*[F.col(f"`{f.name}`").cast("int").cast(kind).alias(p) if isinstance(f.dataType, T.BooleanType)
+                        else F.col(f"`{f.name}`").cast(kind).alias(p) for p, f in columns.items()])
+    cells = cells.unpivot([], list(columns), "_position", "_value")
+    flags = _flags(tests_of(kind))
+    if kind == "string":
+        value, long = F.col("_value"), F.length("_value") > SHORT
+        cells = cells.select("_position", F.when(long, F.sha2(value, 256)).otherwise(value).alias("_value"), F.when(long, flags).alias("_early"))
+        flags = F.coalesce(F.col("_early"), flags)
+    counted = cells.groupBy(*cells.columns).agg(F.count(F.lit(1)).alias("_count"))
+    return counted.select("_position", "_value", "_count", flags.alias("_flags"))
+
+
+def _kind_counts(df: DataFrame, kind: str) -> DataFrame:
+    n, none = F.col("_count"), F.lit(None).cast("bigint")
+    if kind == "none":
+        positions = [F.lit(str(i)) for i, f in enumerate(df.schema.fields) if storage(f) == kind]
+        zero = F.lit(0).cast("bigint")
+        return df.agg(F.count(F.lit(1)).alias("filas")).select(
+            F.explode(F.array(*positions)).alias("_position"), "filas", zero.alias("_nulls"), zero.alias("_distinct"),
+            *[none.alias(f"_{t}") for t in TESTS])
+    tried = tests_of(kind)
 
+    def weighted(test: str) -> Column:
+        return F.sum(F.when(F.col("_flags").bitwiseAND(F.lit(1 << TESTS.index(test))) != 0, n)).alias(f"_{test}")
 
-def value_counts(df: DataFrame) -> DataFrame:
-    """(column position, value, flags, count) with one row per distinct value of each column."""
-    fields = df.schema.fields
-    cells = df.select(*[cell_text(f).alias(str(i)) for i, f in enumerate(fields)]).unpivot(
-        [], [str(i) for i in range(len(fields))], "_position", "_value"
-    )
-    kinds = {str(i): value_class(f) for i, f in enumerate(fields)}
-    kind = F.lit("none")
-    for name in BY_CLASS:
-        positions = [p for p, k in kinds.items() if k == name]
-        if positions:
-            kind = F.when(F.col("_position").isin(*positions), F.lit(name)).otherwise(kind)
-    value, long = F.col("_value"), F.length("_value") > SHORT
-    counted = (
-        cells.select(
-            "_position",
-            F.when(long, F.sha2(value, 256)).otherwise(value).alias("_value"),
-            F.when(long, _flags(value, kind)).alias("_early"),
-        )
-        .groupBy("_position", "_value", "_early")
-        .agg(F.count(F.lit(1)).alias("_count"))
+    counted = value_counts(df, kind).groupBy("_position").agg(
+        F.sum(n).alias("filas"),
+        F.coalesce(F.sum(F.when(F.col("_value").isNull(), n)), F.lit(0)).alias("_nulls"),
+        F.count("_value").alias("_distinct"),
+        *[weighted(t) for t in tried],
     )
-    return counted.withColumn("_flags", F.coalesce(F.col("_early"), _flags(value, kind)))
+    return counted.select("_position", "filas", "_nulls", "_distinct", *[F.col(f"_{t}") if t in tried else none.alias(f"_{t}") for t in TESTS])
 
 
 def column_counts(df: DataFrame) -> DataFrame:
     """Per column position: rows, NULLs, distinct values and the weighted count of every test."""
-    n = F.col("_count")
+    kinds = list(dict.fromkeys(storage(f) for f in df.schema.fields))
+    return reduce(DataFrame.unionByName, [_kind_counts(df, k) for k in kinds])
 
-    def weighted(test: str) -> Column:
-        hit = F.col("_flags").bitwiseAND(F.lit(BIT[test])) != 0
-        return F.sum(F.when(F.col("_value").isNotNull() & hit, n)).alias(f"_{test}")
 
-    return value_counts(df).groupBy("_position").agg(
-        F.sum(n).alias("filas"),
-        F.coalesce(F.sum(F.when(F.col("_value").isNull(), n)), F.lit(0)).alias("_nulls"),
-        F.count("_value").alias("_distinct"),
-        *[weighted(t) for t in TESTS],
-    )
+def _percent(part: Column, whole: Column) -> Column:
+    big = "decimal(20,0)"
+    return (F.lit(100).cast(big) * part.cast(big) / F.nullif(whole, F.lit(0)).cast(big)).cast("decimal(5,2)")
 
 
 def profile(df: DataFrame, name: TableName, run_date: date | str) -> DataFrame:
@@ -172,8 +181,8 @@ def profile(df: DataFrame, name: TableName, run_date: date | str) -> DataFrame:
 
     few = distinct.between(2, 3)
     hits = {
-        "numerico": F.when(number, F.col("_number_typed")).when(text, F.col("_number_text")),
-        "fecha": F.when(kind == "day", F.col("_day_typed")).when(text, F.col("_day_text")),
+        "numerico": F.when(number | text, F.col("_number")),
+        "fecha": F.when((kind == "day") | text, F.col("_day")),
         **{p: F.when(tried(p), F.col(f"_{p}")) for p in NEEDS_LENGTH},
     }
     yes_no = F.col("_yes_no_bit")

@@ -36,8 +36,10 @@ def table_seed(name: str) -> int:
 
 def sample_table(df: DataFrame, name: str, row_count: int) -> DataFrame:
     """Whole when small, else a seeded sample cut at the planned size (about 1.2 x MAX_ROWS rows at most
-    reach the cut, however large the table)."""
+    reach the cut, however large the table) and dealt out again to all cores."""
     plan = sample_plan(row_count)
     if plan.whole:
         return df
-    return df.sample(withReplacement=False, fraction=float(plan.percent) / 100, seed=table_seed(name)).limit(plan.rows)
+    return df.sample(withReplacement=False, fraction=float(plan.percent) / 100, seed=table_seed(name)).limit(plan.rows).repartition(
+        df.sparkSession.sparkContext.defaultParallelism
+    )

@@ -18,7 +18,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 class Tables:
-    """The given tables as attributes, read when asked for."""
+    """The given tables as attributes, opened once when asked for (opening reads a footer)."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -26,7 +26,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return table(self.spark, self.folder, name)
+        self.__dict__[name] = table(self.spark, self.folder, name)
+        return self.__dict__[name]
 
     def sql(self, text: str) -> DataFrame:
         """Text with {table} references."""

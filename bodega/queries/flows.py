@@ -6,6 +6,7 @@ Id offsets of merged sub-types are widened, so that ranges stay disjoint however
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import DataFrame
 
@@ -31,7 +32,7 @@ class Flow:
     """A domain's layers over one set of tables, evaluated lazily and built once per query."""
 
     def __init__(self, t: Tables, silver_loads, dimensions):
-        self.raw, self.loads, self.dimensions = raw(t), silver_loads, dimensions
+        self.raw, self.loads, self.dimensions = cache(raw(t)), silver_loads, dimensions
         self._silver: dict[str, DataFrame] = {}
         self._dims: dict[str, DataFrame] = {}
 

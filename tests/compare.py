@@ -33,11 +33,13 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(tuple(cell(r[i]) for i in order) for r in rows)
 
 
-def differences(df, con, sql: str) -> str | None:
-    """None when equal, else what differs."""
+def differences(df, con, sql: str, seen: list | None = None) -> str | None:
+    """None when equal, else what differs; the row count is added to `seen`."""
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)
     want_cols, want = rows_of([d[0] for d in result.description], result.fetchall())
+    if seen is not None:
+        seen.append(len(got))
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
     if got == want:
@@ -54,17 +56,17 @@ def main(folder: str, names: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracles, bad = oracle_connection(folder), entry.queries(), entry.oracle_sql(), 0
     for name in [n for n in queries if not names or any(n.startswith(x) for x in names)]:
-        start = time.time()
+        start, seen = time.time(), []
         try:
             df = queries[name](spark, folder)
             if name in oracles:
-                problem = differences(df, con, oracles[name])
+                problem = differences(df, con, oracles[name], seen)
             else:
                 problem = None if df.count() >= 0 else "none"
         except Exception as exc:  # noqa: BLE001
             problem = f"{type(exc).__name__}: {str(exc)[:1500]}"
         bad += problem is not None
-        print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.1f}s {'' if name in oracles else '(rows only)'} {problem or ''}", flush=True)
+        print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.1f}s rows={seen} {'' if name in oracles else '(rows only)'} {problem or ''}", flush=True)
     print("failures:", bad)
     return bad
 
