@@ -42,24 +42,33 @@ def resolve(
     take: Mapping[str, str],
     unknown: int | None = 0,
     single: bool = True,
+    spread: int = 1,
 ) -> DataFrame:
     """Left lookup of surrogate keys: `on` maps fact column to dimension column, `take` maps the new
     column to the dimension key. A miss gives `unknown` (None leaves NULL).
 
     `single` collapses the dimension to one row per looked-up value first, so rows never multiply.
+
+    Facts without a value match nothing, yet a shuffle would send them all to one task: they are dealt
+    out by a salt instead. AQE splits a hot value at run time; `spread` > 1 does it by plan, at the
+    price of that many copies of the dimension.
     """
     sources = list(dict.fromkeys(take.values()))
     if single:
         dim = key_per_value(dim, list(on.values()), sources)
     names = {c: f"_look_{i}" for i, c in enumerate(list(on.values()) + [s for s in sources if s not in on.values()])}
-    side = dim.select(*[q(c).alias(a) for c, a in names.items()])
+    copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))) if spread > 1 else F.lit(0)
+    side = dim.select(*[q(c).alias(a) for c, a in names.items()], copies.alias("_copy"))
+    empty = reduce(lambda a, b: a | b, [q(f).isNull() for f in on])
+    row = F.xxhash64(*[q(c) for c in facts.columns])
+    salt = F.when(empty, F.pmod(row, F.lit(1 << 16)) + spread).otherwise(F.pmod(row, F.lit(spread)) if spread > 1 else 0)
     condition = reduce(lambda a, b: a & b, [q(f) == F.col(names[d]) for f, d in on.items()])
-    joined = facts.join(side, condition, "left")
+    joined = facts.withColumn("_salt", salt.cast("int")).join(side, condition & (F.col("_salt") == F.col("_copy")), "left")
     found = {
         out: F.col(names[src]) if unknown is None else F.coalesce(F.col(names[src]), F.lit(unknown))
         for out, src in take.items()
     }
-    return joined.withColumns(found).drop(*names.values())
+    return joined.withColumns(found).drop(*names.values(), "_salt", "_copy")
 
 
 def bridge(first: DataFrame, dim: DataFrame, on: Mapping[str, str], by: str, key: str) -> DataFrame:
@@ -79,11 +88,11 @@ def detail_measures(detail: DataFrame, by: str, measures: Mapping[str, Column])
     return detail.groupBy(q(by)).agg(*[m.alias(n) for n, m in measures.items()])
 
 
-def every_pair(left: DataFrame, right: DataFrame, rows: int = 1, columns: int = 1) -> DataFrame:
+def every_pair(left: DataFrame, right: DataFrame, rows: int = 64, columns: int = 1) -> DataFrame:
     """Each left row with each right row, as an equi-join on a `rows` x `columns` grid of cells.
 
-    A cell receives 1/rows of the left side and 1/columns of the right side, so no task gets either
-    side whole when the grid is larger than 1 x 1; a small right side is broadcast by its size.
+    A cell receives 1/rows of the left side and 1/columns of the right side. The right side is meant
+    to be a small catalogue, broadcast by its size; give it more columns when it is large too.
     """
     spread_left = F.pmod(F.xxhash64(*[q(c) for c in left.columns]), F.lit(rows)).cast("int")
     spread_right = F.pmod(F.xxhash64(*[q(c) for c in right.columns]), F.lit(columns)).cast("int")

@@ -189,8 +189,9 @@ def closure(lower: DataFrame, upper: DataFrame) -> DataFrame:
     """Fields of the first layer with every field of the third they reach.
 
     `lower` maps layer 1 to 2 and `upper` maps 2 to 3; the hop is an equi-join on the middle field.
-    Both sides are reduced to distinct field pairs first. Follow it upstream or downstream by
-    filtering either end.
+    Give it mappings with one source per target (`one_mapping_per_target`), and there is at most one
+    row per target field. Both sides are reduced to distinct field pairs first. Follow it upstream or
+    downstream by filtering either end.
     """
     down = lower.select(*[F.col(c).alias(f"desde_{c}") for c in SOURCE], *[F.col(c).alias(f"_m{i}") for i, c in enumerate(TARGET)]).distinct()
     up = upper.select(*[F.col(c).alias(f"_m{i}") for i, c in enumerate(SOURCE)], *[F.col(c).alias(f"hasta_{c}") for c in TARGET]).distinct()

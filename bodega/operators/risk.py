@@ -140,7 +140,7 @@ def fee_tariffs(products: DataFrame, existing: DataFrame, day: date | str) -> Da
 
 
 def offer_conditions(products: DataFrame, segments: DataFrame, existing: DataFrame, day: date | str,
-                     rows: int = 1, columns: int = 1) -> DataFrame:
+                     rows: int = 64, columns: int = 1) -> DataFrame:
     """Offer of every product on sale to every segment; rates fall with the segment's risk level."""
     level = F.col("NivelRiesgo")
 

@@ -150,7 +150,7 @@ FACTS = {
         FactLoad("Fact.Transferencia", "Transferencia Key", transfer, "WWI Transferencia ID", ranges=TRANSFERS),
         FactLoad("Fact.Movimiento", "Movimiento Key", movement, "WWI Movimiento ID"),
         FactLoad("Fact.SaldoCuenta", "Saldo Cuenta Key", account_balance, "Fecha Key", by="day",
-                 order=("Fecha Key", "Cuenta Key", "Saldo Apertura", "Saldo Cierre", "Numero Movimientos")),
+                 order=("Numero Cuenta", "Fecha")),
         FactLoad("Fact.Provision", "Provision Key", provision, "WWI Provision ID"),
         FactLoad("Fact.CIRBE", "CIRBE Key", risk_report, "WWI CIRBE ID"),
         FactLoad("Fact.Aval", "Aval Key", guarantee, "WWI Aval ID"),

@@ -89,24 +89,37 @@ def load_dimension(d: Dimension, silver: Reader, gold: Store, run_ts: datetime)
     return gold.replace(d.target, d.merged(dim, staging, gold.read, run_ts)) - before
 
 
+FACT_KEY = "_fact_key"
+
+
 @dataclass
 class Star:
-    """What a fact load reads: staging cut at the watermark, dimensions, the run moment."""
+    """What a fact load reads: staging cut at the watermark, dimensions, the run moment.
+
+    With an `order` the staging rows get their surrogate key before any lookup (lookups never multiply
+    rows), so that counting the rows of each key bucket reads the order columns alone.
+    """
 
     silver: Reader
     dims: Reader
     run_ts: datetime
     marks: dict[str, Any] = field(default_factory=dict)
     ranges: dict[str, IdRange] = field(default_factory=dict)
+    order: tuple[str, ...] = ()
+    start: int = 0
 
     def staging(self, table: str) -> DataFrame:
+        """A staging table read beside the one the fact is made of."""
         return self.silver(table)
 
+    def all(self, table: str) -> DataFrame:
+        df = self.silver(table)
+        return number_rows(df, FACT_KEY, self.order, self.start, FACT_BUCKETS) if self.order else df
+
     def fresh(self, table: str, ident: str) -> DataFrame:
         df = self.silver(table)
-        if self.ranges:
-            return newer_in_ranges(df, ident, self.ranges, self.marks)
-        return newer(df, ident, self.marks.get(MAIN))
+        df = newer_in_ranges(df, ident, self.ranges, self.marks) if self.ranges else newer(df, ident, self.marks.get(MAIN))
+        return number_rows(df, FACT_KEY, self.order, self.start, FACT_BUCKETS) if self.order else df
 
     def current(self, dimension: str) -> DataFrame:
         return open_versions(self.dims(dimension))
@@ -120,8 +133,8 @@ class Star:
 @dataclass(frozen=True)
 class FactLoad:
     """`by` is ``id`` (per range when ids were merged), ``day`` (a date whose key is the watermark),
-    ``all`` (full refresh) or ``once`` (only into an empty fact). `order` identifies a row for its
-    surrogate key."""
+    ``all`` (full refresh) or ``once`` (only into an empty fact). `order` names the staging columns that
+    identify a row, for its surrogate key."""
 
     target: str
     key: str
@@ -147,17 +160,16 @@ def load_fact(f: FactLoad, silver: Reader, gold: Store, run_ts: datetime, keys:
     if f.by == "once" and not gold.is_empty(f.target):
         return 0
     fact = gold.read(f.target) if gold.exists(f.target) and f.by != "all" else None
-    rows = f.build(Star(silver, gold.read, run_ts, f.marks(fact), f.ranges)).withColumn(LINEAGE, F.lit(1))
-    if keys:
-        start = (high_water(fact, f.key) or 0) if fact is not None else 0
-        order = list(f.order) or [f.ident]
-        numbered = number_rows(rows, f.key, order, start, FACT_BUCKETS)
-        rows = numbered.select(q(f.key), *[q(c) for c in rows.columns])
+    order = (f.order or (f.ident,)) if keys else ()
+    start = (high_water(fact, f.key) or 0) if keys and fact is not None else 0
+    rows = f.build(Star(silver, gold.read, run_ts, f.marks(fact), f.ranges, order, start)).withColumn(LINEAGE, F.lit(1))
+    rows = rows.withColumnRenamed(FACT_KEY, f.key)
     return gold.replace(f.target, rows) if f.by == "all" else gold.append(f.target, rows)
 
 
 def fact_rows(df: DataFrame, layout: str, given: Mapping[str, Column] | None = None) -> DataFrame:
-    return arrange(df, layout, given, rename=same_name, treat=as_is)
+    own = f"{FACT_KEY}, " if FACT_KEY in df.columns else ""
+    return arrange(df, own + layout, given, rename=same_name, treat=as_is)
 
 
 def day_keys(**columns: str) -> dict[str, Column]:

@@ -45,7 +45,7 @@ def _keys(g: Star, rows: DataFrame, *roles: str) -> DataFrame:
 
 
 def stock_holding(g: Star) -> DataFrame:
-    return fact_rows(_keys(g, g.staging("StockHolding_Staging"), "Stock Item Key"), """Stock Item Key, Quantity On Hand, Bin Location,
+    return fact_rows(_keys(g, g.all("StockHolding_Staging"), "Stock Item Key"), """Stock Item Key, Quantity On Hand, Bin Location,
         Last Stocktake Quantity, Last Cost Price, Reorder Level, Target Stock Level""")
 
 
@@ -77,7 +77,7 @@ def sale(g: Star) -> DataFrame:
 
 
 def transaction(g: Star) -> DataFrame:
-    rows = _keys(g, g.staging("Transaction_Staging"), "Customer Key", "Supplier Key", "Transaction Type Key", "Payment Method Key")
+    rows = _keys(g, g.all("Transaction_Staging"), "Customer Key", "Supplier Key", "Transaction Type Key", "Payment Method Key")
     return fact_rows(rows, """Date Key, Customer Key, = Bill To Customer Key, Supplier Key, Transaction Type Key, Payment Method Key,
         WWI Customer Transaction ID, WWI Supplier Transaction ID, WWI Invoice ID, WWI Purchase Order ID,
         = Supplier Invoice Number, Total Excluding Tax, Tax Amount, Total Including Tax, Outstanding Balance, Is Finalized""",
@@ -87,15 +87,14 @@ def transaction(g: Star) -> DataFrame:
 FACTS = {
     f.target: f
     for f in (
-        FactLoad("Fact.Stock Holding", "Stock Holding Key", stock_holding, by="all",
-                 order=("Stock Item Key", "Bin Location", "Quantity On Hand")),
+        FactLoad("Fact.Stock Holding", "Stock Holding Key", stock_holding, by="all", order=("WWI Stock Item ID", "Bin Location")),
         FactLoad("Fact.Movement", "Movement Key", movement, "WWI Stock Item Transaction ID"),
         FactLoad("Fact.Order", "Order Key", order, "WWI Order ID",
-                 order=("WWI Order ID", "Stock Item Key", "Description", "Quantity", "Unit Price")),
+                 order=("WWI Order ID", "WWI Stock Item ID", "Description", "Quantity", "Unit Price")),
         FactLoad("Fact.Purchase", "Purchase Key", purchase, "WWI Purchase Order ID",
-                 order=("WWI Purchase Order ID", "Stock Item Key", "Ordered Outers", "Received Outers")),
+                 order=("WWI Purchase Order ID", "WWI Stock Item ID", "Ordered Outers", "Received Outers")),
         FactLoad("Fact.Sale", "Sale Key", sale, "WWI Invoice ID",
-                 order=("WWI Invoice ID", "Stock Item Key", "Description", "Quantity", "Total Including Tax")),
+                 order=("WWI Invoice ID", "WWI Stock Item ID", "Description", "Quantity", "Total Including Tax")),
         FactLoad("Fact.Transaction", "Transaction Key", transaction, by="once",
                  order=("WWI Customer Transaction ID", "WWI Supplier Transaction ID", "Date Key", "Total Including Tax")),
     )
