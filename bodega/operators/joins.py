@@ -57,7 +57,7 @@ def resolve(
     if single:
         dim = key_per_value(dim, list(on.values()), sources)
     names = {c: f"_look_{i}" for i, c in enumerate(list(on.values()) + [s for s in sources if s not in on.values()])}
-    copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))) if spread > 1 else F.lit(0)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))  # exploded, so the salt stays a join key
     side = dim.select(*[q(c).alias(a) for c, a in names.items()], copies.alias("_copy"))
     empty = reduce(lambda a, b: a | b, [q(f).isNull() for f in on])
     row = F.xxhash64(*[q(c) for c in facts.columns])

@@ -156,3 +156,23 @@ def test_run_log_is_closed_once(spark):
 
 def test_tests_fit_their_flag_bits():
     assert len(quality.TESTS) < 31 and all(set(quality.tests_of(k)) <= set(quality.TESTS) for k in ("bigint", "double", "date", "decimal(18,2)"))
+
+
+def test_quality_run_end_to_end(spark, store):
+    from bodega.operators.catalog import CatalogEntry
+    from bodega.plans.quality_run import ERRORS, RUNS, QualityRun
+
+    broken = spark.range(3).select("id", F.raise_error(F.lit("bad column")).cast("string").alias("roto"))
+    entries = [CatalogEntry("Gold", "dw", "Dimension", "Cliente", spark.range(3)), CatalogEntry("Gold", "dw", "Fact", "Mala", broken),
+               CatalogEntry("Gold", "dw", "Fact", "Vacia", spark.range(0)), CatalogEntry("Gold", "dw", "Fact", "Uno_Archive", spark.range(3))]
+    run = QualityRun(store)
+    out = run.run(entries, datetime(2024, 6, 1, 8))
+    assert sorted((r["tabla"], r["columna"]) for r in run.results().collect()) == [("Cliente", "id"), ("Mala", "id")]
+    assert [(r["Tabla"], r["Columna"]) for r in store.read(ERRORS).collect()] == [("Mala", "roto")] and len(out.skipped) == 1
+    row = store.read(RUNS).first()
+    assert (row["Nuevos"], row["Correcto"], row["DuracionSeg"]) == (2, True, 0)
+    assert run.run(entries[:1], datetime(2024, 6, 1, 9)).results == []  # done today
+    for day in (2, 3, 4):
+        run.run(entries[:1], datetime(2024, 6, day))
+    assert sorted(r["fecha_ejecucion"].day for r in run.results().collect()) == [2, 3, 4]
+    assert store.read(RUNS).filter("Correcto").count() == 5
