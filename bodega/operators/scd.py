@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -15,6 +15,13 @@ from bodega.operators.keys import BUCKETS, next_start, number_rows
 
 VALID_FROM, VALID_TO, LINEAGE = "Valid From", "Valid To", "Lineage Key"
 
+Settle = Callable[[DataFrame], DataFrame]
+
+
+def lazily(df: DataFrame) -> DataFrame:
+    """Leave a frame as it is; a load passes `cut_lineage` instead where a frame is used several times."""
+    return df
+
 
 def open_versions(dim: DataFrame) -> DataFrame:
     return dim.filter(q(VALID_TO) == open_end())
@@ -74,15 +81,17 @@ def merge_versions(
     null_safe: bool = False,
     start: int | None = None,
     buckets: int = BUCKETS,
+    settle: Settle = lazily,
 ) -> DataFrame:
     """The whole dimension after a type 2 merge: untouched rows, closed versions, new versions.
 
     `staging` holds one row per business key (see `newest`); `tracked` maps each watched column to
     the value its NULL compares as, or None. Columns outside `tracked` never trigger a version.
-    Close and insert share `run_ts`, so the two intervals touch exactly.
+    Close and insert share `run_ts`, so the two intervals touch exactly. The new and changed rows are
+    used three times; `settle` may materialise them.
     """
     attributes = [c for c in dim.columns if c not in (key, VALID_FROM, VALID_TO, LINEAGE)]
-    pending = changes(dim, staging.select(*[q(c) for c in attributes]), business, tracked, null_safe)
+    pending = settle(changes(dim, staging.select(*[q(c) for c in attributes]), business, tracked, null_safe))
     closing = pending.filter(F.col("_changed")).select(
         *[q(b).alias(f"_b{i}") for i, b in enumerate(business)], F.lit(True).alias("_closes")
     )
@@ -107,11 +116,12 @@ def missing_members(
     against_open: bool = True,
     start: int | None = None,
     buckets: int = BUCKETS,
+    settle: Settle = lazily,
 ) -> DataFrame:
     """Rows to append to an insert-only dimension: keys without an open version, or (with
     `against_open=False`) without any row. Nothing is ever closed."""
     known = open_versions(dim) if against_open else dim
-    fresh = staging.join(known.select(*[q(b) for b in business]), list(business), "left_anti")
+    fresh = settle(staging.join(known.select(*[q(b) for b in business]), list(business), "left_anti"))
     first = next_start(dim, key) if start is None else start
     stamped = _versioned(fresh, run_ts)
     return number_rows(stamped, key, business, first, buckets).select(*[q(c) for c in dim.columns])

@@ -16,9 +16,10 @@ from bodega.operators.incremental import IdRange, high_water, newer, newer_in_ra
 from bodega.operators.joins import q, resolve
 from bodega.operators.keys import FACT_BUCKETS, number_rows
 from bodega.operators.scd import (
-    LINEAGE, VALID_FROM, VALID_TO, first_versions, merge_versions, missing_members, newest, open_versions,
+    LINEAGE, VALID_FROM, VALID_TO, Settle, first_versions, lazily, merge_versions, missing_members, newest, open_versions,
 )
 from bodega.plans.entity import MAIN, arrange, as_is, same_name
+from bodega.session import cut_lineage
 from bodega.sources.store import Store
 
 Reader = Callable[[str], DataFrame]
@@ -66,27 +67,32 @@ class Dimension:
         columns = [self.key] + [c for c in df.columns if c not in (self.key, *VALIDITY)]
         return df.select(*[q(c) for c in columns + list(VALIDITY if self.versioned else (LINEAGE,))])
 
-    def first(self, staging: DataFrame, dims: Reader, run_ts: datetime) -> DataFrame:
-        return self.shape(first_versions(self.attributes(staging, dims), self.key, self.business, run_ts))
+    def first(self, staging: DataFrame, dims: Reader, run_ts: datetime, settle: Settle = lazily) -> DataFrame:
+        return self.shape(first_versions(settle(self.attributes(staging, dims)), self.key, self.business, run_ts))
 
-    def merged(self, dim: DataFrame, staging: DataFrame, dims: Reader, run_ts: datetime) -> DataFrame:
-        return self.shape(merge_versions(dim, self.attributes(staging, dims), self.key, self.business, self.tracked, run_ts))
+    def merged(self, dim: DataFrame, staging: DataFrame, dims: Reader, run_ts: datetime, settle: Settle = lazily) -> DataFrame:
+        rows = self.attributes(staging, dims)
+        return self.shape(merge_versions(dim, rows, self.key, self.business, self.tracked, run_ts, settle=settle))
 
-    def additions(self, dim: DataFrame, staging: DataFrame, dims: Reader, run_ts: datetime) -> DataFrame:
-        against_open = self.against_open and self.versioned
-        return missing_members(dim, self.attributes(staging, dims), self.key, self.business, run_ts, against_open)
+    def additions(self, dim: DataFrame, staging: DataFrame, dims: Reader, run_ts: datetime, settle: Settle = lazily) -> DataFrame:
+        rows, against_open = self.attributes(staging, dims), self.against_open and self.versioned
+        return missing_members(dim, rows, self.key, self.business, run_ts, against_open, settle=settle)
 
 
 def load_dimension(d: Dimension, silver: Reader, gold: Store, run_ts: datetime) -> int:
-    """Bring one dimension up to date; rows added are returned."""
+    """Bring one dimension up to date; rows added are returned.
+
+    The rows to add are counted, numbered and written; they are materialised once, in the cluster's
+    checkpoint folder, so that the staging is read and compared only once.
+    """
     staging = silver(d.staging)
     if not gold.exists(d.target):
-        return gold.replace(d.target, d.first(staging, gold.read, run_ts))
+        return gold.replace(d.target, d.first(staging, gold.read, run_ts, cut_lineage))
     dim = gold.read(d.target)
     if not d.tracked:
-        return gold.append(d.target, d.additions(dim, staging, gold.read, run_ts))
+        return gold.append(d.target, d.additions(dim, staging, gold.read, run_ts, cut_lineage))
     before = dim.count()
-    return gold.replace(d.target, d.merged(dim, staging, gold.read, run_ts)) - before
+    return gold.replace(d.target, d.merged(dim, staging, gold.read, run_ts, cut_lineage)) - before
 
 
 FACT_KEY = "_fact_key"

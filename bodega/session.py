@@ -16,6 +16,7 @@ def build_session(app: str = "bodega", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Plans here are built from many small expressions; recording a Python call site for each one
         # more than doubles the time to build them.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
