@@ -97,8 +97,8 @@ def bit(names: str) -> str:
     return _each(names, "cast({c} as integer)")
 
 
-def nul(names: str) -> str:
-    return ", ".join(f'null as "{n.strip()}"' for n in names.split(","))
+def nul(names: str, kind: str = "varchar") -> str:
+    return ", ".join(f'cast(null as {kind}) as "{n.strip()}"' for n in names.split(","))
 
 
 VALID = """'2024-06-30 00:00:00' as "Valid From", '9999-12-31 23:59:59' as "Valid To", 1 as "Lineage Key\""""
@@ -169,7 +169,7 @@ silver("bs_customer", "Cliente_Staging", bank, "Cliente.Personas, Cliente.Person
     {dat('FechaNacimiento > Fecha Nacimiento Constitucion')}, 2024 - year(FechaNacimiento) as "Edad", {txt('Sexo, Nacionalidad')}, {nul('Forma Juridica, CNAE')},
     {low('Email')}, {trm('TelefonoMovil, TelefonoFijo')}, {_CLIENT_TAIL} from "Cliente.Personas" x {_SEGMENTS.format(key='PersonaID')}
     union all by name select x.PersonaJuridicaID + {WIDE} as "WWI Cliente ID", 'Persona Jurídica' as "Tipo Cliente", {txt('CIF > Numero Documento, RazonSocial > Nombre Completo')},
-    {dat('FechaConstitucion > Fecha Nacimiento Constitucion')}, {nul('Edad, Sexo, Telefono Fijo')}, 'ESPAÑA' as "Nacionalidad", {txt('FormaJuridica, CNAE')},
+    {dat('FechaConstitucion > Fecha Nacimiento Constitucion')}, {nul('Edad', 'bigint')}, {nul('Sexo, Telefono Fijo')}, 'ESPAÑA' as "Nacionalidad", {txt('FormaJuridica, CNAE')},
     {low('Email')}, {trm('TelefonoContacto > Telefono Movil')}, {_CLIENT_TAIL} from "Cliente.PersonasJuridicas" x {_SEGMENTS.format(key='PersonaJuridicaID')}""")
 
 silver("bs_risk_profile", "PerfilRiesgo_Staging", bank, "Cliente.ScoreCrediticio, Cliente.PerfilTransaccional", f"""
@@ -261,7 +261,7 @@ silver("bs_guarantee", "Aval_Staging", bank, "Credito.Avales, Cliente.Personas",
 
 # --- bank, dimensions ---------------------------------------------------------------------------------
 
-dim("gd_centre", "Dimension.Centro", bank, "Centro_Staging", "Centro Key", "WWI Centro ID", "Telefono, Email, Director Centro, Centro Padre", ', null as "Centro Padre Key"')
+dim("gd_centre", "Dimension.Centro", bank, "Centro_Staging", "Centro Key", "WWI Centro ID", "Telefono, Email, Director Centro, Centro Padre", ', cast(null as bigint) as "Centro Padre Key"')
 dim("gd_institution", "Dimension.EntidadFinanciera", bank, "EntidadFinanciera_Staging", "Entidad Financiera Key", "WWI Entidad ID")
 dim("gd_risk_class", "Dimension.ClasificacionRiesgo", bank, "ClasificacionRiesgo_Staging", "Clasificacion Riesgo Key", "Codigo Clasificacion",
     "WWI Clasificacion ID, Valid From, Valid To", show_key=False)
@@ -399,7 +399,7 @@ _MONEY = f"""{dat('TransactionDate > Date Key')}, {keep('TransactionTypeID > WWI
     cast(TransactionAmount + TaxAmount as double) as "Total Including Tax", {num('OutstandingBalance')}, {bit('IsFinalized')}"""
 silver("ws_transaction", "Transaction_Staging", wholesale, "Sales.CustomerTransactions, Purchasing.SupplierTransactions", f"""
     select {_MONEY}, {keep('CustomerID > WWI Customer ID, CustomerTransactionID > WWI Customer Transaction ID, InvoiceID > WWI Invoice ID')},
-    {nul('WWI Bill To Customer ID, WWI Supplier ID, WWI Supplier Transaction ID, WWI Purchase Order ID')} from "Sales.CustomerTransactions"
+    {nul('WWI Bill To Customer ID, WWI Supplier ID, WWI Supplier Transaction ID, WWI Purchase Order ID', 'bigint')} from "Sales.CustomerTransactions"
     union all by name select {_MONEY}, {keep('SupplierID > WWI Supplier ID, PurchaseOrderID > WWI Purchase Order ID')}, SupplierTransactionID + 1000000 as "WWI Supplier Transaction ID" from "Purchasing.SupplierTransactions" """)
 
 # --- wholesale, dimensions and facts ------------------------------------------------------------------
@@ -442,4 +442,4 @@ wholesale_fact("wf_sale", "Fact.Sale", "Sale_Staging", "Customer Key, Bill To Cu
     Description, Package, Quantity, Unit Price, Tax Rate, Total Excluding Tax, Tax Amount, Profit, Total Including Tax, Total Dry Items, Total Chiller Items""", ', 0 as "City Key"')
 wholesale_fact("wf_transaction", "Fact.Transaction", "Transaction_Staging", "Customer Key, Supplier Key, Transaction Type Key, Payment Method Key", """Date Key, WWI Customer Transaction ID,
     WWI Supplier Transaction ID, WWI Invoice ID, WWI Purchase Order ID, Total Excluding Tax, Tax Amount, Total Including Tax, Outstanding Balance, Is Finalized""",
-    ', 0 as "Bill To Customer Key", null as "Supplier Invoice Number"')
+    ', 0 as "Bill To Customer Key", cast(null as varchar) as "Supplier Invoice Number"')

@@ -90,7 +90,7 @@ def _pct(x: str, n: str = "n") -> str:
 
 def column_oracle(relation: str, table: str, column: str, kind: str) -> str:
     ref = f'"{column}"'
-    sums = "".join(f", sum(case when {test.format(c=ref)} then 1 end) as {name}" for name, test in _TESTS[kind].items())
+    sums = "".join(f", cast(sum(case when {test.format(c=ref)} then 1 end) as bigint) as {name}" for name, test in _TESTS[kind].items())
     distinct = "0" if kind == "none" else f"count(distinct {ref})"
     base = f"select count(*) as n, count(*) filter ({ref} is null) as z, {distinct} as d{sums} from {relation}"
     none, null = "null::bigint", "null::bigint"
@@ -178,7 +178,7 @@ def dq_sampled_profile(t: Tables) -> DataFrame:
 # --- audits ------------------------------------------------------------------------------------------
 
 @query("dq_constraint_unique", """select 'UNIQUE' as regla, 'orders' as objeto, count(*) as filas, count(*) - count(distinct o_orderkey) as incumplen from orders
-    union all select 'UNIQUE', 'lineitem', sum(n), sum(n - 1) from (select count(*) as n from lineitem group by l_orderkey, l_linenumber)""")
+    union all select 'UNIQUE', 'lineitem', cast(sum(n) as bigint), cast(sum(n - 1) as bigint) from (select count(*) as n from lineitem group by l_orderkey, l_linenumber)""")
 def dq_constraint_unique(t: Tables) -> DataFrame:
     return plain(audit.audit([audit.unique(t.orders, ["o_orderkey"], "orders"), audit.unique(t.lineitem, ["l_orderkey", "l_linenumber"], "lineitem")]))
 

@@ -353,8 +353,8 @@ def watermark_ranges(t: Tables) -> DataFrame:
     return plain(merged.agg(*[F.max(F.when(r.holds(F.col("id")), F.col("id") - r.offset)).alias(n) for n, r in ranges.items()]))
 
 
-@query("gated_aggregate", """select case when count(distinct l_linestatus) between 2 and 3 then sum(case when l_linestatus = 'O' then 1 end) end as abiertas,
-    case when count(distinct l_linenumber) between 2 and 3 then sum(case when l_linenumber = 1 then 1 end) end as nada,
+@query("gated_aggregate", """select case when count(distinct l_linestatus) between 2 and 3 then cast(sum(case when l_linestatus = 'O' then 1 end) as bigint) end as abiertas,
+    case when count(distinct l_linenumber) between 2 and 3 then cast(sum(case when l_linenumber = 1 then 1 end) as bigint) end as nada,
     cast(round(100.0 * sum(case when l_returnflag = 'R' then 1 end) / nullif(count(*), 0), 2) as double) as porc from lineitem""")
 def gated_aggregate(t: Tables) -> DataFrame:
     share = (F.lit(100).cast("decimal(20,0)") * F.sum(F.when(F.col("l_returnflag") == "R", 1)) / F.nullif(F.count(F.lit(1)), F.lit(0)))
