@@ -43,12 +43,23 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, oracle: str | None = None):
-    """Register a query; the oracle text is what another SQL engine runs on the same tables."""
+def query(name: str, oracle: str | None = None, floats: tuple[str, ...] = ()):
+    """Register a query; the oracle text is what another SQL engine runs on the same tables.
+
+    `floats` are whole-number columns with NULLs, shown as doubles on both sides because data frames
+    disagree on how to hold a missing integer.
+    """
     def add(fn: Callable[[Tables], DataFrame]):
         if name in REGISTRY:
             raise ValueError(f"query {name} registered twice")
-        REGISTRY[name] = Query(fn, oracle)
+        if not floats:
+            REGISTRY[name] = Query(fn, oracle)
+            return fn
+        shown = ", ".join(f'cast("{c}" as double) as "{c}"' for c in floats)
+        REGISTRY[name] = Query(
+            lambda t: fn(t).withColumns({c: F.col(f"`{c}`").cast("double") for c in floats}),
+            oracle and f"select * replace ({shown}) from ({oracle})",
+        )
         return fn
     return add
 

@@ -109,10 +109,27 @@ SILVER: dict[str, str] = {}
 DIMS: dict[str, str] = {}
 
 
+# Whole-number columns that hold NULLs.
+FLOATS = {
+    "bs_customer": ("Edad",),
+    "bs_risk_profile": ("Numero Transacciones Mes", "Numero Transferencias Internacionales"),
+    "gd_centre": ("Centro Padre Key",),
+    "gd_customer": ("Edad",),
+    "gd_risk_profile": ("Numero Transacciones Mes",),
+    "ws_movement": ("WWI Customer ID", "WWI Supplier ID", "WWI Purchase Order ID"),
+    "ws_order": ("WWI Backorder ID", "WWI Picker ID"),
+    "ws_transaction": ("WWI Customer ID", "WWI Bill To Customer ID", "WWI Supplier ID", "WWI Customer Transaction ID",
+                       "WWI Supplier Transaction ID", "WWI Invoice ID", "WWI Purchase Order ID"),
+    "wf_movement": ("WWI Purchase Order ID",),
+    "wf_order": ("WWI Backorder ID",),
+    "wf_transaction": ("WWI Customer Transaction ID", "WWI Supplier Transaction ID", "WWI Invoice ID", "WWI Purchase Order ID"),
+}
+
+
 def silver(name: str, target: str, flow, tables: str, body: str):
     """Register a clean-layer load with its oracle."""
     SILVER[target] = f"with {raw_sql(*[x.strip() for x in tables.split(',')])}\n{body}"
-    query(name, SILVER[target])(lambda t: plain(flow(t).silver(target)))
+    query(name, SILVER[target], FLOATS.get(name, ()))(lambda t: plain(flow(t).silver(target)))
 
 
 def dim(name: str, target: str, flow, staging: str, key: str, business: str, drop: str = "", extra: str = "", joined: str = "",
@@ -122,7 +139,7 @@ def dim(name: str, target: str, flow, staging: str, key: str, business: str, dro
     number = f'row_number() over (order by s."{business}" % 1021, s."{business}") as "{key}", ' if show_key else ""
     columns = f"s.* exclude ({gone})" if gone else "s.*"
     DIMS[target] = f"select {number}{columns}{extra} from ({SILVER[staging]}) s {joined}"
-    query(name, DIMS[target])(lambda t: plain(flow(t).dims(target) if show_key else flow(t).dims(target).drop(key)))
+    query(name, DIMS[target], FLOATS.get(name, ()))(lambda t: plain(flow(t).dims(target) if show_key else flow(t).dims(target).drop(key)))
 
 
 def fact(name: str, load, flow, body: str, name_for: tuple[str, str, str] | None = None):
@@ -135,7 +152,7 @@ def fact(name: str, load, flow, body: str, name_for: tuple[str, str, str] | None
             rows = resolve(rows, f.dims(dimension), {column: column}, {code: code}, unknown=None).drop(column)
         return plain(rows)
 
-    query(name, body)(run)
+    query(name, body, FLOATS.get(name, ()))(run)
 
 
 # --- bank, clean layer --------------------------------------------------------------------------------

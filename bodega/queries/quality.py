@@ -139,18 +139,19 @@ def _profiled(df: DataFrame, table: str) -> DataFrame:
     return plain(profile(df, TableName("origen", "dado", table), RUN_DAY))
 
 
+COUNTS = (*(f"posibles_{p}" for p in PATTERNS), "num_distintos", "es_categorica")
 for _table, _columns in GIVEN.items():
-    query(f"dq_profile_{_table}", profile_oracle(_table, _table, _columns))(lambda t, n=_table: _profiled(getattr(t, n), n))
+    query(f"dq_profile_{_table}", profile_oracle(_table, _table, _columns), COUNTS)(lambda t, n=_table: _profiled(getattr(t, n), n))
 
 _PEOPLE_SQL = "(" + PEOPLE.replace("{", "").replace("}", "") + ")"
-query("dq_profile_people", profile_oracle(_PEOPLE_SQL, "personas", PEOPLE_COLUMNS))(lambda t: _profiled(people(t), "personas"))
+query("dq_profile_people", profile_oracle(_PEOPLE_SQL, "personas", PEOPLE_COLUMNS), COUNTS)(lambda t: _profiled(people(t), "personas"))
 
 
 def _focus(name: str, columns: tuple[str, ...], shown: tuple[str, ...]):
     """Some measures of some columns of the people."""
     shown = ("columna", *shown)
     kinds = {c: PEOPLE_COLUMNS[c] for c in columns}
-    query(name, profile_oracle(_PEOPLE_SQL, "personas", kinds, ", ".join(shown)))(
+    query(name, profile_oracle(_PEOPLE_SQL, "personas", kinds, ", ".join(shown)), tuple(c for c in shown if c in COUNTS))(
         lambda t: _profiled(people(t).select(*columns), "personas").select(*shown))
 
 
@@ -241,7 +242,7 @@ def dq_pending_tables(t: Tables) -> DataFrame:
 @query("dq_close_run", """select event_id, event_type as "Paquete", case when event_type = 'error' and user_id % 2 = 0 then 20 end as "Nuevos",
     case when event_type = 'error' and user_id % 2 = 0 then date_diff('second', ts, timestamp '2024-06-30 00:00:00') end as "DuracionSeg",
     case when event_type = 'error' and user_id % 2 = 0 then date_diff('minute', ts, timestamp '2024-06-30 00:00:00') end as "DuracionMin",
-    case when event_type = 'error' and user_id % 2 = 0 then 1 end as "Correcto" from events""")
+    case when event_type = 'error' and user_id % 2 = 0 then 1 end as "Correcto" from events""", ("Nuevos", "DuracionSeg", "DuracionMin", "Correcto"))
 def dq_close_run(t: Tables) -> DataFrame:
     log = t.events.select(
         "event_id", F.col("event_type").alias("Paquete"), F.lit("perfil").alias("Procedimiento"), F.col("ts").alias("FechaEjecucion"),

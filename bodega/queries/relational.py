@@ -355,7 +355,7 @@ def watermark_ranges(t: Tables) -> DataFrame:
 
 @query("gated_aggregate", """select case when count(distinct l_linestatus) between 2 and 3 then cast(sum(case when l_linestatus = 'O' then 1 end) as bigint) end as abiertas,
     case when count(distinct l_linenumber) between 2 and 3 then cast(sum(case when l_linenumber = 1 then 1 end) as bigint) end as nada,
-    cast(round(100.0 * sum(case when l_returnflag = 'R' then 1 end) / nullif(count(*), 0), 2) as double) as porc from lineitem""")
+    cast(round(100.0 * sum(case when l_returnflag = 'R' then 1 end) / nullif(count(*), 0), 2) as double) as porc from lineitem""", ("abiertas", "nada"))
 def gated_aggregate(t: Tables) -> DataFrame:
     share = (F.lit(100).cast("decimal(20,0)") * F.sum(F.when(F.col("l_returnflag") == "R", 1)) / F.nullif(F.count(F.lit(1)), F.lit(0)))
     return plain(t.lineitem.agg(
@@ -443,7 +443,7 @@ def union_offset(t: Tables) -> DataFrame:
 
 @query("union_align", f"""select o_orderkey as cliente_tx, null::bigint as proveedor_tx, o_custkey as cliente, null::bigint as proveedor,
     cast({M('o_totalprice')} as double) as importe from orders
-    union all select null, l_orderkey * 10 + l_linenumber, null, l_suppkey, cast({M('l_extendedprice')} as double) from lineitem""")
+    union all select null, l_orderkey * 10 + l_linenumber, null, l_suppkey, cast({M('l_extendedprice')} as double) from lineitem""", ("cliente_tx", "proveedor_tx", "cliente", "proveedor"))
 def union_align(t: Tables) -> DataFrame:
     a = t.orders.select(F.col("o_orderkey").alias("cliente_tx"), F.col("o_custkey").alias("cliente"), money("o_totalprice").alias("importe"))
     b = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("proveedor_tx"), F.col("l_suppkey").alias("proveedor"),
@@ -487,7 +487,7 @@ def iban_check(t: Tables) -> DataFrame:
 
 
 @query("arbitrary_order_codes", """select n_nationkey, 'EMP-' || right('00000' || cast(row_number() over (order by n_nationkey % 1021, n_nationkey) as varchar), 5) as codigo,
-    k as primero from nation left join (select s_nationkey, min(s_suppkey) as k from supplier group by 1) on s_nationkey = n_nationkey""")
+    k as primero from nation left join (select s_nationkey, min(s_suppkey) as k from supplier group by 1) on s_nationkey = n_nationkey""", ("primero",))
 def arbitrary_order_codes(t: Tables) -> DataFrame:
     first = key_per_value(t.supplier, "s_nationkey", ["s_suppkey"])
     coded = number_rows(t.nation.select("n_nationkey"), "n", ["n_nationkey"])
