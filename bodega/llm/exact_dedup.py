@@ -1,8 +1,8 @@
 """Exact duplicates by deterministic block naming.
 
-A document's normalised bytes are cut into fixed-size blocks. Equal blocks get one integer name by sorting; then
+A document's normalised text is cut into fixed-size blocks. Equal blocks get one integer name by sorting; then
 adjacent names are paired and the pairs named, until each document is one name. Two documents of the same number of
-blocks have the same name only if they are equal byte by byte: names stand for contents, not for hashes.
+blocks have the same name only if they are equal character by character: names stand for contents, not for hashes.
 
 Contents travel once, to meet equal contents. After that a block is known by a digest, and by its content where a
 digest stands for more than one.
@@ -15,20 +15,20 @@ from pyspark.sql import functions as F
 
 from bodega.llm import common
 
-BLOCK_BYTES = 4096
+BLOCK = 4096
 #: The second name of the last, unpaired block of a level. Names start at 0.
 NONE = -1
 
 
 def normalised(text: Column) -> Column:
-    """The text's UTF-8 bytes without white space; null is empty."""
-    return F.translate(F.coalesce(text, F.lit("")), common.SPACES, "").cast("binary")
+    """The text without white space; null is empty."""
+    return F.translate(F.coalesce(text, F.lit("")), common.SPACES, "")
 
 
 def blocks(content: Column, size: int) -> Column:
-    """Fixed-size blocks of a binary column; empty content is one empty block."""
-    last = F.floor(F.greatest(F.octet_length(content) - 1, F.lit(0)) / size).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(content, i * size + 1, F.lit(size)))
+    """The text in blocks of `size` characters, cut in one pass; an empty text is one empty block."""
+    cut = F.regexp_extract_all(content, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return F.when(F.size(cut) > 0, cut).otherwise(F.array(F.lit("")))
 
 
 def digest(block: Column) -> list[Column]:
@@ -59,7 +59,7 @@ def name_pairs(rows: DataFrame) -> DataFrame:
     return pairs.join(names, ["left", "right"]).select("row", "pos", "name")
 
 
-def identify(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
+def identify(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     """One settled row per input row: row, doc_id, n_points, text_sha256, n_blocks, name.
 
     Rows are equal after normalising exactly if (n_blocks, name) is equal. Null texts are empty; null and repeated
@@ -93,7 +93,7 @@ def identify(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
     return facts.join(done, "row")
 
 
-def exact_dedup(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
+def exact_dedup(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the row with the most code points in the original text stays, then the smallest doc_id; a null

@@ -44,6 +44,9 @@ LABELLED = """
 0 https://m.tionble.example.org/es/20/
 0 https://www.tiontion.example.com/fr/7?page=2&ref=x
 0 https://blog.therhe.example.net/es/533/
+0 https://therat.example.net/en/231#top
+0 http://ththre.example.com/es/77?utm_source=feed
+0 https://ththnt.example.org/en/8/
 1 https://spam-farm.example.org/en/728?utm_source=feed
 1 http://www.cheap-pills.example.com/en/450?page=2
 1 https://casino-bonus.example.net/win/888
@@ -67,6 +70,8 @@ LABELLED = """
 1 http://free-bets.example.net/odds/14
 1 https://www.free-bets.example.org/en/300
 1 https://adult-chat.example.net/en/6?page=2
+1 http://ads-server.example.com/en/81/
+1 https://m.click-track.example.org/fr/2.html
 1 http://m.adult-x.example.org/es/45.html
 """
 
@@ -96,9 +101,10 @@ def buckets(text: Column, kind: str, sizes: tuple[int, ...] = GRAMS) -> Column:
     letters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
 
     def grams(n: int) -> Column:
-        last = F.size(letters) - n
-        starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.lit(kind), *[F.get(letters, i + k) for k in range(n)]), F.lit(BUCKETS)).cast("int"))
+        # Shifted copies side by side, so that a gram is one element and the text is cut once per copy.
+        rows = F.arrays_zip(*[F.slice(letters, k + 1, F.size(letters)).alias(f"c{k}") for k in range(n)])
+        whole = F.filter(rows, lambda z: z[f"c{n - 1}"].isNotNull())
+        return F.transform(whole, lambda z: F.pmod(F.xxhash64(F.lit(kind), *[z[f"c{k}"] for k in range(n)]), F.lit(BUCKETS)).cast("int"))
 
     return F.concat(*[grams(n) for n in sizes])
 
