@@ -11,12 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bodega.llm import common
+
 #: Selected positions of each mask. Together they meet every stretch of 13 tokens in which any two are replaced.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7), (0, 1, 4, 8, 9, 10), (0, 1, 3, 4, 7, 8))
 MIN_SCORE = 7
 MISMATCH = 2
 #: Seeds of the benchmark up to which they are broadcast (about 100 bytes each); beyond, both sides are shuffled.
+#: A quarter as many alignments are broadcast, too.
 BROADCAST_SEEDS = 1_000_000
+#: Tokens of a text that are spread out at once.
+CHUNK = 2048
 
 
 def token_hashes(text: Column) -> Column:
@@ -25,20 +30,26 @@ def token_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(tokens: str, at: str) -> Column:
-    """The hash of every mask at a position, tagged with the mask; null where the mask does not fit."""
-    out = []
-    for number, mask in enumerate(MASKS):
-        chosen = [F.get(F.col(tokens), F.col(at) + p) for p in mask]
-        out.append(F.when(chosen[-1].isNotNull(), F.xxhash64(F.lit(number), *chosen)))
-    return F.array(*out)
-
+def sown(rows: DataFrame, keys: list[str], tokens: str) -> DataFrame:
+    """A row (keys, i, seed) for every position i of the token array and every mask that fits there.
 
-def positions(tokens: str) -> Column:
-    """Start positions at which the shortest mask fits."""
-    span = min(m[-1] for m in MASKS)
-    n = F.size(tokens) - span
-    return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))))
+    The array is cut into chunks, and each position's next few tokens become columns of its row: no row carries an
+    array, whatever the length of the text.
+    """
+    span = max(m[-1] for m in MASKS) + 1
+    n = F.size(tokens)
+    starts = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(CHUNK)))
+    chunks = rows.select(*keys, tokens, F.explode(starts).alias("_start")).select(
+        *keys, "_start", F.slice(F.col(tokens), F.col("_start") + 1, CHUNK + span - 1).alias("_chunk"))
+    size = F.least(F.size("_chunk"), F.lit(CHUNK))
+    fields = [F.sequence(F.col("_start"), F.col("_start") + size - 1).alias("i")]
+    fields += [F.slice("_chunk", k + 1, size).alias(f"h{k}") for k in range(span)]
+    wide = chunks.select(*keys, F.inline(F.arrays_zip(*fields)).alias("i", *[f"h{k}" for k in range(span)]))
+    found = [
+        F.when(F.col(f"h{mask[-1]}").isNotNull(), F.xxhash64(F.lit(number), *[f"h{p}" for p in mask]))
+        for number, mask in enumerate(MASKS)
+    ]
+    return wide.select(*keys, "i", F.explode(F.array(*found)).alias("seed")).filter("seed is not null")
 
 
 def local_score(tokens: Column, item: Column, shift: Column) -> Column:
@@ -53,40 +64,56 @@ def local_score(tokens: Column, item: Column, shift: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), zero, step, lambda s: s["best"])
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """One row per document and benchmark item that overlap: `keys` (doc_id), item_id, score, start (token number).
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document and benchmark item that overlap: doc_id, item_id, score, start (token number)."""
+    return matches(docs, benchmark).groupBy("doc_id", "item_id").agg(
+        F.max("score").alias("score"), F.max_by("start", F.struct("score", -F.col("start"))).alias("start"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The verified alignments: doc_id, text_hash, item_id, score, start.
 
     An item of fewer tokens than the shortest mask covers is no evidence and matches nothing; one of fewer than MIN_SCORE
-    tokens must be met whole. Null texts have no tokens. Rows with equal keys are reported together; a null key is
-    a value like others. Empty tables give an empty result.
+    tokens must be met whole. Null texts have no tokens. Documents are told apart by doc_id and a hash of the text;
+    null ids are values like others. Empty tables give an empty result.
     """
-    keys = keys or ["doc_id"]
+    keys = ["doc_id", "text_hash"]
     items = benchmark.select("item_id", token_hashes(F.col("text")).alias("item")).filter(F.size("item") > 0).distinct()
-    planted = (
-        items.select("item_id", "item", F.explode(positions("item")).alias("j"))
-        .select("item_id", "item", "j", F.explode(seeds("item", "j")).alias("seed")).filter("seed is not null"))
-    planted = planted.select("seed", F.struct("item_id", "j").alias("place"), "item").distinct()
-    own = docs.select(*keys, token_hashes(F.col("text")).alias("tokens"))
-    spread = own.select(*keys, "tokens", F.explode(positions("tokens")).alias("i"))
-    sown = spread.select(*keys, "tokens", "i", F.explode(seeds("tokens", "i")).alias("_seed"))
-    if planted.count() <= BROADCAST_SEEDS:
-        planted = F.broadcast(planted)
-    met = sown.join(planted, F.col("_seed") == F.col("seed"))
-    shift = F.col("i") - F.col("place.j")
-    scored = met.select(*keys, F.col("place.item_id").alias("item_id"), shift.alias("shift"), F.size("item").alias("n"),
-                        local_score(F.col("tokens"), F.col("item"), shift).alias("score"))
-    return (
-        scored.filter(F.col("score") >= F.least(F.lit(MIN_SCORE), F.col("n")))
-        .groupBy(*keys, "item_id")
-        .agg(F.max("score").alias("score"), F.max_by(F.greatest("shift", F.lit(0)), F.struct("score", -F.col("shift"))).alias("start"))
-    )
+    items = common.settle(items.withColumn("item_key", F.xxhash64("item_id", F.to_json("item"))), "benchmark-items")
+    planted = common.settle(
+        sown(items.select("item_key", "item"), ["item_key"], "item").select("seed", "item_key", F.col("i").alias("j")).distinct(),
+        "benchmark-seeds")
+    longest = items.agg(F.max(F.size("item"))).first()[0] or 0
+    small = planted.count() <= BROADCAST_SEEDS
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    spread = sown(own.select(*keys, token_hashes(F.col("text")).alias("tokens")), keys, "tokens")
+    met = spread.join(F.broadcast(planted) if small else planted, "seed")
+    # Alignments of a text, each once; their number is bounded by the text's own length.
+    aligned = common.settle(
+        met.groupBy(*keys, "item_key", (F.col("i") - F.col("j")).alias("shift")).agg(F.lit(1).alias("_one"))
+        .groupBy(*keys).agg(F.collect_list(F.struct("item_key", "shift")).alias("found")), "alignments")
+    # A text is read again only where something was met.
+    few = (aligned.agg(F.sum(F.size("found"))).first()[0] or 0) <= BROADCAST_SEEDS // 4
+    right = aligned.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    texts = own.join(F.broadcast(right) if few else right, same)
+    tokens = F.col("tokens")
+    windows = F.transform("found", lambda c: F.struct(
+        c["item_key"].alias("item_key"), c["shift"].alias("shift"),
+        F.slice(tokens, F.greatest(c["shift"], F.lit(0)) + 1, F.lit(longest)).alias("window")))
+    placed = (
+        texts.select(*keys, token_hashes(F.col("text")).alias("tokens"), "found")
+        .select(*keys, F.inline(windows).alias("item_key", "shift", "window"))
+        .join(F.broadcast(items) if small else items, "item_key"))
+    scored = placed.select(*keys, "item_id", F.size("item").alias("n"), F.greatest("shift", F.lit(0)).alias("start"),
+                           local_score(F.col("window"), F.col("item"), F.least(F.col("shift"), F.lit(0))).alias("score"))
+    return scored.filter(F.col("score") >= F.least(F.lit(MIN_SCORE), F.col("n"))).drop("n")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, that overlap with no benchmark item. Rows are told apart by doc_id and text."""
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    found = overlaps(docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text"), benchmark, ["_id", "_hash"])
-    found = found.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h")).distinct()
+                         F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"))
+    found = common.settle(matches(docs, benchmark).select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct(), "contaminated")
     kept = marked.join(found, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_anti")
     return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
