@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bodega.operators.name_rules import RAW_DESCRIPTIONS, WAREHOUSE_DESCRIPTIONS, text_column
+
 
 @dataclass(frozen=True)
 class CatalogEntry:
@@ -101,54 +103,14 @@ def session_tables(spark: SparkSession, layer_of: dict[str, tuple[str, str, str]
     return entries
 
 
-def rule_list(rules: Sequence[tuple[Column, Column | str]], otherwise: Column) -> Column:
-    """First matching rule wins."""
-    out = None
-    for test, text in rules:
-        value = F.lit(text) if isinstance(text, str) else text
-        out = F.when(test, value) if out is None else out.when(test, value)
-    return out.otherwise(otherwise)
+def describe_raw_columns(table: str = "table_name", column: str = "column_name", data_type: str = "data_type") -> Column:
+    """Description of a Bronze column by its name."""
+    return text_column(RAW_DESCRIPTIONS, F.col(column), F.col(data_type), F.col(table))
 
 
-def describe_raw_columns(table: Column | str = "table_name", column: Column | str = "column_name",
-                         data_type: Column | str = "data_type") -> Column:
-    """Description of a Bronze column by its name."""
-    t, c, ty = (F.col(x) if isinstance(x, str) else x for x in (table, column, data_type))
-    # The description texts.
-    return rule_list([
-        (c.endswith("ID") & ~c.contains("Tipo"), F.concat(F.lit("Identificador único de "), t, F.lit(" (clave de negocio)."))),
-        (c.startswith("Fecha"), F.concat(F.lit("Fecha de "), F.lower(F.replace(c, F.lit("Fecha"), F.lit(""))), F.lit("."))),
-        (c.contains("Importe") | c.contains("Saldo"), "Importe monetario en euros."),
-        (c.contains("Email"), "Correo electrónico de contacto."),
-        (c.contains("Telefono"), "Número de teléfono de contacto."),
-        (c.contains("Nombre") | c.contains("RazonSocial"), "Denominación o nombre."),
-        (c.contains("Estado"), "Estado o situación actual."),
-        (ty.isin("bit", "boolean"), "Indicador booleano (Sí/No)."),
-    ], F.concat(F.lit("Campo "), c, F.lit(" del sistema origen.")))
-
-
-def describe_warehouse_columns(column: Column | str = "column_name", data_type: Column | str = "data_type") -> Column:
-    """Description of a Silver or Gold column by its name. A key ends in Key after a blank or underscore."""
-    c, ty = (F.col(x) if isinstance(x, str) else x for x in (column, data_type))
-    key = c.rlike("[ _]Key$")
-    # The description texts.
-    return rule_list([
-        (key & c.contains("Date"), "Clave de fecha (Date Key)."),
-        (key & c.contains("Fecha"), "Clave de fecha entera (YYYYMMDD)."),
-        (c == "Lineage Key", "Clave de linaje: identifica el proceso ETL que cargó el registro."),
-        (key, "Clave surrogada (identificador interno del almacén). Lookup a dimensión; 0 = miembro desconocido."),
-        (c == "Valid From", "SCD2: inicio de vigencia de esta versión del registro."),
-        (c == "Valid To", "SCD2: fin de vigencia (9999-12-31 = versión actual)."),
-        (c.rlike("^WWI.*ID$"), "Identificador de negocio heredado del sistema origen."),
-        (c.startswith("Fecha"),
-         F.concat(F.lit("Fecha de "), F.lower(F.ltrim(F.replace(c, F.lit("Fecha"), F.lit("")))), F.lit("."))),
-        (c.contains("Importe") | c.contains("Saldo"), "Importe monetario en euros."),
-        (c == "Edad", "Edad calculada del cliente (campo derivado)."),
-        (c.contains("Email"), "Correo electrónico."),
-        (c.contains("Nombre"), "Denominación o nombre."),
-        (c.contains("Estado"), "Estado o situación."),
-        (ty.isin("bit", "boolean"), "Indicador booleano (Sí/No)."),
-    ], F.concat(F.lit("Atributo "), c, F.lit(".")))
+def describe_warehouse_columns(column: str = "column_name", data_type: str = "data_type") -> Column:
+    """Description of a Silver or Gold column by its name."""
+    return text_column(WAREHOUSE_DESCRIPTIONS, F.col(column), F.col(data_type))
 
 
 def set_descriptions(descriptions: DataFrame, updates: DataFrame, known: DataFrame) -> DataFrame:

@@ -94,7 +94,11 @@ class ControlTables:
         return last_processed(self.control(), table).first()[0]
 
     def advance(self, table: str, mark: datetime | None, run_ts: datetime) -> None:
-        marks = self.spark.createDataFrame([(table, mark)], "TablaStagingDestino string, UltimaFechaProcesada timestamp_ntz")
+        self.advance_all({table: mark}, run_ts)
+
+    def advance_all(self, moved: Mapping[str, datetime | None], run_ts: datetime) -> None:
+        """Move the marks of some tables in one write."""
+        marks = self.spark.createDataFrame(list(moved.items()), "TablaStagingDestino string, UltimaFechaProcesada timestamp_ntz")
         self.store.replace(CONTROL, upsert(self.control(), control_rows(marks, run_ts), "TablaStagingDestino"))
 
     def record(self, process: str, table: str, rows: int, seconds: int, error: str | None, run_ts: datetime) -> None:
@@ -146,7 +150,7 @@ def run_layer(
         return name, rows, int(time.monotonic() - started), error
 
     names = [n for n in loads if only is None or n == only]
-    result = LayerResult()
+    result, moved = LayerResult(), {}
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         for name, rows, seconds, error in pool.map(attempt, names):
             control.record(f"load {name}", name, rows, seconds, error, run_ts)
@@ -155,8 +159,10 @@ def run_layer(
                 result.rows[name] = rows
                 mark = (marks or {}).get(name)
                 if control_rows_for(name) and (mark is None or rows > 0):
-                    control.advance(name, mark() if mark else None, run_ts)
+                    moved[name] = mark() if mark else None
             else:
                 result.errors += 1
                 result.messages[name] = error
+    if moved:
+        control.advance_all(moved, run_ts)
     return result

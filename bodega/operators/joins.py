@@ -43,6 +43,7 @@ def resolve(
     unknown: int | None = 0,
     single: bool = True,
     spread: int = 1,
+    identity: Sequence[str] = (),
 ) -> DataFrame:
     """Left lookup of surrogate keys: `on` maps fact column to dimension column, `take` maps the new
     column to the dimension key. A miss gives `unknown` (None leaves NULL).
@@ -50,7 +51,8 @@ def resolve(
     `single` collapses the dimension to one row per looked-up value first, so rows never multiply.
 
     Facts without a value match nothing, yet a shuffle would send them all to one task: they are dealt
-    out by a salt instead. AQE splits a hot value at run time; `spread` > 1 does it by plan, at the
+    out by a salt instead, a hash of the columns in `identity` (else of the first column), so that a scan below
+    stays pruned. AQE splits a hot value at run time; `spread` > 1 does it by plan, at the
     price of that many copies of the dimension.
     """
     sources = list(dict.fromkeys(take.values()))
@@ -60,7 +62,7 @@ def resolve(
     copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))  # exploded, so the salt stays a join key
     side = dim.select(*[q(c).alias(a) for c, a in names.items()], copies.alias("_copy"))
     empty = reduce(lambda a, b: a | b, [q(f).isNull() for f in on])
-    row = F.xxhash64(*[q(c) for c in facts.columns])
+    row = F.xxhash64(*[q(c) for c in identity or facts.columns[:1]])
     salt = F.when(empty, F.pmod(row, F.lit(1 << 16)) + spread).otherwise(F.pmod(row, F.lit(spread)) if spread > 1 else 0)
     condition = reduce(lambda a, b: a & b, [q(f) == F.col(names[d]) for f, d in on.items()])
     joined = facts.withColumn("_salt", salt.cast("int")).join(side, condition & (F.col("_salt") == F.col("_copy")), "left")
@@ -88,17 +90,10 @@ def detail_measures(detail: DataFrame, by: str, measures: Mapping[str, Column])
     return detail.groupBy(q(by)).agg(*[m.alias(n) for n, m in measures.items()])
 
 
-def every_pair(left: DataFrame, right: DataFrame, rows: int = 64, columns: int = 1) -> DataFrame:
-    """Each left row with each right row, as an equi-join on a `rows` x `columns` grid of cells.
-
-    A cell receives 1/rows of the left side and 1/columns of the right side. The right side is meant
-    to be a small catalogue, broadcast by its size; give it more columns when it is large too.
-    """
-    spread_left = F.pmod(F.xxhash64(*[q(c) for c in left.columns]), F.lit(rows)).cast("int")
-    spread_right = F.pmod(F.xxhash64(*[q(c) for c in right.columns]), F.lit(columns)).cast("int")
-    a = left.withColumn("_r", spread_left).withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
-    b = right.withColumn("_c", spread_right).withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
-    return a.join(b, ["_r", "_c"], "inner").drop("_r", "_c")
+def pairs_in_use(uses: DataFrame, left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """Left and right rows that some row of `uses` brings together, once each: distinct keys, then two equi-joins."""
+    met = uses.select(q(left_key), q(right_key)).distinct()
+    return met.join(left, left_key).join(right, right_key).select(*[q(c) for c in (*left.columns, *right.columns)])
 
 
 def differs(old: Mapping[str, Column], new: Mapping[str, Column], defaults: Mapping[str, object],

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bodega.operators.catalog import rule_list
+from bodega.operators.name_rules import CLEAN_LABELS, CLEAN_RULES, STAR_LABELS, STAR_RULES, text_column
 
 MAPPING_COLUMNS = (
     "BDOrigen", "EsquemaOrigen", "NombreObjetoOrigen", "NombreCampoOrigen", "NombreCampoOrigenEnVentanaOB",
@@ -23,60 +23,10 @@ SOURCE = ("BDOrigen", "EsquemaOrigen", "NombreObjetoOrigen", "NombreCampoOrigen"
 TECHNICAL = ("Valid From", "Valid To", "Lineage Key")
 
 
-def _has(c: Column, *words: str) -> Column:
-    return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
-
-
 def _declared_type(name: Column, length: Column) -> Column:
     return F.when(name.contains("char"), F.concat(name, F.lit("("), length.cast("string"), F.lit(")"))).otherwise(name)
 
 
-def clean_layer_label(c: Column) -> Column:
-    # The label texts.
-    return rule_list([
-        (_has(c, "Importe", "Saldo"), "Importe en euros mostrado en terminal"),
-        (_has(c, "Fecha"), "Fecha operación (dd/mm/aaaa)"),
-        (_has(c, "Nombre", "Cliente"), "Denominación cliente en pantalla"),
-        (_has(c, "Cuenta"), "Código IBAN cuenta"),
-        (_has(c, "Estado"), "Situación del contrato"),
-    ], F.concat(F.lit("Campo "), c, F.lit(" del terminal")))
-
-
-def clean_layer_rule(c: Column, data_type: Column) -> Column:
-    # The transformation texts.
-    return rule_list([
-        (c == "Edad", "Campo calculado: DATEDIFF(YEAR, Fecha Nacimiento, hoy)"),
-        (_has(c, "Email"), "Normalización: LOWER(TRIM(origen))"),
-        (data_type.isin("varchar", "nvarchar", "char", "nchar", "string"),
-         "Estandarización: UPPER(TRIM(origen)) + desnormalización vía JOIN"),
-        (data_type.isin("decimal", "numeric", "money"), "Redondeo a 2 decimales: ROUND(origen,2)"),
-        (data_type.isin("bit", "boolean"), "Conversión a indicador binario (0/1)"),
-        (_has(data_type, "date", "timestamp"), "Copia directa de fecha"),
-    ], F.lit("Copia directa desde origen"))
-
-
-def star_layer_label(c: Column) -> Column:
-    # The label texts.
-    return rule_list([
-        (c.endswith("Key"), "Identificador interno (no visible en terminal)"),
-        (_has(c, "Importe", "Saldo"), "Importe en euros"),
-        (_has(c, "Fecha"), "Fecha (dd/mm/aaaa)"),
-    ], F.concat(F.lit("Campo "), c))
-
-
-def star_layer_rule(c: Column) -> Column:
-    # The transformation texts.
-    return rule_list([
-        (c.endswith("Key") & ~_has(c, "Date", "Fecha", "Lineage"),
-         "Lookup clave surrogada en dimensión (0 si no encuentra)"),
-        (c.rlike("Fecha.*Key"), "Conversión Date Key entero YYYYMMDD"),
-        (c.isin("Valid From", "Valid To"), "SCD Tipo 2: vigencia histórica"),
-        (c == "Cuotas Pendientes", "Calculado: COUNT cuotas PENDIENTE"),
-        (c == "Cuotas Impagadas", "Calculado: COUNT cuotas IMPAGADA"),
-        (c == "Dias Retraso Maximo", "Calculado: MAX días retraso"),
-    ], F.lit("Copia directa desde Silver"))
-
-
 def _not_listed(gaps: Mapping[str, Sequence[str]]) -> Column:
     """Not one of the table/column pairs left out on purpose."""
     tests = [(F.col("table_name") == t) & F.col("column_name").isin(*cols) for t, cols in gaps.items()]
@@ -96,7 +46,7 @@ def propose_clean_layer(columns: DataFrame, sources: DataFrame, gaps: Mapping[st
     return wanted.join(sources, F.col("table_name") == F.col("staging"), "inner").select(
         F.col("database").alias("BDOrigen"), F.col("schema").alias("EsquemaOrigen"),
         F.col("table").alias("NombreObjetoOrigen"), c.alias("NombreCampoOrigen"),
-        clean_layer_label(c).alias("NombreCampoOrigenEnVentanaOB"), clean_layer_rule(c, ty).alias("Transformacion"),
+        text_column(CLEAN_LABELS, c, ty).alias("NombreCampoOrigenEnVentanaOB"), text_column(CLEAN_RULES, c, ty).alias("Transformacion"),
         F.col("base_datos").alias("BDDestino"), F.col("schema_name").alias("EsquemaDestino"),
         F.col("table_name").alias("TablaDestino"), c.alias("NombreCampoDestino"),
         _declared_type(ty, F.col("max_length")).alias("TipoCampoDestino"),
@@ -114,7 +64,7 @@ def propose_star_layer(columns: DataFrame, gaps: Mapping[str, Sequence[str]] | N
     return wanted.select(
         F.col("base_datos").alias("BDOrigen"), F.lit("Integration").alias("EsquemaOrigen"),
         F.concat("table_name", F.lit("_Staging")).alias("NombreObjetoOrigen"), c.alias("NombreCampoOrigen"),
-        star_layer_label(c).alias("NombreCampoOrigenEnVentanaOB"), star_layer_rule(c).alias("Transformacion"),
+        text_column(STAR_LABELS, c, ty).alias("NombreCampoOrigenEnVentanaOB"), text_column(STAR_RULES, c, ty).alias("Transformacion"),
         F.col("base_datos").alias("BDDestino"), F.col("schema_name").alias("EsquemaDestino"),
         F.col("table_name").alias("TablaDestino"), c.alias("NombreCampoDestino"),
         _declared_type(ty, F.col("max_length")).alias("TipoCampoDestino"),

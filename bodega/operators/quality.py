@@ -19,11 +19,6 @@ from pyspark.sql import types as T
 
 from bodega.functions import identifiers as ident
 from bodega.functions.dates import borders_crossed, moment
-from bodega.operators.sampling import sample_table
-
-# Longer texts are counted under their SHA-256 so a shuffle never carries whole documents; their
-# patterns are tested on the whole text before.
-SHORT = 256
 
 # Minimum declared length at which a pattern is tried.
 NEEDS_LENGTH = {"email": 6, "dni": 9, "cp": 5, "telefono": 9, "iban": 24}
@@ -117,9 +112,10 @@ def value_counts(df: DataFrame, kind: str) -> DataFrame:
     cells = cells.unpivot([], list(columns), "_position", "_value")
     flags = _flags(tests_of(kind))
     if kind == "string":
-        value, long = F.col("_value"), F.length("_value") > SHORT
-        cells = cells.select("_position", F.when(long, F.sha2(value, 256)).otherwise(value).alias("_value"), F.when(long, flags).alias("_early"))
-        flags = F.coalesce(F.col("_early"), flags)
+        # Texts are tested whole before the shuffle and counted under their SHA-256, so that none is carried.
+        digest = F.unhex(F.sha2(F.col("_value"), 256))
+        counted = cells.select("_position", digest.alias("_value"), flags.alias("_flags")).groupBy("_position", "_value", "_flags")
+        return counted.agg(F.count(F.lit(1)).alias("_count")).select("_position", "_value", "_count", "_flags")
     counted = cells.groupBy(*cells.columns).agg(F.count(F.lit(1)).alias("_count"))
     return counted.select("_position", "_value", "_count", flags.alias("_flags"))
 
@@ -299,29 +295,35 @@ def sweep(
     run_date: date | str,
     save: Callable[[TableName, DataFrame], None],
     done: Iterable[TableName] = (),
-    full: bool = False,
 ) -> Sweep:
-    """Profile tables one by one and hand each result to `save`.
+    """Profile whole tables one by one and hand each result to `save`.
 
     Tables already done and empty tables are skipped. When a table's job fails, its columns are tried
-    one at a time so that only the failing ones are lost and reported.
+    one at a time so that only the failing ones are lost and reported; a table that cannot be opened at all is
+    reported without a column.
     """
     out = Sweep([], [], [])
     finished = set(done)
     for name, df in tables.items():
-        rows = df.count()
-        if name in finished or rows == 0:
+        if name in finished:
             out.skipped.append(name)
             continue
-        chosen = df if full else sample_table(df, str(name), rows)
         try:
-            result = profile(chosen, name, run_date)
+            if df.isEmpty():
+                out.skipped.append(name)
+                continue
+            result = profile(df, name, run_date)
             save(name, result)
             out.results.append(result)
-        except Exception:  # noqa: BLE001 - retried per column below
-            for field in df.schema.fields:
+        except Exception as failed:  # noqa: BLE001 - retried per column below
+            try:
+                fields = df.schema.fields
+            except Exception:  # noqa: BLE001 - the table itself is gone
+                out.failures.append((name, "", str(failed)))
+                continue
+            for field in fields:
                 try:
-                    result = profile(chosen.select(F.col(f"`{field.name}`")), name, run_date)
+                    result = profile(df.select(F.col(f"`{field.name}`")), name, run_date)
                     save(name, result)
                     out.results.append(result)
                 except Exception as exc:  # noqa: BLE001 - a failing column must not stop the sweep

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bodega.functions.amounts import money
 from bodega.functions.dates import period
-from bodega.operators.joins import every_pair
+from bodega.operators.joins import pairs_in_use
 
 # Loan states, what they are declared as, the provision share and its risk class, the
 # yearly growth of the business, and the terms of the instalment plans.
@@ -139,9 +139,11 @@ def fee_tariffs(products: DataFrame, existing: DataFrame, day: date | str) -> Da
     )
 
 
-def offer_conditions(products: DataFrame, segments: DataFrame, existing: DataFrame, day: date | str,
-                     rows: int = 64, columns: int = 1) -> DataFrame:
-    """Offer of every product on sale to every segment; rates fall with the segment's risk level."""
+def offer_conditions(products: DataFrame, segments: DataFrame, uses: DataFrame, existing: DataFrame, day: date | str) -> DataFrame:
+    """Offer of every product on sale to the segments whose customers use it; rates fall with the segment's risk level.
+
+    `uses` has (ProductoID, SegmentoID), a row or more for each pair that occurs.
+    """
     level = F.col("NivelRiesgo")
 
     def reduced(c: str, step: str, kind: str) -> Column:
@@ -149,7 +151,7 @@ def offer_conditions(products: DataFrame, segments: DataFrame, existing: DataFra
 
     known = existing.filter(F.col("FechaVigenciaDesde") == _day(day)).select("ProductoID", F.col("SegmentoClienteID").alias("SegmentoID"))
     on_sale = products.filter(F.col("EsComercializable")).select("ProductoID", "TAE", "TIN", "Comision")
-    pairs = every_pair(on_sale, segments.select("SegmentoID", "NivelRiesgo"), rows, columns)
+    pairs = pairs_in_use(uses, on_sale, "ProductoID", segments.select("SegmentoID", "NivelRiesgo"), "SegmentoID")
     return pairs.join(known, ["ProductoID", "SegmentoID"], "left_anti").select(
         "ProductoID", F.col("SegmentoID").alias("SegmentoClienteID"), F.lit("Condición estándar").alias("TipoCondicion"),
         reduced("TAE", "0.05", "decimal(5,3)").alias("TAEOfertado"), reduced("TIN", "0.05", "decimal(5,3)").alias("TINOfertado"),

@@ -1,45 +1,29 @@
-"""Repeatable table samples sized from the row count."""
+"""Repeatable table samples: a stated share of the rows, chosen row by row by a stable hash."""
 
 from __future__ import annotations
 
-import zlib
-from dataclasses import dataclass
-from decimal import ROUND_HALF_UP, Decimal
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-# Below FULL_SCAN rows a table is read whole, larger ones give at most MAX_ROWS rows.
-FULL_SCAN = 10_000
-MAX_ROWS = 100_000
+DIGITS = 8
 
 
-@dataclass(frozen=True)
-class SamplePlan:
-    rows: int
-    percent: Decimal
-    whole: bool
+def _bound(share: float) -> str:
+    """The first hash, in hexadecimal, that is not in the sample."""
+    return format(int(share * 16**DIGITS), f"0{DIGITS}x")
 
 
-def sample_plan(row_count: int) -> SamplePlan:
-    """Half the rows, at most MAX_ROWS; the percentage gets a 20 % margin and stays in 0.01..50."""
-    if row_count < FULL_SCAN:
-        return SamplePlan(row_count, Decimal(100), True)
-    wanted = min(row_count // 2, MAX_ROWS)
-    percent = (Decimal(wanted) / Decimal(row_count) * 100 * Decimal("1.2")).quantize(Decimal("0.01"), ROUND_HALF_UP)
-    return SamplePlan(wanted, min(max(percent, Decimal("0.01")), Decimal(50)), False)
-
-
-def table_seed(name: str) -> int:
-    """The same table name always gives the same seed."""
-    return zlib.crc32(name.encode())
+def sample_rows(df: DataFrame, keys: Sequence[str], share: float = 1.0) -> DataFrame:
+    """About `share` of the rows; a row is chosen by its `keys` alone. 1 is the whole table."""
+    if share >= 1:
+        return df
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys])
+    return df.filter(F.substring(F.md5(text.cast("binary")), 1, DIGITS) < _bound(share))
 
 
-def sample_table(df: DataFrame, name: str, row_count: int) -> DataFrame:
-    """Whole when small, else a seeded sample cut at the planned size (about 1.2 x MAX_ROWS rows at most
-    reach the cut, however large the table) and dealt out again to all cores."""
-    plan = sample_plan(row_count)
-    if plan.whole:
-        return df
-    return df.sample(withReplacement=False, fraction=float(plan.percent) / 100, seed=table_seed(name)).limit(plan.rows).repartition(
-        df.sparkSession.sparkContext.defaultParallelism
-    )
+def sample_sql(keys: Sequence[str], share: float) -> str:
+    """The same choice as an SQL condition."""
+    text = " || '|' || ".join(f"coalesce(cast(\"{k}\" as varchar), '')" for k in keys)
+    return f"substr(md5({text}), 1, {DIGITS}) < '{_bound(share)}'"

@@ -13,18 +13,23 @@ from bodega.operators.incremental import id_ranges
 from bodega.operators.joins import q
 from bodega.plans.entity import CleanLoad, Sources, arrange, nothing
 
-# Where each sub-type starts in a merged id space, and its tag.
-CUSTOMERS = id_ranges(person=0, company=1_000_000)
-ACCOUNTS = id_ranges(current=0, savings=100_000, payroll=200_000)
-CREDITS = id_ranges(loan=0, mortgage=10_000)
-TRANSFERS = id_ranges(internal=0, external=1_000_000, sepa=2_000_000)
+# Ids that each sub-type has room for in a merged id space; an id beyond ends the load with an error.
+SPAN = 10**12
+CUSTOMERS = id_ranges(person=0, company=SPAN)
+ACCOUNTS = id_ranges(current=0, savings=SPAN, payroll=2 * SPAN)
+CREDITS = id_ranges(loan=0, mortgage=SPAN)
+TRANSFERS = id_ranges(internal=0, external=SPAN, sepa=2 * SPAN)
+# The tags of the sub-types.
 PERSON, COMPANY, COUNTRY = "Persona Física", "Persona Jurídica", "ESPAÑA"
 BRANCH, LOAN, MORTGAGE = "SUCURSAL", "PRESTAMO PERSONAL", "HIPOTECA"
 MAIN_HOLDER = "Titular"
 
 
 def _shifted(ident: str, offset: int):
-    return (q(ident) + F.lit(offset)).cast("bigint")
+    own = q(ident).cast("bigint")
+    fits = own.isNull() | own.between(1 if offset else 0, SPAN)
+    wrong = F.concat(F.lit(f"{ident} is outside its id range: "), own.cast("string"))
+    return F.when(fits, own + F.lit(offset)).otherwise(F.raise_error(wrong).cast("bigint"))
 
 
 def _people(s: Sources, prefix: str, second: bool = True) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,13 +80,22 @@ class Sources:
     marks: dict[str, Any] = field(default_factory=dict)
     ranges: dict[str, IdRange] = field(default_factory=dict)
     single_lookups: bool = False
+    observed: dict[str, Observation] | None = None
 
     def __call__(self, table: str, columns: str | None = None) -> DataFrame:
         df = self.read(table)
         return df if columns is None else df.select(*[q(c.strip()) for c in columns.split(",")])
 
     def fresh(self, table: str, ident: str, part: str = MAIN) -> DataFrame:
-        return newer(self.read(table), ident, self.marks.get(part))
+        rows = newer(self.read(table), ident, self.marks.get(part))
+        if self.observed is None:
+            return rows
+        self.observed[part] = Observation()
+        return rows.observe(self.observed[part], F.max(q(ident)).alias("mark"))
+
+    def seen(self) -> dict[str, Any]:
+        """Per part the largest `ident` that the load has read, known once its rows are written."""
+        return {p: o.get.get("mark") for p, o in (self.observed or {}).items()}
 
     def offset(self, part: str) -> int:
         return self.ranges[part].offset
@@ -140,27 +149,36 @@ def clean_marks(load: CleanLoad, store: Store, control: ControlTables | None) ->
 
 
 def load_clean(load: CleanLoad, read: Reader, store: Store, run_ts: datetime, control: ControlTables | None = None,
-               single_lookups: bool = False) -> int:
-    """Run one load and return the rows written (counted by the write itself)."""
-    sources = Sources(read, run_ts, clean_marks(load, store, control), load.ranges, single_lookups)
+               single_lookups: bool = False, marks: dict[str, dict[str, Any]] | None = None) -> int:
+    """Run one load and return the rows written (counted by the write itself).
+
+    A load by control date then moves the mark of each part to the largest date of the rows it has read, so that rows
+    arriving meanwhile belong to the next run. A header counts as read when its lines come later.
+    """
+    by_control = load.by == "control"
+    sources = Sources(read, run_ts, clean_marks(load, store, control), load.ranges, single_lookups, {} if by_control else None)
     rows = load.rows(sources)
-    return store.replace(load.target, rows) if load.by == "none" else store.append(load.target, rows)
+    if not by_control:
+        return store.replace(load.target, rows) if load.by == "none" else store.append(load.target, rows)
+    written = store.append(load.target, rows)
+    if marks is not None and written:
+        marks[load.target] = sources.seen()
+    return written
 
 
 def run_clean_layer(loads: Mapping[str, CleanLoad], read: Reader, store: Store, run_ts: datetime, only: str | None = None,
                     parallel: int = 1, single_lookups: bool = False) -> LayerResult:
     """All loads of a clean layer (or `only` one), with control and log rows."""
-    control = ControlTables(store)
+    control, marks = ControlTables(store), {}
 
     def job(load: CleanLoad) -> Callable[[], int]:
-        return lambda: load_clean(load, read, store, run_ts, control, single_lookups)
+        return lambda: load_clean(load, read, store, run_ts, control, single_lookups, marks)
 
     def done(name: str) -> bool:
         return loads[name].by != "control"
 
     result = run_layer({n: job(x) for n, x in loads.items()}, control, run_ts, only, parallel, control_rows_for=done)
-    for name, rows in result.rows.items():
-        if rows > 0 and loads[name].by == "control":
-            for part, (table, column) in loads[name].control_dates.items():
-                control.advance(loads[name].control_name(part), high_water(read(table), column), run_ts)
+    moved = {loads[n].control_name(p): mark for n, parts in marks.items() for p, mark in parts.items() if mark is not None}
+    if moved:
+        control.advance_all(moved, run_ts)
     return result

@@ -30,7 +30,6 @@ ERROR_COLUMNS = (
 class QualityRun:
     store: Store
     package: str = "DQ_Analisis"
-    full: bool = False
     clock: Callable[[], datetime] = datetime.now
 
     def results(self) -> DataFrame:
@@ -58,7 +57,7 @@ class QualityRun:
         tables = {TableName(e.database, e.schema, e.table): e.data for e in entries if in_scope(e)}
         ok = False
         try:
-            out = sweep(tables, day, save, self._done(day), self.full)
+            out = sweep(tables, day, save, self._done(day))
             for name, column, message in out.failures:
                 self._append(ERRORS, ERROR_COLUMNS, (start, self.package, PROCEDURE, name.database, name.schema, name.table, column, message))
             ok = True

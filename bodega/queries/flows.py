@@ -1,7 +1,5 @@
-"""The entity loads of both domains over raw tables derived from the given ones.
-
-Id offsets of merged sub-types are widened, so that ranges stay disjoint however many rows there are.
-"""
+"""The entity loads of both domains, as shipped, over raw tables derived from the given ones: first loads, second loads,
+the second day of every dimension."""
 
 from __future__ import annotations
 
@@ -9,27 +7,25 @@ from datetime import datetime
 from functools import cache
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bodega.operators.incremental import id_ranges
+from bodega.operators.incremental import range_high_water
 from bodega.operators.joins import resolve
 from bodega.plans import bank_gold, bank_silver, wholesale_gold, wholesale_silver
 from bodega.plans.entity import Sources, spaced
 from bodega.plans.star import Star
 from bodega.queries.base import RUN_TS, Tables, plain, query
-from bodega.queries.raw import raw, raw_sql
-
-WIDE = 10**12
-RANGES = {
-    "Cliente_Staging": id_ranges(person=0, company=WIDE),
-    "Cuenta_Staging": id_ranges(current=0, savings=WIDE, payroll=2 * WIDE),
-    "Credito_Staging": id_ranges(loan=0, mortgage=WIDE),
-    "Transferencia_Staging": id_ranges(internal=0, external=WIDE, sepa=2 * WIDE),
-}
+from bodega.queries.raw import RAW, raw, raw_sql
+from bodega.session import cut_lineage
+
+WIDE = bank_silver.SPAN
+DAY_ONE, DAY_ONE_TEXT = datetime(2024, 1, 1), "2024-01-01 00:00:00"
 NOW = datetime.fromisoformat(RUN_TS)
 
 
 class Flow:
-    """A domain's layers over one set of tables, evaluated lazily and built once per query."""
+    """A domain's layers over one set of tables. A dimension is settled once, as a load does it: others look it up."""
 
     def __init__(self, t: Tables, silver_loads, dimensions):
         self.raw, self.loads, self.dimensions = cache(raw(t)), silver_loads, dimensions
@@ -38,13 +34,14 @@ class Flow:
 
     def silver(self, target: str) -> DataFrame:
         if target not in self._silver:
-            self._silver[target] = self.loads[target].rows(Sources(self.raw, NOW, ranges=RANGES.get(target, {})))
+            load = self.loads[target]
+            self._silver[target] = load.rows(Sources(self.raw, NOW, ranges=load.ranges))
         return self._silver[target]
 
     def dims(self, target: str) -> DataFrame:
         if target not in self._dims:
             d = self.dimensions[target]
-            self._dims[target] = d.first(self.silver(d.staging), self.dims, NOW)
+            self._dims[target] = cut_lineage(d.first(self.silver(d.staging), self.dims, NOW, cut_lineage))
         return self._dims[target]
 
     def fact(self, load) -> DataFrame:
@@ -140,9 +137,11 @@ def dim(name: str, target: str, flow, staging: str, key: str, business: str, dro
     columns = f"s.* exclude ({gone})" if gone else "s.*"
     DIMS[target] = f"select {number}{columns}{extra} from ({SILVER[staging]}) s {joined}"
     query(name, DIMS[target], FLOATS.get(name, ()))(lambda t: plain(flow(t).dims(target) if show_key else flow(t).dims(target).drop(key)))
+    if show_key:  # numbered by an integer business id
+        day_two(name, target, flow, key, business, f"select {columns}{extra} from ({SILVER[staging]}) s {joined}")
 
 
-def fact(name: str, load, flow, body: str, name_for: tuple[str, str, str] | None = None):
+def fact(name: str, load, flow, body: str, name_for: tuple[str, str, str] | None = None, again: str | None = None):
     """Register a fact with its oracle. `name_for` shows a code in place of a hash-numbered key."""
     def run(t: Tables) -> DataFrame:
         f = flow(t)
@@ -153,6 +152,116 @@ def fact(name: str, load, flow, body: str, name_for: tuple[str, str, str] | None
         return plain(rows)
 
     query(name, body, FLOATS.get(name, ()))(run)
+    if again is not None:
+        fact_second_load(name, load, flow, again, body)
+
+
+def second_load(name: str, target: str, flow, parts: dict[str, tuple[str, str]]):
+    """Register two loads of a staging that merges sub-types: the lower half of each sub-type's ids, then the whole source.
+
+    `parts` maps a sub-type to its raw table and id. The second load reads what is above the marks of the first, as the
+    shipped load does; together they must be the whole, each row once.
+    """
+    load = (bank_silver.LOADS if flow is bank else wholesale_silver.LOADS)[target]
+
+    def run(t: Tables) -> DataFrame:
+        reader, half = raw(t), {table: (ident, _half(raw(t)(table), ident)) for table, ident in parts.values()}
+
+        def lower(table: str) -> DataFrame:
+            rows = reader(table)
+            return rows.filter(F.col(half[table][0]) <= half[table][1]) if table in half else rows
+
+        first = cut_lineage(load.rows(Sources(lower, NOW, ranges=load.ranges)))
+        marks = range_high_water(first, load.ident, load.ranges)
+        second = load.rows(Sources(reader, NOW, marks, load.ranges))
+        return plain(first.withColumn("lote", F.lit(1)).unionByName(second.withColumn("lote", F.lit(2))))
+
+    cases = " ".join(
+        f"""when "{load.ident}" between {load.ranges[part].offset + 1} and {load.ranges[part].offset} + (select max({ident}) // 2 from ({RAW[table].replace('{', '').replace('}', '')})) then 1"""
+        for part, (table, ident) in parts.items())
+    query(f"{name}_second_load", f"select *, case {cases} else 2 end as lote from ({SILVER[target]})", FLOATS.get(name, ()))(run)
+
+
+def _half(rows: DataFrame, ident: str) -> int:
+    return rows.agg(F.floor(F.max(ident) / 2)).first()[0] or 0
+
+
+def fact_second_load(name: str, load, flow, staging: str, body: str):
+    """Register two loads of a fact by id: from the lower half of its staging, then from all of it above the marks."""
+    def run(t: Tables) -> DataFrame:
+        f = flow(t)
+        half = _half(f.silver(staging), f"`{load.ident}`")
+
+        def lower(target: str) -> DataFrame:
+            return f.silver(target).filter(F.col(f"`{load.ident}`") <= half) if target == staging else f.silver(target)
+
+        first = cut_lineage(load.build(Star(lower, f.dims, NOW, {}, load.ranges)))
+        second = load.build(Star(f.silver, f.dims, NOW, load.marks(first), load.ranges))
+        return plain(first.withColumn("lote", F.lit(1)).unionByName(second.withColumn("lote", F.lit(2))))
+
+    batch = f"""case when "{load.ident}" <= (select max("{load.ident}") // 2 from ({SILVER[staging]})) then 1 else 2 end as lote"""
+    query(f"{name}_second_load", f"select *, {batch} from ({body})", FLOATS.get(name, ()))(run)
+
+
+def day_two(name: str, target: str, flow, key: str, business: str, columns: str):
+    """Register the second day of a dimension that its first day (without every fifth member) has loaded.
+
+    On the second day the late members are there, and every seventh member's first tracked column differs: texts become
+    another text, and every seventh from the next one NULL; numbers grow by one; flags turn.
+    """
+    d = (bank_gold.DIMENSIONS if flow is bank else wholesale_gold.DIMENSIONS)[target]
+    watched = next(iter(d.tracked), None)
+
+    def run(t: Tables) -> DataFrame:
+        f = flow(t)
+        ident, staging = F.col(f"`{business}`"), f.silver(d.staging)
+        first = cut_lineage(d.first(staging.filter(ident % 5 != 0), f.dims, DAY_ONE, cut_lineage))
+        if watched is None:
+            added = d.additions(first, staging, f.dims, NOW, cut_lineage)
+            return plain(first.unionByName(added))
+        old, kind = F.col(f"`{watched}`"), staging.schema[watched].dataType
+        if isinstance(kind, T.StringType):
+            new = F.when(ident % 7 == 0, "OTRO").when(ident % 7 == 1, F.lit(None)).otherwise(old)
+        elif isinstance(kind, T.BooleanType):
+            new = F.when(ident % 7 == 0, ~old).otherwise(old)
+        else:
+            new = F.when(ident % 7 == 0, old + 1).otherwise(old).cast(kind)
+        return plain(d.merged(first, staging.withColumn(watched, new), f.dims, NOW, cut_lineage))
+
+    number = f"""row_number() over (order by "{business}" % 1021, "{business}")"""
+    stamped = """'{0}' as "Valid From\""""
+    if watched is None:
+        change, replaced = "false", "*"
+    else:
+        ident, old = f'"{business}"', f'"{watched}"'
+        text = f"case when {ident} % 7 = 0 then 'OTRO' when {ident} % 7 = 1 then null else {old} end"
+        plus = f"case when {ident} % 7 = 0 then {old} + 1 else {old} end"
+        flip = f"case when {ident} % 7 = 0 then 1 - {old} else {old} end"
+        new = {"text": text, "number": plus, "flag": flip}[WATCHED_KIND[target]]
+        replaced = f"* replace ({new} as {old})"
+        default = d.tracked[watched]
+        value = "n.{0}, o.{0}".format(old).split(", ")
+        if default is None:
+            change = f"coalesce({value[0]} <> {value[1]}, false)"
+        else:
+            shown = f"'{default}'" if isinstance(default, str) else str(default)
+            change = f"coalesce({value[0]}, {shown}) <> coalesce({value[1]}, {shown})"
+    sql = f"""with s as ({columns}), early as (select {number} as k, * replace ('{DAY_ONE_TEXT}' as "Valid From") from s where "{business}" % 5 <> 0),
+        today as (select {replaced} from s),
+        pending as (select n.*, o.k is not null as was from today n left join early o on o."{business}" = n."{business}" where o.k is null or {change})
+        select e.k as "{key}", e.* exclude (k) replace (case when p.was then '{RUN_TS}' else e."Valid To" end as "Valid To")
+            from early e left join (select * from pending where was) p on p."{business}" = e."{business}"
+        union all by name
+        select (select max(k) from early) + {number} as "{key}", p.* exclude (was) from pending p"""
+    query(f"{name}_day_two", sql, FLOATS.get(name, ()))(run)
+
+
+# What the first tracked column of a dimension holds.
+WATCHED_KIND = {
+    "Dimension.Centro": "text", "Dimension.Producto": "number", "Dimension.Cliente": "text", "Dimension.PerfilRiesgo": "number",
+    "Dimension.Empleado": "text", "Dimension.Cuenta": "text", "Dimension.Customer": "text", "Dimension.Stock Item": "number",
+    "Dimension.Supplier": "text",
+}
 
 
 # --- bank, clean layer --------------------------------------------------------------------------------
@@ -293,6 +402,14 @@ dim("gd_account", "Dimension.Cuenta", bank, "Cuenta_Staging", "Cuenta Key", "WWI
     ', coalesce(c."Cliente Key", 0) as "Cliente Key"', f'left join ({DIMS["Dimension.Cliente"]}) c on c."WWI Cliente ID" = s."Cliente ID"')
 
 
+second_load("bs_customer", "Cliente_Staging", bank, {"person": ("Cliente.Personas", "PersonaID"), "company": ("Cliente.PersonasJuridicas", "PersonaJuridicaID")})
+second_load("bs_account", "Cuenta_Staging", bank, {
+    "current": ("Cuenta.CuentasCorrientes", "CuentaCorrienteID"), "savings": ("Cuenta.CuentasAhorro", "CuentaAhorroID"), "payroll": ("Cuenta.CuentasNomina", "CuentaNominaID")})
+second_load("bs_credit", "Credito_Staging", bank, {"loan": ("Credito.Prestamos", "PrestamoID"), "mortgage": ("Credito.PrestamosHipotecarios", "PrestamoHipotecarioID")})
+second_load("bs_transfer", "Transferencia_Staging", bank, {
+    "internal": ("Transferencia.TransferenciasInternas", "TransferenciaInternaID"), "external": ("Transferencia.TransferenciasExternas", "TransferenciaExternaID"),
+    "sepa": ("Transferencia.TransferenciasSEPA", "TransferenciaSEPAID")})
+
 # --- bank, facts --------------------------------------------------------------------------------------
 
 def dkey(column: str, target: str, of: str = "s") -> str:
@@ -311,7 +428,7 @@ _ACCOUNT_KEYS = 'coalesce(a."Cuenta Key", 0) as "{0}", coalesce(a."Cliente Key",
 
 fact("gf_movement", bank_gold.FACTS["Fact.Movimiento"], bank, f"""select {dkey('Fecha Movimiento', 'Fecha Movimiento Key')}, {dkey('Fecha Valor', 'Fecha Valor Key')}, {_ACCOUNT_KEYS.format('Cuenta Key')},
     {cols('Tipo Movimiento, Concepto, Importe Movimiento, Saldo Despues Movimiento, Canal Operacion, WWI Movimiento ID')}, 0 as "Centro Key"
-    from ({SILVER['Movimiento_Staging']}) s {_BY_ACCOUNT.format('Numero Cuenta')}""")
+    from ({SILVER['Movimiento_Staging']}) s {_BY_ACCOUNT.format('Numero Cuenta')}""", again="Movimiento_Staging")
 
 fact("gf_account_balance", bank_gold.FACTS["Fact.SaldoCuenta"], bank, f"""select {dkey('Fecha', 'Fecha Key')}, {_ACCOUNT_KEYS.format('Cuenta Key')}, 0 as "Producto Key",
     {cols('Saldo Apertura, Saldo Cierre, Saldo Promedio, Numero Movimientos, Importe Total Entradas, Importe Total Salidas')}
@@ -328,7 +445,7 @@ fact("gf_credit", bank_gold.FACTS["Fact.Credito"], bank, f"""select {dkey('Fecha
 
 fact("gf_instalment", bank_gold.FACTS["Fact.CuotaPrestamo"], bank, f"""select {dkey('Fecha Vencimiento', 'Fecha Vencimiento Key')}, {dkey('Fecha Pago', 'Fecha Pago Key')}, coalesce(h.k, 0) as "Cliente Key",
     {cols('Numero Contrato, Numero Cuota, Importe Cuota, Importe Capital, Importe Intereses, Importe Comisiones, Capital Pendiente, Importe Pagado, Estado Cuota, Dias Retraso, WWI Cuota ID')}
-    from ({SILVER['Cuota_Staging']}) s {_HOLDER}""")
+    from ({SILVER['Cuota_Staging']}) s {_HOLDER}""", again="Cuota_Staging")
 
 fact("gf_transfer", bank_gold.FACTS["Fact.Transferencia"], bank, f"""select {dkey('Fecha Operacion', 'Fecha Operacion Key')}, {dkey('Fecha Valor', 'Fecha Valor Key')}, {_ACCOUNT_KEYS.format('Cuenta Origen Key')},
     {cols('Tipo Transferencia, Numero Operacion, Nombre Beneficiario, Pais Destino, Importe Transferencia, Comision Aplicada, Estado Transferencia, Canal Operacion, Es Pago Recurrente, Es SEPA, WWI Transferencia ID')}

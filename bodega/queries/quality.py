@@ -10,7 +10,7 @@ from bodega.operators import audit
 from bodega.operators.quality import (
     NEEDS_LENGTH, PATTERNS, TableName, close_run, keep_newest_runs, not_done_today, profile,
 )
-from bodega.operators.sampling import sample_table
+from bodega.operators.sampling import sample_rows, sample_sql
 from bodega.queries.base import RUN_DAY, RUN_TS, Tables, plain, query
 from bodega.queries.raw import C, dni, email, iban, phone, postal
 
@@ -170,10 +170,13 @@ _focus("dq_iban_conformity", ("cuenta",), ("porc_iban", "porc_conformidad"))
 _focus("dq_logical_type", tuple(PEOPLE_COLUMNS), ("tipo_logico", "porc_coincidencia", "porc_conformidad"))
 
 
-@query("dq_sampled_profile")
+LINE_KEY = ("l_orderkey", "l_linenumber")
+
+
+@query("dq_sampled_profile", profile_oracle(f"(select * from lineitem where {sample_sql(LINE_KEY, 0.25)})", "lineitem", GIVEN["lineitem"]))
 def dq_sampled_profile(t: Tables) -> DataFrame:
-    rows = t.lineitem
-    return plain(profile(sample_table(rows, "origen.dado.lineitem", rows.count()), TableName("origen", "dado", "lineitem"), RUN_DAY))
+    """The profile of a stated share of a table."""
+    return plain(profile(sample_rows(t.lineitem, LINE_KEY, 0.25), TableName("origen", "dado", "lineitem"), RUN_DAY))
 
 
 # --- audits ------------------------------------------------------------------------------------------

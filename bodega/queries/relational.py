@@ -15,9 +15,9 @@ from bodega.functions.text import (
 from bodega.operators.audit import duplicated
 from bodega.operators.control import newest_runs, row_counts, upsert
 from bodega.operators.incremental import IdRange, id_ranges, union_subtypes
-from bodega.operators.joins import bridge, detail_measures, every_pair, key_per_value, latest_per_key, resolve
+from bodega.operators.joins import bridge, detail_measures, pairs_in_use, key_per_value, latest_per_key, resolve
 from bodega.operators.keys import number_rows
-from bodega.operators.risk import growth_factor
+from bodega.operators.risk import GROWTH, LATER_GROWTH, growth_factor
 from bodega.queries.base import RUN_TS, TABLES, Tables, plain, query
 from bodega.queries.raw import dni, email, iban, phone, postal
 from bodega.sources.relations import inline_rows, missing_rows
@@ -280,9 +280,14 @@ def compound_join(t: Tables) -> DataFrame:
                  .select("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
 
 
-@query("cross_offer", "select p_partkey, r_regionkey from part, region")
+USES = """select l_partkey as p_partkey, n_regionkey as r_regionkey from {lineitem} join {orders} on l_orderkey = o_orderkey
+    join {customer} on o_custkey = c_custkey join {nation} on c_nationkey = n_nationkey"""
+
+
+@query("cross_offer", f"""select distinct p_partkey, r_regionkey, p_name, r_name from ({USES.replace('{', '').replace('}', '')}) join part using (p_partkey) join region using (r_regionkey)""")
 def cross_offer(t: Tables) -> DataFrame:
-    return plain(every_pair(t.part.select("p_partkey"), t.region.select("r_regionkey"), rows=4, columns=2))
+    """Every part with each region it is ordered from."""
+    return plain(pairs_in_use(t.sql(USES), t.part.select("p_partkey", "p_name"), "p_partkey", t.region.select("r_regionkey", "r_name"), "r_regionkey"))
 
 
 @query("scalar_lookup", """select l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce((select min(s_suppkey) + 1 from supplier
@@ -468,9 +473,10 @@ def seed_catalogue(t: Tables) -> DataFrame:
     return plain(catalogue.join(t.customer, "c_mktsegment").select(F.concat(F.lit("SEG-"), "c_mktsegment").alias("seg"), "c_custkey"))
 
 
-@query("growth_factor", f"""select year(o_orderdate) + 16 as ano, cast(sum({M('o_totalprice')} * case year(o_orderdate) + 16 when 2013 then 1.00 when 2014 then 1.12
-    when 2015 then 1.21 when 2016 then 1.26 when 2017 then 1.30 when 2018 then 1.35 when 2019 then 1.40 when 2020 then 1.20 when 2021 then 1.35
-    when 2022 then 1.42 else 1.45 end) as double) as ajustado from orders group by 1""")
+_GROWTH = "case year(o_orderdate) + 16 " + " ".join(f"when {y} then {g}" for y, g in GROWTH.items()) + f" else {LATER_GROWTH} end"
+
+
+@query("growth_factor", f"""select year(o_orderdate) + 16 as ano, cast(sum({M('o_totalprice')} * {_GROWTH}) as double) as ajustado from orders group by 1""")
 def growth(t: Tables) -> DataFrame:
     shifted = F.add_months(F.col("o_orderdate").cast("date"), 16 * 12)
     rows = t.orders.select(F.year(shifted).alias("ano"), (money("o_totalprice") * growth_factor(shifted)).alias("v"))

@@ -34,9 +34,12 @@ def risk_month_end(t: Tables) -> DataFrame:
     return plain(risk.risk_declarations(loans(t), declared(t), RUN_DAY))
 
 
-@query("risk_not_month_end", "select count(*) - count(*) as filas from orders")
+@query("risk_not_month_end", """select count(distinct o_custkey) filter (dia = last_day(dia)) as filas from orders, (select cast(max(o_orderdate) as date) as dia from orders)
+    where o_orderkey % 40 <> 0""")
 def risk_not_month_end(t: Tables) -> DataFrame:
-    return plain(risk.risk_declarations(loans(t), declared(t), "2024-06-29").agg(F.count(F.lit(1)).alias("filas")))
+    """Nothing is declared unless the day, here the last one with an order, is a month's last."""
+    day = t.orders.agg(F.max("o_orderdate").cast("date")).first()[0]
+    return plain(risk.risk_declarations(loans(t), declared(t).limit(0), str(day)).agg(F.count(F.lit(1)).alias("filas")))
 
 
 @query("risk_detail", f"""with {raw_sql(LOANS)} select PersonaID as "DeclaracionCIRBEID", PrestamoID % 25 + 1 as "EntidadFinancieraID", NumeroContrato as "NumeroContrato", 'Préstamo Personal' as "TipoOperacion",
@@ -78,13 +81,18 @@ def fee_tariffs(t: Tables) -> DataFrame:
     return plain(risk.fee_tariffs(raw(t)(PRODUCTS), existing_prices(t), RUN_DAY))
 
 
+# Which customers' segments use which products: lines of their orders.
+USES = """select distinct l_partkey + 1 as ProductoID, c_nationkey % 5 + 1 as SegmentoID from {lineitem} join {orders} on l_orderkey = o_orderkey
+    join {customer} on o_custkey = c_custkey"""
+
+
 @query("offer_conditions", f"""with {raw_sql(PRODUCTS, SEGMENTS)} select ProductoID as "ProductoID", SegmentoID as "SegmentoClienteID", 'Condición estándar' as "TipoCondicion",
     {D2('cast(TAE * (1 - NivelRiesgo * 0.05) as decimal(5,3))')} as "TAEOfertado", {D2('cast(TIN * (1 - NivelRiesgo * 0.05) as decimal(5,3))')} as "TINOfertado",
     {D2('coalesce(cast(Comision * (1 - NivelRiesgo * 0.1) as decimal(18,2)), 0)')} as "ComisionApertura", {D2('NivelRiesgo * 2')} as "BonificacionAplicable", '{RUN_DAY}' as "FechaVigenciaDesde"
-    from "Producto.CatalogoProductos", "Cliente.Segmentos" where EsComercializable and not (SegmentoID = 1 and ProductoID in (select l_partkey + 1 from lineitem where l_quantity = 50))""")
+    from ({USES.replace('{', '').replace('}', '')}) join "Producto.CatalogoProductos" using (ProductoID) join "Cliente.Segmentos" using (SegmentoID) where EsComercializable and not (SegmentoID = 1 and ProductoID in (select l_partkey + 1 from lineitem where l_quantity = 50))""")
 def offer_conditions(t: Tables) -> DataFrame:
     existing = existing_prices(t).withColumn("SegmentoClienteID", F.lit(1))
-    return plain(risk.offer_conditions(raw(t)(PRODUCTS), raw(t)(SEGMENTS), existing, RUN_DAY, rows=4, columns=1))
+    return plain(risk.offer_conditions(raw(t)(PRODUCTS), raw(t)(SEGMENTS), t.sql(USES), existing, RUN_DAY))
 
 
 _CLASS = "case o_orderkey % 3 when 0 then 'PRESTAMO' when 1 then 'HIPOTECA' else 'CONSUMO' end"

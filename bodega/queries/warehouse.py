@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from bodega.operators.joins import resolve
 from bodega.operators.keys import FACT_BUCKETS, number_rows
 from bodega.operators.scd import as_of, changes, first_versions, merge_versions, missing_members, newest, open_versions
 from bodega.queries.base import RUN_TS, Tables, plain, query
+from bodega.session import shared_folder
+from bodega.sources.store import Store
 
 DAY_ONE, DAY_TWO, BETWEEN = "2024-01-01 00:00:00", RUN_TS, "2024-03-01 00:00:00"
 BIG = 10**12
@@ -33,9 +37,15 @@ def incremental_id(t: Tables) -> DataFrame:
     return plain(numbered(1, target).unionByName(numbered(2, newer(source, "event_id", high_water(target, "event_id")))))
 
 
-@query("incremental_first_load", "select o_orderkey from orders")
+@query("incremental_first_load", "select o_orderkey, o_custkey, case when o_orderkey <= (select max(o_orderkey) // 2 from orders) then 1 else 2 end as lote from orders")
 def incremental_first_load(t: Tables) -> DataFrame:
-    return plain(newer(t.orders.select("o_orderkey"), "o_orderkey", high_water(None, "o_orderkey")))
+    """Two loads into a stored table that does not exist before: each appends what is above the stored mark."""
+    store, source = Store(t.spark, f"{shared_folder(t.spark)}/first-load-{uuid4().hex}"), t.orders.select("o_orderkey", "o_custkey")
+    half = source.agg(F.floor(F.max("o_orderkey") / 2)).first()[0]
+    for tag, rows in ((1, source.filter(F.col("o_orderkey") <= half)), (2, source)):
+        mark = high_water(store.read("orders") if store.exists("orders") else None, "o_orderkey")
+        store.append("orders", numbered(tag, newer(rows, "o_orderkey", mark)))
+    return plain(store.read("orders"))
 
 
 @query("incremental_ranges", f"""select id, case when id <= {BIG} then (case when id <= (select max(c_custkey) // 2 from customer) then 1 else 2 end)
@@ -98,8 +108,13 @@ def purge_log(t: Tables) -> DataFrame:
 
 @query("snapshot_refresh", """select p_partkey as articulo, upper(trim(' l-' || p_name)) as hueco, cast(cast(p_retailprice as decimal(18,2)) as double) as coste from part""")
 def snapshot_refresh(t: Tables) -> DataFrame:
-    return plain(t.part.select(F.col("p_partkey").alias("articulo"), F.upper(F.trim(F.concat(F.lit(" l-"), "p_name"))).alias("hueco"),
-                               money("p_retailprice").alias("coste")))
+    """A stored snapshot of the day before is replaced whole by today's."""
+    store = Store(t.spark, f"{shared_folder(t.spark)}/snapshot-{uuid4().hex}")
+    today = t.part.select(F.col("p_partkey").alias("articulo"), F.upper(F.trim(F.concat(F.lit(" l-"), "p_name"))).alias("hueco"),
+                          money("p_retailprice").alias("coste"))
+    store.replace("existencias", today.withColumn("coste", money(F.lit(0))))
+    store.replace("existencias", today)
+    return plain(store.read("existencias"))
 
 
 # --- dimensions --------------------------------------------------------------------------------------

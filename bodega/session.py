@@ -15,7 +15,6 @@ def build_session(app: str = "bodega", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.parquet.aggregatePushdown": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Plans here are built from many small expressions; recording a Python call site for each one
         # more than doubles the time to build them.
@@ -33,12 +32,25 @@ def build_session(app: str = "bodega", master: str | None = None, **conf: str) -
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` in the reliable checkpoint folder so a lost executor cannot undo it.
 
-    The folder comes from ``spark.checkpoint.dir``. Only where the cluster names none (tests,
-    a laptop) is a temporary folder used.
+    The folder comes from ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="bodega-checkpoint-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, from ``spark.checkpoint.dir``.
+
+    A cluster must name one. A session in one process (a test, a laptop) that names none gets a temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="bodega-shared-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder

@@ -66,7 +66,7 @@ def test_bank_keys_are_unique_and_resolved(bank):
     fact = gold.read("Fact.Movimiento")
     assert fact.filter(F.col("`Cuenta Key`") == 0).count() == 0 == fact.filter(F.col("`Cliente Key`") == 0).count()
     assert fact.select(F.count_distinct(F.col("`Movimiento Key`"))).first()[0] == fact.count()
-    savings = gold.read("Dimension.Cuenta").filter(F.col("`WWI Cuenta ID`") > 100_000)
+    savings = gold.read("Dimension.Cuenta").filter(F.col("`WWI Cuenta ID`") > bank_silver.SPAN)
     assert savings.select("`Cliente Key`").distinct().collect() == [(0,)]
 
 
@@ -91,6 +91,53 @@ def test_changed_customer_gets_a_new_version(bank, tables, spark, tmp_path):
     assert open_versions(copy.read("Dimension.Cliente")).count() == open_versions(gold.read("Dimension.Cliente")).count()
 
 
+def test_many_loans_and_mortgages_load_once(tables, spark, tmp_path):
+    """More loans than a narrow id range would hold: the second run on the same source adds nothing."""
+    reader, shift = raw(tables), 20_000
+
+    def many(name):
+        df = reader(name)
+        if name != "Credito.Prestamos":
+            return df
+        return df.unionByName(df.withColumn("PrestamoID", F.col("PrestamoID") + shift))
+
+    some, store = {"Credito_Staging": bank_silver.LOADS["Credito_Staging"]}, Store(spark, str(tmp_path / "s"))
+    first = run_clean_layer(some, many, store, DAY1)
+    assert first.rows["Credito_Staging"] == 2 * tables.orders.count() + tables.part.count()
+    credits = store.read("Credito_Staging")
+    assert credits.select(F.count_distinct("`WWI Credito ID`")).first()[0] == credits.count()
+    assert run_clean_layer(some, many, store, DAY2).rows == {"Credito_Staging": 0}
+
+
+def test_an_id_outside_its_range_ends_the_load(tables, spark, tmp_path):
+    reader = raw(tables)
+
+    def far(name):
+        df = reader(name)
+        return df.withColumn("PrestamoID", F.col("PrestamoID") + bank_silver.SPAN) if name == "Credito.Prestamos" else df
+
+    result = run_clean_layer({"Credito_Staging": bank_silver.LOADS["Credito_Staging"]}, far, Store(spark, str(tmp_path / "s")), DAY1)
+    assert result.errors == 1 and "outside its id range" in result.messages["Credito_Staging"]
+
+
+def test_rows_that_arrive_during_a_load_belong_to_the_next(tables, spark, tmp_path):
+    reader, late = raw(tables), {"on": False}
+    newest = tables.orders.agg(F.max("o_orderdate")).first()[0]
+
+    def growing(name):
+        df = reader(name)
+        if name == "Sales.Orders" and late["on"]:
+            extra = df.orderBy("OrderID").limit(1).withColumn("OrderDate", F.lit(str(newest)).cast("timestamp_ntz") + F.expr("interval 1 day"))
+            return df.unionByName(extra)
+        late["on"] = late["on"] or name == "Sales.Orders"  # arrives after the load has read its source
+        return df
+
+    some, store = {"Order_Staging": wholesale_silver.LOADS["Order_Staging"]}, Store(spark, str(tmp_path / "s"))
+    assert run_clean_layer(some, growing, store, DAY1).rows["Order_Staging"] > 0
+    assert {r[0]: r[1] for r in ControlTables(store).control().collect()}["Order_Staging"] == newest
+    assert run_clean_layer(some, growing, store, DAY2).rows["Order_Staging"] > 0
+
+
 def test_only_new_rows_of_each_subtype_are_loaded(bank, tables, spark):
     silver, _, _, _ = bank
     reader = raw(tables)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from bodega.operators import audit, incremental, keys
 from bodega.operators.control import ControlTables, run_layer
 from bodega.operators.facts import daily_balance
-from bodega.operators.joins import bridge, differs, every_pair, key_per_value, latest_per_key, resolve
-from bodega.operators.sampling import sample_plan, sample_table, table_seed
+from bodega.operators.joins import bridge, differs, pairs_in_use, key_per_value, latest_per_key, resolve
+from bodega.operators.sampling import sample_rows
 from bodega.operators.scd import as_of, first_versions, merge_versions, missing_members, newest, open_versions
 from bodega.sources.relations import inline_rows, missing_rows
 
@@ -84,10 +84,10 @@ def test_bridge_takes_the_smallest_key_per_contract(spark):
     assert rows(bridge(credits, dim, {"client": "id"}, "contract", "k")) == [("c1", 20)]
 
 
-@pytest.mark.parametrize("grid", [(1, 1), (3, 2), (5, 7)])
-def test_every_pair_is_complete_on_any_grid(spark, grid):
+def test_pairs_in_use_are_those_that_occur(spark):
     a, b = spark.range(11).withColumnRenamed("id", "a"), spark.range(4).withColumnRenamed("id", "b")
-    assert rows(every_pair(a, b, *grid), "a", "b") == [(i, j) for i in range(11) for j in range(4)]
+    uses = spark.createDataFrame([(1, 2), (1, 2), (1, 3), (9, 0), (9, 7), (None, 1)], "a long, b long")
+    assert rows(pairs_in_use(uses, a, "a", b, "b"), "a", "b") == [(1, 2), (1, 3), (9, 0)]
 
 
 def test_change_rules_for_null(spark):
@@ -181,20 +181,11 @@ def test_constraint_audit(spark):
     assert got == {"kind": (4, 1), "id": (4, 1), "parent": (4, 1), "lista": (4, 1), "uno": (4, 3)}
 
 
-def test_sample_sizes():
-    assert sample_plan(9_999).whole and sample_plan(9_999).rows == 9_999
-    plan = sample_plan(20_000)
-    assert (plan.rows, str(plan.percent)) == (10_000, "50")
-    plan = sample_plan(1_000_000)
-    assert (plan.rows, str(plan.percent)) == (100_000, "12.00")
-    assert str(sample_plan(10**12).percent) == "0.01"
-
-
-def test_sample_is_repeatable_and_bounded(spark):
+def test_sample_is_repeatable_and_whole_by_default(spark):
     df = spark.range(50_000)
-    a, b = (sorted(r[0] for r in sample_table(df, "db.s.t", 50_000).collect()) for _ in range(2))
-    assert a == b and 0 < len(a) <= 25_000
-    assert table_seed("db.s.t") == table_seed("db.s.t") != table_seed("db.s.u")
+    assert sample_rows(df, ["id"]).count() == 50_000
+    a, b = (sorted(r[0] for r in sample_rows(d, ["id"], 0.25).collect()) for d in (df, df.repartition(7)))
+    assert a == b and abs(len(a) - 12_500) < 600
 
 
 def test_seeding_twice_adds_nothing(spark):

@@ -133,6 +133,17 @@ def test_sweep_skips_retries_and_reports(spark):
     assert [(n.table, c) for n, c, _ in out.failures] == [("mala", "roto")] and "bad column" in out.failures[0][2]
 
 
+def test_an_unreadable_table_does_not_end_the_sweep(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(10).write.parquet(str(path))
+    damaged = spark.read.parquet(str(path))
+    for f in path.glob("part-*"):
+        f.write_bytes(b"no parquet")
+    tables = {TableName("db", "s", "rota"): damaged, TableName("db", "s", "ok"): spark.range(3)}
+    out = sweep(tables, DAY, lambda name, result: result.collect())
+    assert len(out.results) == 1 and {n.table for n, _, _ in out.failures} == {"rota"}
+
+
 def test_retention_and_pending(spark):
     rows = [("db", "s", "t", date(2024, 6, d)) for d in (1, 2, 3, 4, 4)]
     res = spark.createDataFrame(rows, "base_datos string, schema_name string, tabla string, fecha_ejecucion date")
