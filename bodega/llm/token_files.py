@@ -28,7 +28,7 @@ END_ID = 2
 FRAME_IDS = 65_536
 LEVEL = 3
 MANIFEST = "file long, path string, n_docs long, n_ids long, n_bytes long"
-ROWS = "doc_id long, file long, local_start long, n_tokens long, ids_crc32 long"
+ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long, file long"
 
 # Fixed values of the public zstandard formats: skippable frames and the seekable format's footer.
 TABLE_MAGIC = 0x184D2A50
@@ -208,12 +208,16 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
 
 
 def read_files(manifest: DataFrame) -> DataFrame:
-    """One row per document from the files: doc_id, file, local_start, n_tokens, ids_crc32 (of 32-bit ids)."""
+    """One row per document from the files: doc_id, start, n_tokens, ids_crc32 (of 32-bit ids), file.
+
+    `start` is the number of ids of all documents before it: those of the files before, which travel with the manifest's
+    rows, and those before it in its file.
+    """
     import pyarrow as pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for number, path, before in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 files, place = _open(path)
                 with files.open_input_file(place) as source:
                     reader, rows = Reader(source), []
@@ -221,25 +225,17 @@ def read_files(manifest: DataFrame) -> DataFrame:
                         crc = 0
                         for block in reader.blocks(doc):
                             crc = zlib.crc32(block, crc)
-                        rows.append((doc.doc_id, number, doc.start, doc.length, crc))
+                        rows.append((doc.doc_id, before + doc.start, doc.length, crc, number))
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
-                                      names=["doc_id", "file", "local_start", "n_tokens", "ids_crc32"])
-
-    # A file a task, as far as there are cores: the manifest itself is small.
-    return manifest.select("file", "path").repartition(F.col("file")).mapInArrow(run, ROWS)
+                                      names=["doc_id", "start", "n_tokens", "ids_crc32", "file"])
 
-
-def token_positions(manifest: DataFrame) -> DataFrame:
-    """The documents of the files with `start`, the ids of all documents before it."""
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = manifest.select(F.col("file").alias("_file"), F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("_before"))
-    return (
-        read_files(manifest).join(starts, F.col("file") == F.col("_file"))
-        .select("doc_id", (F.col("_before") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", "file")
-    )
+    # The manifest has a row per file, not per document, so one task can sum it.
+    ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    placed = manifest.select("file", "path", F.coalesce(F.sum("n_ids").over(ahead), F.lit(0)).alias("before"))
+    return placed.repartition(F.col("file")).mapInArrow(run, ROWS)
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Write all documents as token files, read the files back, return a row per document."""
     spark: SparkSession = docs.sparkSession
-    return token_positions(write_files(docs, folder or common.scratch(spark, "token-files"), tokenizer, end_id))
+    return read_files(write_files(docs, folder or common.scratch(spark, "token-files"), tokenizer, end_id))
