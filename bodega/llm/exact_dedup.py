@@ -103,7 +103,8 @@ def exact_dedup(docs: DataFrame, size: int = BLOCK) -> DataFrame:
     best = rows.groupBy("n_blocks", "name").agg(
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("d"), F.col("row").alias("r"))).alias("best"))
-    best = best.select(F.col("n_blocks").alias("_n"), F.col("name").alias("_name"), "group_size", "best")
+    # Settled, so that the join below reads both sides as they are and a large group of copies is split among tasks.
+    best = common.settle(best.select(F.col("n_blocks").alias("_n"), F.col("name").alias("_name"), "group_size", "best"), "kept")
     return (
         rows.join(best, (F.col("n_blocks") == F.col("_n")) & (F.col("name") == F.col("_name")))
         .select("doc_id", F.col("best.d").alias("keep_id"), "group_size",
