@@ -336,7 +336,7 @@ def clean(docs: DataFrame, index: LineIndex) -> DataFrame:
                     counts.append(len(lines))
                     lost.append(len(lines) - len(kept))
                     raw = b"\n".join(kept)
-                    text = raw.decode()
+                    text = raw.decode() if len(kept) < len(lines) else text
                 else:
                     counts.append(raw.count(b"\n") + 1)
                     lost.append(0)

@@ -145,7 +145,11 @@ def links(distinct: DataFrame, distance: int = DISTANCE, partitions: int = PARTI
     groups = group_bits(sample, partitions)
     chosen = [(i, b, t) for i, (b, t) in enumerate(zip(groups, allocate(sample, groups, distance, n), strict=True)) if t >= 0]
     fp = F.col("fp")
-    asked = F.concat(*[F.transform(probes(fp, b, t), lambda v, i=i: F.struct(F.lit(i).alias("i"), v.alias("v"))) for i, b, t in chosen])
+
+    def tagged(i: int, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(i).alias("i"), v.alias("v")))
+
+    asked = F.concat(*[tagged(i, probes(fp, b, t)) for i, b, t in chosen])
     held = F.array(*[F.struct(F.lit(i).alias("i"), masked(fp, b).alias("v")) for i, b, _ in chosen])
     left = distinct.select(fp.alias("a"), F.explode(asked).alias("k")).select("a", "k.i", "k.v")
     right = distinct.select(fp.alias("b"), F.explode(held).alias("k")).select("b", "k.i", "k.v")
