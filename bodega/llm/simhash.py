@@ -30,26 +30,31 @@ SAMPLE = 4096
 PARTITIONS = 2
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """The 64-bit fingerprint of a text: a bit is 1 if set in over half of its shingles' hashes (repeats included)."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """A hash per shingle, repeats included: runs of `words` words, or the whole of a shorter text. No words, no shingle."""
     from itertools import repeat
 
     import xxhash
 
     cut = (text or "").encode().lower().split()
-    if not cut:
-        return 0
     if len(cut) <= words:
-        shingles = [b" ".join(cut)]
+        shingles = [b" ".join(cut)] if cut else []
     else:
         shingles = list(map(b" ".join, zip(*[cut[i:] for i in range(words)], strict=False)))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, len(shingles))
+
+
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """The 64-bit fingerprint of a text: a bit is 1 if set in over half of its shingles' hashes (repeats included)."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return 0
     octets = hashes.view(np.uint8).reshape(-1, 8)  # little-endian: column 0 has bits 0 to 7
-    if len(shingles) < 400:
+    if len(hashes) < 400:
         counts = np.unpackbits(octets, axis=1, bitorder="little").sum(0, dtype=np.int64)
     else:
         counts = np.concatenate([np.bincount(octets[:, i], minlength=256) @ OCTET_BITS for i in range(8)])
-    return int.from_bytes(np.packbits(counts * 2 > len(shingles), bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
 OCTET_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -212,17 +217,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """(_row, doc_id, hash, text): whole rows, told apart by doc_id and a hash of the text."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64("text").alias("hash"), "text")
+
+
+def row_key() -> Column:
+    """What rows are ordered and found by. Null doc_ids come last."""
+    return F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("d"), F.col("hash").alias("h"))
+
+
+def first_rows(keyed: DataFrame, least: DataFrame, names: list[str]) -> DataFrame:
+    """The keyed row with the least `key` of each `label`, with the columns `names`; of equal keys, one."""
+    kept = least.groupBy("label").agg(F.min("key").alias("key")).select(F.col("key.d").alias("_d"), F.col("key.h").alias("_h"))
+    rows = keyed.drop("text").join(kept, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("hash") == F.col("_h")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "hash"]).select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+
+
 def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, partitions: int = PARTITIONS) -> DataFrame:
     """The rows of `docs`, all columns, of one document per component: the one with the smallest doc_id.
 
     Null doc_ids come last. Rows are told apart by doc_id and text; of rows equal in both, one stays.
     """
-    names = docs.columns
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
-                        F.xxhash64("text").alias("hash"), "text")
+    keyed = keyed_rows(docs)
     prints = common.settle(fingerprints(keyed, words, ("hash",)), "fingerprints")
-    key = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("d"), F.col("hash").alias("h"))
-    least = prints.groupBy("fp").agg(F.min(key).alias("key")).join(component_labels(prints, distance, partitions), "fp")
-    kept = least.groupBy("label").agg(F.min("key").alias("key")).select(F.col("key.d").alias("_d"), F.col("key.h").alias("_h"))
-    rows = keyed.drop("text").join(kept, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("hash") == F.col("_h")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "hash"]).select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    least = prints.groupBy("fp").agg(F.min(row_key()).alias("key")).join(component_labels(prints, distance, partitions), "fp")
+    return first_rows(keyed, least, docs.columns)

@@ -1,0 +1,119 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from bodega.llm import similar_sets, simhash
+from tests.llm import cases
+from tests.llm.test_dedup import key
+
+
+def brute_sets(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute_kept(rows):
+    """The smallest id of each component; all pairs are compared."""
+    sets = [brute_sets(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            if x == y or 5 * len(x & y) >= 4 * len(x | y) and x and y:
+                parent[root(a)] = root(b)
+    groups = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        groups[root(i)].append(key(d))
+    return sorted(min(g) for g in groups.values())
+
+
+def replaced(rng, words, n):
+    out = list(words)
+    for at in rng.sample(range(len(out)), n):
+        out[at] = f"r{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+def near_rows():
+    """Copies with 0 to 6 of 40 to 300 words replaced, on both sides of 0.8, chains of them, and a passage that all share."""
+    rng = random.Random(3)
+    out, passage = [], " ".join(f"p{i}" for i in range(30))
+    for g in range(25):
+        base = [f"v{rng.randrange(3000)}" for _ in range(rng.randrange(40, 300))]
+        for k in range(6):
+            text = replaced(rng, base, rng.randrange(0, 7))
+            if k == 5:
+                base = text.split()
+            out.append((len(out), f"{passage} {text}" if g % 3 == 0 else text))
+    for n in (600, 1020, 1030, 4000):  # sets with a wide bitmap; long texts that share a passage only
+        base = [f"l{n}.{i}" for i in range(n)]
+        out += [(len(out) + k, replaced(rng, base, n * k // 250)) for k in range(8)]
+        out += [(len(out) + k, f"{passage} " + " ".join(f"m{rng.randrange(10**9)}" for _ in range(n))) for k in range(3)]
+    for k in range(40):  # a large group
+        out.append((len(out), replaced(rng, [f"u{i}" for i in range(200)], 2)))
+    rng.shuffle(out)
+    return out
+
+
+def test_stage_keeps_one_of_each_group_of_similar_texts(spark):
+    rows = near_rows()
+    docs = cases.documents(spark, rows)
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(key(r.doc_id) for r in kept.collect()) == brute_kept(rows)
+
+
+def test_one_replaced_word_in_a_hundred_is_a_near_duplicate(spark):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:50] + ["other"] + words[51:]))]
+    assert bin(simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[1][1])).count("1") > 3
+    assert [r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, cases.documents(spark, rows), "").collect()] == [1]
+
+
+@pytest.mark.parametrize("common", [0, 65_536])
+def test_awkward_rows_and_any_order_of_shingles(spark, monkeypatch, common):
+    monkeypatch.setattr(similar_sets, "COMMON", common)
+    monkeypatch.setattr(similar_sets, "FLUSH", 500)
+    rows = cases.rows()
+    got = similar_sets.keep_one(cases.documents(spark)).collect()
+    assert sorted(key(r.doc_id) for r in got) == brute_kept(rows)
+
+
+def test_bounds_never_lose_a_similar_pair():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        x = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: n - int(rng.integers(0, n // 5 + 1))], rng.integers(0, 1 << 64, int(rng.integers(0, n // 5 + 1)), dtype=np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        apart = int(np.bitwise_count((similar_sets.bitmap(x) ^ similar_sets.bitmap(y)).view(np.uint64)).sum())
+        assert apart <= len(x) + len(y) - 2 * both
+        for bits in (64, 2048):
+            wide = similar_sets.bitmap(x, 2 * bits).reshape(2, -1)
+            assert (wide[0] ^ wide[1] == similar_sets.bitmap(x, bits)).all()
+        if 5 * both >= 4 * (len(x) + len(y) - both):
+            hashes, ranks = x[::3].copy(), np.arange(1, len(x[::3]) + 1)
+            assert len(np.intersect1d(similar_sets.prefix(x, hashes, ranks), similar_sets.prefix(y, hashes, ranks)))
+
+
+def test_similar_sets_of_nothing(spark):
+    assert similar_sets.keep_one(cases.empty(spark)).collect() == []
+
+
+def test_stage_on_given_documents(spark):
+    from bodega.llm import common
+    from tests.conftest import SMALL
+
+    lines = corpus_pipeline.line_stage(spark, common.table(spark, SMALL, "documents"), SMALL)
+    docs = common.settle(lines, "test-lines")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(key(r.doc_id) for r in similar_sets.keep_one(docs).collect()) == brute_kept(rows)
