@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bodega.llm import common, decontamination, line_dedup, packing, quality, similar_sets
+from bodega.llm import common, decontamination, line_dedup, packing, quality, simhash
 from bodega.llm.queries import WORD_TOKENIZER
 
 
@@ -24,8 +24,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word Jaccard similarity of 0.8 or more: the one with the smallest doc_id."""
-    return similar_sets.keep_one(docs)
+    """One document of each group linked by SimHash (three-word shingles, at most three bits): the one with the smallest doc_id."""
+    return simhash.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality classifier", quality_stage),
     ("line dedup", line_stage),
-    ("Jaccard near-dedup", near_duplicate_stage),
+    ("SimHash near-dedup", near_duplicate_stage),
     ("benchmark decontamination", decontamination_stage),
     ("best-fit packing", packing_stage),
 ]
