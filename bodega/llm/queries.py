@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bodega.llm import (
-    decontamination, exact_dedup, language_id, line_dedup, packing, quality, sharding, simhash, token_files, url_filter,
+    decontamination, exact_dedup, language_id, line_dedup, packing, periodic_runs, quality, sharding, simhash, token_files,
+    url_filter,
 )
 from bodega.llm.common import table
 
@@ -62,10 +63,42 @@ def op10_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents, by the crc32 of the id, repeat a part of their words to the end.
+
+    A null doc_id has no decimal form; such a text stays as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", "text", words.alias("w"), F.expr("crc32(cast(cast(doc_id as long) as string)) div 10").alias("g"))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.expr("if(n > 0, g % n, 0)").cast("int"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), cast((n - a) div p + 1 as int))), 1, n - a)")
+    planted = F.concat_ws(" ", F.concat(F.expr("slice(w, 1, a)"), again))
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def suffix_runs(docs: DataFrame) -> DataFrame:
+    """The contract's digest of the runs in `docs` after planting."""
+    rows = periodic_runs.periodic_runs(with_planted_periods(docs))
+    best = F.expr("array_min(transform(runs, r -> struct(-r.length as minus, r.start as start, r.period as period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    rows = rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed")
+    length = -F.col("best.minus")
+    return rows.select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), length.alias("length"), F.col("best.period").alias("period"),
+        F.expr("(1000 * -best.minus) div best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
+def op11_suffix_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_runs(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pattern_packing, op2_line_dedup, op3_url_filter, op4_block_naming, op5_virtual_slots, op6_spaced_seeds,
-        op7_language_codes, op8_token_frames, op9_simhash, op10_compression_quality)
+        op7_language_codes, op8_token_frames, op9_simhash, op10_compression_quality, op11_suffix_runs)
 }
 
 SPACES = r"[\x20\x09-\x0D]"
