@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from bodega.llm import (
     decontamination, exact_dedup, language_id, line_dedup, packing, periodic_runs, quality, sharding, simhash, substring_dedup,
-    token_files, url_filter,
+    token_alignment, token_files, url_filter,
 )
 from bodega.llm.common import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 24
 
 
@@ -95,6 +96,10 @@ def op11_suffix_runs(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_runs(table(spark, folder, "documents"))
 
 
+def op12_interval_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align(table(spark, folder, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
+
+
 def op13_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
     rows = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -104,7 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pattern_packing, op2_line_dedup, op3_url_filter, op4_block_naming, op5_virtual_slots, op6_spaced_seeds,
         op7_language_codes, op8_token_frames, op9_simhash, op10_compression_quality, op11_suffix_runs,
-        op13_seed_extend)
+        op12_interval_alignment, op13_seed_extend)
 }
 
 SPACES = r"[\x20\x09-\x0D]"
