@@ -5,7 +5,8 @@ their ends tells where a group ends: at a start that reaches it, no token of eit
 token is linked with every B token. An id pair counts once for each document that holds it linked.
 
 Neither tokenizer merges across the place where white space follows something else, so texts are cut there into units, and
-each distinct unit is tokenized and aligned once per worker. Texts in which that does not hold are one unit. Documents go on
+each distinct unit is tokenized and aligned once per worker, many new ones in one call, as one text. Texts in which that does not
+hold are one unit. Documents go on
 in chunks of some million characters: a chunk's distinct pairs are counted over the corpus and the counts brought back to the chunk,
 so that a frequent pair travels once a chunk, not once a document.
 """
@@ -25,11 +26,13 @@ from bodega.llm import common
 from bodega.llm.tokens import Encoder
 
 #: Characters of a chunk's texts; a longer text is a chunk of its own.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Units, and characters of units, that a worker keeps; it starts afresh beyond that.
 KEPT_UNITS, KEPT_CHARACTERS = 250_000, 32_000_000
-#: Pairs are made at once for at most so many new units.
+#: So many new units are tokenized and aligned at once.
 NEW_UNITS = 20_000
+#: Stands before new units that are tokenized as one text.
+AHEAD = " x"
 
 UNITS = re.compile(r"\s*\S+|\s+")
 #: A text with one of these is one unit: white space to one side only, or part of what the piece model joins to a word.
@@ -55,10 +58,6 @@ class PlainEncoder(Encoder):
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = {i: bytes(codes[c] for c in t) if all(c in codes for c in t) else t.encode() for t, i in names.items()}
 
-    def ids(self, unit: str, whole: bool) -> np.ndarray:
-        packed = self.whole(unit) if whole or self.kind != "byte" else self.unit(unit)
-        return np.frombuffer(packed, "<u4").astype(np.int64)
-
 
 class Pieces:
     """The piece model, which puts a space before a text by itself."""
@@ -73,10 +72,11 @@ class Pieces:
         self.space = self.model.piece_to_id(SPACE)
         self.cuts = not any(JOINS.search(p) for p in names)
 
-    def ids(self, units: list[str]) -> list[list[int]]:
-        """Of texts with a space before them; the first of a unit that starts with other white space is the model's own."""
-        out = self.model.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        return [[self.space] if u == " " else i if u[0] == " " else i[1:] for u, i in zip(units, out, strict=True)]
+    def whole(self, text: str) -> list[int]:
+        """Of a text with a space before it, which the model puts there itself; other white space in front gets one more."""
+        if text == " ":
+            return [self.space]
+        return self.model.encode(text[1:]) if text[0] == " " else self.model.encode(text)[1:]
 
 
 def coalesce(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -95,9 +95,10 @@ class Aligner:
 
     def __init__(self, byte_tokenizer: str, piece_model: str):
         self.a, self.b = PlainEncoder(byte_tokenizer), Pieces(piece_model)
-        self.size_a, self.size_b = (np.zeros(max(t) + 1, np.int64) for t in (self.a.bytes_of, self.b.bytes_of))
-        for sizes, table in ((self.size_a, self.a.bytes_of), (self.size_b, self.b.bytes_of)):
-            sizes[list(table)] = [len(x) for x in table.values()]
+        self.bytes_a, self.bytes_b = ([t.get(i, b"") for i in range(max(t) + 1)] for t in (self.a.bytes_of, self.b.bytes_of))
+        self.size_a, self.size_b = (np.array(list(map(len, t))) for t in (self.bytes_a, self.bytes_b))
+        # An id's text with each mark that may follow it: between ids, between A and B, between groups, between units.
+        self.marked = {mark: np.array([f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b)))], object) for mark in ",|;\n"}
         self.cuts = self.b.cuts and self.a.kind == "byte"
         self.clear()
 
@@ -120,24 +121,53 @@ class Aligner:
         """Number the units that are new."""
         if len(self.number) + len(units) > KEPT_UNITS or self.characters > KEPT_CHARACTERS:
             self.clear()
-        new = sorted((u for u in units if u not in self.number), key=str)
+        new = [u for u in units if u not in self.number]
         for at in range(0, len(new), NEW_UNITS):
-            self._add(new[at:at + NEW_UNITS])
-
-    def _add(self, keys: list) -> None:
-        texts = [k[0] if isinstance(k, tuple) else k for k in keys]
-        ids_a = [self.a.ids(t, isinstance(k, tuple)) for k, t in zip(keys, texts, strict=True)]
-        ids_b = self.b.ids(texts)
-        good = np.zeros(len(keys), bool)
+            some = new[at:at + NEW_UNITS]
+            # Units that end in white space, and texts that are not cut, are tokenized alone.
+            plain = [u for u in some if isinstance(u, str) and not u[-1].isspace()]
+            alone = [u for u in some if not isinstance(u, str) or u[-1].isspace()]
+            joined = self._together(plain) if plain else None
+            if joined is not None:
+                self._add(plain, *joined)
+            else:
+                alone = some
+            if alone:
+                self._add(alone, *self._alone([u if isinstance(u, str) else u[0] for u in alone]))
+
+    def _together(self, units: list[str]) -> tuple[np.ndarray, ...] | None:
+        """(good, unit and id of A's tokens, unit and id of B's) of units read as one text; none if a token is not within a unit."""
+        sizes = np.array([len(AHEAD), *[len(u.encode()) for u in units]])
+        ends, text = np.cumsum(sizes), AHEAD + "".join(units)
+        raw, out = text.encode(), []
+        for ids, table, size in ((self.a.tokenizer.encode(text, add_special_tokens=False).ids, self.bytes_a, self.size_a),
+                                 (self.b.whole(text), self.bytes_b, self.size_b)):
+            if b"".join(map(table.__getitem__, ids)) != raw:
+                return None
+            ids = np.array(ids, np.int64)
+            stop = np.cumsum(size[ids])
+            unit = np.searchsorted(ends, stop - size[ids], "right")
+            if (stop > ends[unit]).any():
+                return None
+            own = unit > 0
+            out += [unit[own] - 1, ids[own]]
+        return np.ones(len(units), bool), *out
+
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        good, out = np.zeros(len(texts), bool), [[], [], [], []]
         for i, t in enumerate(texts):
             raw = t.encode()
-            good[i] = (raw == b"".join([self.a.bytes_of[x] for x in ids_a[i].tolist()])
-                       and raw == b"".join([self.b.bytes_of.get(x, b"") for x in ids_b[i]]))
-            if not good[i]:
-                ids_a[i], ids_b[i] = np.zeros(0, np.int64), []
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = np.concatenate(ids_a), np.concatenate([np.array(x, np.int64) for x in ids_b])
+            own = self.a.tokenizer.encode(t, add_special_tokens=False).ids, self.b.whole(t)
+            good[i] = all(b"".join(map(table.__getitem__, ids)) == raw for ids, table in zip(own, (self.bytes_a, self.bytes_b), strict=True))
+            if good[i]:
+                for k, ids in enumerate(own):
+                    out[2 * k] += [i] * len(ids)
+                    out[2 * k + 1] += ids
+        return good, *[np.array(x, np.int64) for x in out]
+
+    def _add(self, keys: list, good: np.ndarray, unit_a: np.ndarray, a: np.ndarray, unit_b: np.ndarray, b: np.ndarray) -> None:
         # Good units lie one after the other, so a unit's first byte starts a group.
+        n = len(keys)
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         ends = np.concatenate([ends_a, ends_b])
         group = coalesce(np.concatenate([ends_a - self.size_a[a], ends_b - self.size_b[b]]), ends)
@@ -145,13 +175,13 @@ class Aligner:
         groups = int(group.max()) + 1 if len(group) else 0
         per_a, per_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
         unit = np.zeros(groups, np.int64)
-        unit[group_a] = np.repeat(np.arange(len(keys)), n_a)
+        unit[group_a] = unit_a
 
-        self.text += self._texts(len(keys), unit, (a, per_a), (b, per_b))
-        n_groups = np.bincount(unit, minlength=len(keys))
-        n_links = np.zeros(len(keys), np.int64)
+        self.text += self._texts(n, unit, unit_a, a, group_a, b, group_b)
+        n_links = np.zeros(n, np.int64)
         np.add.at(n_links, unit, per_a * per_b)
-        self.totals = np.concatenate([self.totals, np.stack([n_a, n_b, n_groups, n_links], axis=1)])
+        counts = [np.bincount(x, minlength=n) for x in (unit_a, unit_b, unit)]
+        self.totals = np.concatenate([self.totals, np.stack([*counts, n_links], axis=1)])
         self.good = np.concatenate([self.good, good])
 
         # Distinct ids of a group with their numbers, then every A id with every B id.
@@ -162,21 +192,27 @@ class Aligner:
         right = np.arange(len(left)) - np.repeat(np.cumsum(width) - width, width) + begin[ga][left]
         owner, pair, times = distinct(unit[ga][left], ia[left] << 32 | ib[right], ta[left] * tb[right])
         self.pairs, self.times = np.concatenate([self.pairs, pair]), np.concatenate([self.times, times])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.bincount(owner, minlength=len(keys)))])
-        for k, t in zip(keys, texts, strict=True):
-            self.number[k] = len(self.number)
-            self.characters += len(t)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.bincount(owner, minlength=n))])
+        self.number.update(zip(keys, range(len(self.number), len(self.number) + n), strict=True))
+        self.characters += sum(len(k) if isinstance(k, str) else len(k[0]) for k in keys)
 
-    @staticmethod
-    def _texts(n: int, unit: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> list[str]:
+    def _texts(self, n: int, unit: np.ndarray, unit_a: np.ndarray, a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray) -> list[str]:
         """Per unit its groups: ids joined by commas, A and B by a bar, groups by semicolons."""
-        out: list[list[str]] = [[] for _ in range(n)]
-        (ids_a, per_a), (ids_b, per_b) = ((list(map(str, ids.tolist())), per.tolist()) for ids, per in (a, b))
-        i = j = 0
-        for u, m, k in zip(unit.tolist(), per_a, per_b, strict=True):
-            out[u].append(",".join(ids_a[i:i + m]) + "|" + ",".join(ids_b[j:j + k]))
-            i, j = i + m, j + k
-        return list(map(";".join, out))
+        if not len(a):
+            return [""] * n
+        last_a = np.append(group_a[1:] != group_a[:-1], True)
+        last_b = np.append(group_b[1:] != group_b[:-1], True)
+        of = unit[group_b]
+        ends = np.append(of[1:] != of[:-1], True)
+        shown = np.concatenate([
+            np.where(last_a, self.marked["|"][a], self.marked[","][a]),
+            np.where(ends, self.marked["\n"][b], np.where(last_b, self.marked[";"][b], self.marked[","][b]))])
+        order = np.lexsort((np.arange(len(shown)) >= len(a), np.concatenate([group_a, group_b])))
+        texts = "".join(shown[order].tolist()).split("\n")
+        out = [""] * n
+        for u, text in zip(np.unique(of).tolist(), texts, strict=False):
+            out[u] = text
+        return out
 
     def document(self, units: list) -> tuple[np.ndarray, str, np.ndarray, np.ndarray] | None:
         """(totals, groups as text, distinct pairs, their links) of a text's learned units; none if bytes differ."""
