@@ -312,8 +312,12 @@ class LineIndex:
         return lost.groupBy("doc").agg(F.collect_set(packed).alias("keys"))
 
 
-def clean(docs: DataFrame, index: LineIndex) -> DataFrame:
-    """All columns of `docs` with `text` without its dropped lines, plus n_lines, n_dropped and kept_sha256.
+COUNTS = ("n_lines", "n_dropped", "kept_sha256")
+
+
+def clean(docs: DataFrame, index: LineIndex, counts: bool = True) -> DataFrame:
+    """All columns of `docs` with `text` without its dropped lines; with `counts` also n_lines, n_dropped and kept_sha256, which
+    then stand in place of columns of `docs` of these names.
 
     A null or empty text is one empty line; a null text stays null if it lost nothing (its sum is that of an empty
     text). Rows with equal doc_id lose the same keys.
@@ -356,4 +360,6 @@ def clean(docs: DataFrame, index: LineIndex) -> DataFrame:
     marked = row.join(index.drops().withColumnRenamed("keys", "_keys"), "doc", "left").select("_row", "_text", "_keys")
     kind = row.schema["_row"].dataType.simpleString()
     done = marked.mapInArrow(run, f"_row {kind}, _text string, n_lines long, n_dropped long, kept_sha256 string")
-    return done.select(*[(F.col("_text") if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in names], "n_lines", "n_dropped", "kept_sha256")
+    shown = [c for c in names if not (counts and c in COUNTS)]
+    own = [(F.col("_text") if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in shown]
+    return done.select(*own, *(COUNTS if counts else ()))

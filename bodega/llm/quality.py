@@ -1,7 +1,7 @@
 """Quality classifier by compression.
 
 Two zstandard dictionaries are built, one from good and one from bad labelled texts. A text is compressed with either,
-in chunks so that the dictionaries matter throughout; how much better the good one does, per byte, is the raw score. A
+in chunks so that the dictionaries matter throughout; the difference of the two sizes over their sum is the raw score. A
 logistic curve fitted on labelled texts that the dictionaries have not seen makes it a probability.
 """
 
@@ -14,13 +14,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bodega.llm import training
+from bodega.llm import common, training
 
 CHUNK = 2048
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Labelled rows per label at most; half of them make the dictionaries, half the calibration.
 SAMPLE_PER_LABEL = 2000
+#: Bytes of their texts at most, over both labels.
+SAMPLE_BYTES = 64 << 20
 #: Text bytes that a dictionary is built from at most.
 DICTIONARY_INPUT = 8 << 20
 THRESHOLD = 0.3
@@ -68,16 +70,16 @@ class Compressor:
 
 
 def raw_scores(texts: list[str | None], good: Compressor, bad: Compressor) -> np.ndarray:
-    """(n, 3): the normalised difference of the compressed sizes, positive where the good dictionary does better; the
-    compressed size per byte; both are 0 for empty texts, which the third marks."""
-    out = np.zeros((len(texts), 3))
+    """(n, 2): the normalised difference of the compressed sizes, positive where the good dictionary does better, 0 for
+    empty texts, which the second marks."""
+    out = np.zeros((len(texts), 2))
     for i, text in enumerate(texts):
         if not text:
-            out[i, 2] = 1
+            out[i, 1] = 1
             continue
         parts = chunks(text)
         a, b = good.size(parts), bad.size(parts)
-        out[i, :2] = (b - a) / (a + b), min(a, b) / sum(map(len, parts))
+        out[i, 0] = (b - a) / (a + b)
     return out
 
 
@@ -106,7 +108,7 @@ class Model:
         if len(y) < 2 or y.min() == y.max():
             every = [v for v, _ in labelled]
             share = np.clip(np.mean(every), 0.01, 0.99) if every else 0.5
-            return cls(good, bad, np.zeros(3), float(np.log(share / (1 - share))), np.ones(3), np.zeros(3))
+            return cls(good, bad, np.zeros(2), float(np.log(share / (1 - share))), np.ones(2), np.zeros(2))
         x = raw_scores([t for _, t in second], Compressor(good), Compressor(bad))
         shift, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1)
         weights, intercept = training.logistic((x - shift) / scale, y[:, None], penalty=1e-4, steps=500)
@@ -114,12 +116,25 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on a bounded sample of labelled documents outside the held-out fold; their texts are collected."""
+    """Fit on a bounded sample of labelled documents outside the held-out fold; their texts are collected.
+
+    At most about SAMPLE_PER_LABEL distinct (doc_id, text) of each label and SAMPLE_BYTES in all, chosen by a hash; a row that
+    repeats counts once.
+    """
     known = labels.filter(F.col("quality").isin(0, 1) & (training.fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     chosen = training.bounded(known.select("doc_id", "quality"), "quality", SAMPLE_PER_LABEL)
     texts = docs.select("doc_id", "text").filter("text is not null")
-    # At most a few thousand rows of two numbers.
-    got = texts.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("h"), "quality", "text").collect()
+    # `chosen` has at most a few thousand rows of two numbers. A repeated doc_id may still bring many texts, so they are chosen from again.
+    rows = texts.join(F.broadcast(chosen.distinct()), "doc_id").withColumn("h", F.xxhash64("doc_id", "text"))
+    rows = common.settle(rows.groupBy("h", "quality").agg(F.first("text").alias("text")), "labelled")
+    sizes = rows.select("h", "quality", F.octet_length("text").alias("n")).orderBy("h", "quality").limit(2 * SAMPLE_PER_LABEL).collect()
+    left, taken = SAMPLE_BYTES, []
+    for r in sizes:
+        if r["n"] <= left:
+            taken.append((r["h"], r["quality"]))
+            left -= r["n"]
+    wanted = docs.sparkSession.createDataFrame(taken, "h long, quality long")
+    got = rows.withColumn("quality", F.col("quality").cast("long")).join(F.broadcast(wanted), ["h", "quality"]).collect()
     got = sorted((r["h"], r["text"], int(r["quality"])) for r in got)
     return Model.fit([(y, t) for _, t, y in got])
 

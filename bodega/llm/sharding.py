@@ -24,17 +24,20 @@ SlotMap = dict[int, int]
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """Settled rows (doc_id, size, text_crc32, virtual_slot, part), a row each, repeated ones too.
 
-    Size is the text's UTF-8 bytes (null: none) plus 8. The slot is a hash of doc_id and text, so that neither a
-    repeated nor a missing doc_id makes a slot heavy.
+    Size is the text's UTF-8 bytes (null: none) plus 8. The slot is a hash of doc_id, text and the row's number among the rows
+    equal in both, so that neither a repeated or missing doc_id nor a row repeated whole makes a slot heavy.
     """
     text = F.coalesce("text", F.lit(""))
-    return common.settle(docs.select(
+    rows = common.settle(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.xxhash64("doc_id", "text").alias("hash"),
         F.spark_partition_id().alias("part"),
-    ), "records")
+    ), "hashed-records")
+    copies = common.number_within(rows, ["hash"], ["doc_id"], "copy")
+    slot = F.pmod(F.xxhash64("hash", "copy"), F.lit(slots)).cast("int").alias("virtual_slot")
+    return common.settle(copies.select("doc_id", "size", "text_crc32", slot, "part"), "records")
 
 
 def slot_bytes(rows: DataFrame) -> dict[int, int]:
@@ -110,9 +113,16 @@ def assign(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, map_path: str | None = None, slots: int = SLOTS) -> DataFrame:
-    """Shard all rows with near equal bytes; version 1 of the slot map is stored at `map_path`."""
+    """Shard all rows with near equal bytes: every column of `records` but part, with shard and slot (place there, from 0).
+
+    The slot map is stored at `map_path`: version 1 deals the slots in turn, version 2 moves slots until no move makes the heaviest
+    shard lighter; rows are assigned by version 2. A null text has no bytes; null and repeated doc_ids and rows repeated whole are
+    rows of their own; other columns are not read; an empty table gives an empty one. Rows of equal doc_id, text and size are interchangeable.
+    """
     spark = docs.sparkSession
     rows, path = records(docs, slots), map_path or common.scratch(spark, "slot-map")
     weights = slot_bytes(rows)
-    save_map(spark, path, 1, rebalance(first_map(weights, shards, slots), weights, shards, 0.0), weights)
-    return assign(rows, load_map(spark, path, 1))
+    dealt = {v: v % shards for v in range(slots)}
+    save_map(spark, path, 1, dealt, weights)
+    save_map(spark, path, 2, rebalance(dealt, weights, shards, 0.0), weights)
+    return assign(rows, load_map(spark, path, 2))

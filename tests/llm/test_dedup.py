@@ -1,3 +1,4 @@
+import random
 import hashlib
 import re
 from collections import defaultdict
@@ -86,6 +87,17 @@ def test_line_dedup_equals_brute_force(spark):
     assert cleaned.filter("text is null").count() == docs.filter("text is null").count()
 
 
+def test_line_dedup_of_columns_with_its_own_names(spark):
+    docs = cases.documents(spark).withColumn("n_lines", F.lit("own")).withColumn("kept_sha256", F.lit(5)).withColumn("n_dropped", F.lit(None).cast("date"))
+    index = line_dedup.LineIndex.build(docs)
+    assert lines_of(line_dedup.clean(docs, index)) == brute_lines(cases.rows())
+    kept = line_dedup.clean(docs, index, counts=False)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    assert kept.select("n_lines", "kept_sha256", "n_dropped").distinct().collect() == [("own", 5, None)]
+    plain = line_dedup.clean(docs.select("doc_id", "text"), index)
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(map(str, plain.select("doc_id", "text").collect()))
+
+
 def test_insertions_and_deletions_are_reversible(spark):
     """After adding and removing documents the index says what a fresh one of the rest says."""
     rows = cases.rows()
@@ -243,6 +255,23 @@ def test_shards_hold_near_equal_bytes_and_gapless_places(spark):
     assert max(load.values()) - min(load.values()) <= max(r["size"] for r in got)
 
 
+def test_rows_repeated_whole_do_not_make_a_shard_heavy(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(i, "x" * rng.randint(1, 400)) for i in range(2000)] + [(7, "y" * 400)] * 1000 + [(None, None)] * 500
+    path = str(tmp_path / "map")
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), 24, path).collect()
+    load, places = defaultdict(int), defaultdict(list)
+    for r in got:
+        load[r.shard] += r["size"]
+        places[r.shard].append(r.slot)
+    assert len(got) == len(rows) and len(load) == 24
+    assert max(load.values()) - min(load.values()) <= 408
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    one, two = ({r.virtual_slot: r.shard for r in sharding.load_map(spark, path, v).collect()} for v in (1, 2))
+    assert set(one) == set(two) == set(range(sharding.SLOTS)) and all(s == v % 24 for v, s in one.items())
+    assert all(two[r.virtual_slot] == r.shard for r in got)
+
+
 def test_map_versions_are_kept_and_growth_moves_whole_slots(spark, tmp_path):
     rng = np.random.default_rng(4)
     weights = {v: int(rng.integers(1, 1000)) for v in range(500)}

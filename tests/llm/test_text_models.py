@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from bodega.llm import common, decontamination, language_id, quality, queries, simhash, training, url_filter
 from tests.conftest import SMALL
 from tests.llm import cases
@@ -208,6 +210,23 @@ def test_bounded_samples_are_bounded_and_repeatable(spark):
     assert 350 < sum(y == "a" for _, y in one) < 650 and sum(y == "b" for _, y in one) == 200
 
 
+def test_one_labelled_document_repeated_very_often_counts_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"good words here number {i} " * 5 if i % 2 else f"BUY NOW!!! cheap {i} " * 5) for i in range(300)], "doc_id long, text string")
+    hot = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("good words here " * 30).alias("text"))
+    other = spark.range(2000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("good "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(300).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    seen = []
+    monkeypatch.setattr(quality.Model, "fit", classmethod(lambda cls, labelled: seen.append(labelled)))
+    quality.train(docs.unionByName(hot), labels)
+    assert len(seen[0]) <= 301 and sum(t.startswith("good words here good") for _, t in seen[0]) <= 1
+    monkeypatch.setattr(quality, "SAMPLE_PER_LABEL", 100)
+    quality.train(docs.unionByName(hot).unionByName(other), labels)
+    assert len(seen[1]) <= 200
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 1000)
+    quality.train(docs, labels)
+    assert 0 < sum(len(t.encode()) for _, t in seen[2]) <= 1000
+
+
 # --- pipeline ----------------------------------------------------------------------------------------
 
 def test_pipeline_against_brute_force(spark):
