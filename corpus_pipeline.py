@@ -20,7 +20,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that at least three documents share, except in the last of these."""
-    return line_dedup.clean(docs, line_dedup.LineIndex.build(docs)).select(*docs.columns)
+    return line_dedup.clean(docs, line_dedup.LineIndex.build(docs), counts=False)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
