@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bodega.operators.name_rules import RAW_DESCRIPTIONS, WAREHOUSE_DESCRIPTIONS, text_column
+from bodega.sources.store import Store
 
 
 @dataclass(frozen=True)
 class CatalogEntry:
     """One table as the dictionary sees it. Key and length facts live in the field metadata:
-    ``pk``, ``fk``, ``max_length``, ``sql_type``, ``comment``."""
+    ``pk``, ``fk``, ``max_length``, ``sql_type``, ``comment``. `rows` is the number of rows where it is known without a count."""
 
     layer: str
     database: str
@@ -27,6 +28,7 @@ class CatalogEntry:
     description: str | None = None
     created: datetime | None = None
     modified: datetime | None = None
+    rows: int | None = None
 
 
 # What each layer shows.
@@ -47,9 +49,15 @@ def in_scope(entry: CatalogEntry) -> bool:
 
 
 def table_catalog(entries: Iterable[CatalogEntry]) -> DataFrame:
-    """One row per table in scope with its row and column counts (a count reads no data columns)."""
+    """One row per table in scope with its row and column counts. A known count is shown as it is; others are counted from
+    the files' footers, without reading a column."""
+    def counted(e: CatalogEntry) -> DataFrame:
+        if e.rows is not None:
+            return e.data.sparkSession.createDataFrame([(e.rows,)], "row_count bigint")
+        return e.data.agg(F.count(F.lit(1)).alias("row_count"))
+
     rows = [
-        e.data.agg(F.count(F.lit(1)).alias("row_count")).select(
+        counted(e).select(
             F.lit(e.layer).alias("capa"), F.lit(e.database).alias("base_datos"), F.lit(e.schema).alias("schema_name"),
             F.lit(e.table).alias("table_name"),
             F.lit(None if e.created is None else str(e.created)).cast("timestamp_ntz").alias("create_date"),
@@ -92,6 +100,13 @@ def column_catalog(spark: SparkSession, entries: Iterable[CatalogEntry]) -> Data
     return spark.createDataFrame(rows, COLUMN_CATALOG)
 
 
+def stored_tables(store: Store, layer: str, database: str, names: Mapping[str, tuple[str, str]]) -> list[CatalogEntry]:
+    """Entries for tables of a store, with the row counts and types that its versions name; `names` maps a stored table to
+    (schema, table). Tables not written yet are left out."""
+    return [CatalogEntry(layer, database, schema, table, store.read(name), rows=store.rows(name))
+            for name, (schema, table) in names.items() if store.exists(name)]
+
+
 def session_tables(spark: SparkSession, layer_of: dict[str, tuple[str, str, str]]) -> list[CatalogEntry]:
     """Entries for the tables registered in the session catalog; `layer_of` maps a catalog database to
     (layer, database, schema)."""

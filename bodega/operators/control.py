@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from bodega.functions.dates import NEVER_LOADED, moment
-from bodega.sources.store import Store
+from bodega.sources.store import Part, Store
 
 CONTROL = "ControlCarga"
 RUN_LOG = "LogEjecucion"
@@ -74,6 +75,38 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("Tabla")
 
 
+#: Hidden partition of the stored run log: the day of a row.
+DAY = "_day"
+
+
+def log_rows(store: Store, rows: DataFrame, table: str = RUN_LOG, column: str = "FechaEjecucion") -> int:
+    """Append to a log that is stored by day."""
+    return store.append(table, rows.withColumn(DAY, F.col(column).cast("date")), partition_by=(DAY,))
+
+
+def purge_partitions(store: Store, table: str, run_ts: datetime, days: int = 90, column: str = "FechaEjecucion") -> int:
+    """Purge a log stored by day: whole days before the limit are dropped, and only the day of the limit is written anew.
+
+    Returns the rows written, which are those kept of that day.
+    """
+    version, limit = store.version(table), run_ts - timedelta(days=days)
+    if version is None:
+        return 0
+
+    def day(part: Part) -> date | None:
+        return date.fromisoformat(part.values[DAY]) if part.values[DAY] else None
+
+    last = [p for p in version.parts if day(p) == limit.date()]
+    gone = {p.path for p in version.parts if day(p) and day(p) <= limit.date()}
+    if not gone:
+        return 0
+    kept = purge(store.read(table, last, hidden=True), run_ts, days, column) if last else None
+    if kept is None:
+        store.drop(table, lambda p: p.path in gone)
+        return 0
+    return store.swap(table, kept, lambda p: p.path in gone, (DAY,))
+
+
 @dataclass
 class ControlTables:
     """Control table and run log kept in a store."""
@@ -104,10 +137,10 @@ class ControlTables:
     def record(self, process: str, table: str, rows: int, seconds: int, error: str | None, run_ts: datetime) -> None:
         state = "Exitoso" if error is None else "Error"
         row = [(process, table, rows, seconds, state, error, run_ts)]
-        self.store.append(RUN_LOG, self.spark.createDataFrame(row, RUN_LOG_SCHEMA))
+        log_rows(self.store, self.spark.createDataFrame(row, RUN_LOG_SCHEMA))
 
     def purge_log(self, run_ts: datetime, days: int = 90) -> int:
-        return self.store.replace(RUN_LOG, purge(self.log(), run_ts, days))
+        return purge_partitions(self.store, RUN_LOG, run_ts, days)
 
     def status(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         return {
@@ -133,12 +166,14 @@ def run_layer(
     parallel: int = 1,
     marks: Mapping[str, Callable[[], datetime | None]] | None = None,
     control_rows_for: Callable[[str], bool] = lambda name: True,
+    needs: Mapping[str, set[str]] | None = None,
 ) -> LayerResult:
     """Run the loads of a layer; a failing load is logged and the others go on.
 
-    Each load writes its table and returns the rows written. `only` runs a single table. Loads that
-    do not read each other may run in `parallel` threads of the same session: Spark schedules their
-    jobs side by side. Log and control rows are written by this thread, one at a time.
+    Each load writes its table and returns the rows written. `only` runs a single table. `needs` names the loads that one
+    must follow (of those that run): it is held back, and logged as an error, if one of them failed or was held back. Loads that
+    are ready run in up to `parallel` threads of the same session: Spark schedules their jobs side by side. Log and
+    control rows are written by this thread, one at a time.
     """
 
     def attempt(name: str) -> tuple[str, int, int, str | None]:
@@ -149,20 +184,44 @@ def run_layer(
             rows, error = 0, str(exc)
         return name, rows, int(time.monotonic() - started), error
 
-    names = [n for n in loads if only is None or n == only]
     result, moved = LayerResult(), {}
+
+    def settle(name: str, rows: int, seconds: int, error: str | None) -> None:
+        control.record(f"load {name}", name, rows, seconds, error, run_ts)
+        if error is None:
+            result.ok += 1
+            result.rows[name] = rows
+            mark = (marks or {}).get(name)
+            if control_rows_for(name) and (mark is None or rows > 0):
+                moved[name] = mark() if mark else None
+        else:
+            result.errors += 1
+            result.messages[name] = error
+
+    names = [n for n in loads if only is None or n == only]
+    place = {n: i for i, n in enumerate(names)}
+    before = {n: [x for x in (needs or {}).get(n, ()) if x in place] for n in names}
+    graph: TopologicalSorter = TopologicalSorter(before)
+    graph.prepare()
+    ready: list[str] = []
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        for name, rows, seconds, error in pool.map(attempt, names):
-            control.record(f"load {name}", name, rows, seconds, error, run_ts)
-            if error is None:
-                result.ok += 1
-                result.rows[name] = rows
-                mark = (marks or {}).get(name)
-                if control_rows_for(name) and (mark is None or rows > 0):
-                    moved[name] = mark() if mark else None
-            else:
-                result.errors += 1
-                result.messages[name] = error
+        running: dict = {}
+        while graph.is_active():
+            ready = sorted([*ready, *graph.get_ready()], key=place.__getitem__)
+            while ready and len(running) < max(1, parallel):
+                name = ready.pop(0)
+                failed = sorted(x for x in before[name] if x in result.messages)
+                if failed:
+                    settle(name, 0, 0, f"held back: {', '.join(failed)} failed")
+                    graph.done(name)
+                    ready = sorted([*ready, *graph.get_ready()], key=place.__getitem__)
+                else:
+                    running[pool.submit(attempt, name)] = name
+            if not running:
+                continue
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                settle(*future.result())
+                graph.done(running.pop(future))
     if moved:
         control.advance_all(moved, run_ts)
     return result

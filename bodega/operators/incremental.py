@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bodega.functions.dates import moment
+from bodega.sources.store import Store, Watch
 
 
 def high_water(target: DataFrame | None, column: str) -> Any:
@@ -34,6 +35,10 @@ class IdRange:
     offset: int = 0
     limit: int | None = None
 
+    def watch(self, column: str) -> Watch:
+        """What a store records of this range of a column."""
+        return Watch(column, self.offset or -1, self.limit)
+
     def holds(self, ident: Column) -> Column:
         inside = ident > F.lit(self.offset) if self.offset else ident >= F.lit(0)
         return inside & (ident <= F.lit(self.limit)) if self.limit is not None else inside
@@ -80,3 +85,22 @@ def latest_of(*values: Any) -> Any:
     """Largest of several maxima, ignoring sources without rows."""
     known = [v for v in values if v is not None]
     return max(known) if known else None
+
+
+def watches(column: str, ranges: dict[str, IdRange]) -> list[Watch]:
+    """What a store should record of a watermark column, with each write."""
+    if not column:
+        return []
+    return [r.watch(column) for r in ranges.values()] if ranges else [Watch(column)]
+
+
+def stored_mark(store: Store, table: str, column: str) -> Any:
+    """Largest loaded value, None for a table never loaded: from the extremes recorded with its writes, not from its rows."""
+    return store.extremes(table, [Watch(column)])[column][1]
+
+
+def stored_range_marks(store: Store, table: str, column: str, ranges: dict[str, IdRange]) -> dict[str, Any]:
+    """One watermark per sub-type, in source ids, from the extremes recorded with the table's writes."""
+    found = store.extremes(table, watches(column, ranges))
+    largest = {n: found[r.watch(column).name][1] for n, r in ranges.items()}
+    return {n: None if largest[n] is None else largest[n] - r.offset for n, r in ranges.items()}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +37,24 @@ def key_per_value(dim: DataFrame, value: str | Sequence[str], keys: Sequence[str
     )
 
 
+#: Values of a column that are looked at as candidates for splitting, and the tasks that a column's rows should be dealt to.
+CANDIDATES = 64
+TASKS = 200
+
+
+def hot_values(rows: DataFrame, columns: Sequence[str], tasks: int = TASKS, candidates: int = CANDIDATES) -> dict[str, dict[Any, int]]:
+    """Per column the values that hold more than one task's share of the rows, and how many shares they hold.
+
+    One pass keeps a summary of the most frequent values of all columns (at most `candidates` each come to the driver). It may
+    overstate a count a little, never miss a value that holds a share.
+    """
+    tops = [F.expr(f"approx_top_k(`{c}`, {candidates}, {max(10_000, 64 * candidates)})").alias(str(i)) for i, c in enumerate(columns)]
+    found = rows.agg(F.count(F.lit(1)).alias("n"), *tops).first()
+    share = max(1, found["n"] / tasks)
+    return {c: {x["item"]: ceil(x["count"] / share) for x in found[str(i)] or () if x["item"] is not None and x["count"] > share}
+            for i, c in enumerate(columns)}
+
+
 def resolve(
     facts: DataFrame,
     dim: DataFrame,
@@ -44,6 +64,7 @@ def resolve(
     single: bool = True,
     spread: int = 1,
     identity: Sequence[str] = (),
+    hot: Mapping[Any, int] | None = None,
 ) -> DataFrame:
     """Left lookup of surrogate keys: `on` maps fact column to dimension column, `take` maps the new
     column to the dimension key. A miss gives `unknown` (None leaves NULL).
@@ -52,18 +73,30 @@ def resolve(
 
     Facts without a value match nothing, yet a shuffle would send them all to one task: they are dealt
     out by a salt instead, a hash of the columns in `identity` (else of the first column), so that a scan below
-    stays pruned. AQE splits a hot value at run time; `spread` > 1 does it by plan, at the
-    price of that many copies of the dimension.
+    stays pruned. AQE splits a hot value at run time. `hot` (see `hot_values`) does it by plan for a lookup by one column: the
+    rows of such a value are dealt to as many salts as it holds shares, and its dimension row alone is copied to each;
+    `spread` > 1 does it for all values, at the price of that many copies of the dimension.
     """
     sources = list(dict.fromkeys(take.values()))
     if single:
         dim = key_per_value(dim, list(on.values()), sources)
     names = {c: f"_look_{i}" for i, c in enumerate(list(on.values()) + [s for s in sources if s not in on.values()])}
-    copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))  # exploded, so the salt stays a join key
+    shares = {v: n for v, n in (hot or {}).items() if n > 1} if len(on) == 1 and spread == 1 else {}
+
+    def copies_of(value: Column) -> Column:
+        many = F.lit(spread)
+        for v, n in shares.items():
+            many = F.when(value == F.lit(v), n).otherwise(many)
+        return many
+
+    looked_up = q(next(iter(on.values())))
+    copies = F.explode(F.sequence(F.lit(0), copies_of(looked_up) - 1))  # exploded, so the salt stays a join key
     side = dim.select(*[q(c).alias(a) for c, a in names.items()], copies.alias("_copy"))
     empty = reduce(lambda a, b: a | b, [q(f).isNull() for f in on])
     row = F.xxhash64(*[q(c) for c in identity or facts.columns[:1]])
-    salt = F.when(empty, F.pmod(row, F.lit(1 << 16)) + spread).otherwise(F.pmod(row, F.lit(spread)) if spread > 1 else 0)
+    dealt = F.pmod(row, copies_of(q(next(iter(on))))) if spread > 1 or shares else F.lit(0)
+    # Beyond all copies, so that rows without a value meet none.
+    salt = F.when(empty, F.pmod(row, F.lit(1 << 16)) + max(spread, *shares.values(), 1)).otherwise(dealt)
     condition = reduce(lambda a, b: a & b, [q(f) == F.col(names[d]) for f, d in on.items()])
     joined = facts.withColumn("_salt", salt.cast("int")).join(side, condition & (F.col("_salt") == F.col("_copy")), "left")
     found = {

@@ -8,7 +8,7 @@ count. Every column is read once: there is one scan per storage type, pruned to
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
@@ -109,17 +109,65 @@ def value_counts(df: DataFrame, kind: str) -> DataFrame:
     columns = {str(i): f for i, f in enumerate(df.schema.fields) if storage(f) == kind}
     cells = df.select(*[F.col(f"`{f.name}`").cast("int").cast(kind).alias(p) if isinstance(f.dataType, T.BooleanType)
                         else F.col(f"`{f.name}`").cast(kind).alias(p) for p, f in columns.items()])
-    cells = cells.unpivot([], list(columns), "_position", "_value")
     flags = _flags(tests_of(kind))
     if kind == "string":
+        # An array of structs: the tests' shared parts do not compile over an unpivot.
+        cells = cells.select(F.inline(F.array(*[F.struct(F.lit(p).alias("_position"), F.col(p).alias("_value")) for p in columns])))
         # Texts are tested whole before the shuffle and counted under their SHA-256, so that none is carried.
         digest = F.unhex(F.sha2(F.col("_value"), 256))
         counted = cells.select("_position", digest.alias("_value"), flags.alias("_flags")).groupBy("_position", "_value", "_flags")
         return counted.agg(F.count(F.lit(1)).alias("_count")).select("_position", "_value", "_count", "_flags")
+    cells = cells.unpivot([], list(columns), "_position", "_value")
     counted = cells.groupBy(*cells.columns).agg(F.count(F.lit(1)).alias("_count"))
     return counted.select("_position", "_value", "_count", flags.alias("_flags"))
 
 
+STATE = "columna string, valor binary, marcas int, veces bigint"
+
+
+def profile_state(df: DataFrame) -> DataFrame:
+    """What a profile is made of, in a form that can be kept and added up: per column and distinct value (by digest; NULL is none)
+    the outcome of the tests and the number of rows. Columns that are not evaluated have one row."""
+    names = F.element_at(F.create_map(*[F.lit(x) for i, f in enumerate(df.schema.fields) for x in (str(i), f.name)]), F.col("_position"))
+    parts = []
+    for kind in dict.fromkeys(storage(f) for f in df.schema.fields):
+        if kind == "none":
+            own = F.array(*[F.lit(f.name) for f in df.schema.fields if storage(f) == kind])
+            parts.append(df.agg(F.count(F.lit(1)).alias("veces")).select(
+                F.explode(own).alias("columna"), F.lit(None).cast("binary").alias("valor"), F.lit(None).cast("int").alias("marcas"), "veces"))
+            continue
+        shown = F.col("_value") + F.lit(0.0) if kind == "double" else F.col("_value")  # one zero
+        value = F.col("_value") if kind == "string" else F.unhex(F.sha2(shown.cast("string"), 256))
+        parts.append(value_counts(df, kind).select(names.alias("columna"), value.alias("valor"), F.col("_flags").alias("marcas"),
+                                                   F.col("_count").alias("veces")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """The state of all rows from the states of parts of them."""
+    return states.groupBy("columna", "valor", "marcas").agg(F.sum("veces").alias("veces"))
+
+
+def counts_of_state(state: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """The counts that `column_counts` takes from rows, from a merged state."""
+    n, none = F.col("veces"), F.lit(None).cast("bigint")
+    place = F.create_map(*[F.lit(x) for i, f in enumerate(fields) for x in (f.name, str(i))])
+    kinds = F.create_map(*[F.lit(x) for f in fields for x in (f.name, storage(f))])
+
+    def weighted(test: str) -> Column:
+        return F.sum(F.when(F.col("marcas").bitwiseAND(F.lit(1 << TESTS.index(test))) != 0, n)).alias(f"_{test}")
+
+    summed = state.groupBy("columna").agg(
+        F.sum(n).alias("filas"), F.coalesce(F.sum(F.when(F.col("valor").isNull(), n)), F.lit(0)).alias("_nulls"),
+        F.count("valor").alias("_distinct"), *[weighted(t) for t in TESTS])
+    evaluated = F.element_at(kinds, F.col("columna")) != "none"
+    tried = {t: [k for k in {storage(f) for f in fields} if t in tests_of(k)] for t in TESTS}
+    return summed.select(
+        F.element_at(place, F.col("columna")).alias("_position"), "filas", F.when(evaluated, F.col("_nulls")).otherwise(0).alias("_nulls"), "_distinct",
+        *[F.when(F.element_at(kinds, F.col("columna")).isin(tried[t]), F.col(f"_{t}")).otherwise(none).alias(f"_{t}") if tried[t]
+          else none.alias(f"_{t}") for t in TESTS])
+
+
 def _kind_counts(df: DataFrame, kind: str) -> DataFrame:
     n, none = F.col("_count"), F.lit(None).cast("bigint")
     if kind == "none":
@@ -153,8 +201,8 @@ def _percent(part: Column, whole: Column) -> Column:
     return (F.lit(100).cast(big) * part.cast(big) / F.nullif(whole, F.lit(0)).cast(big)).cast("decimal(5,2)")
 
 
-def profile(df: DataFrame, name: TableName, run_date: date | str) -> DataFrame:
-    """The quality result of every column of `df`."""
+def profile(df: DataFrame, name: TableName, run_date: date | str, state: DataFrame | None = None) -> DataFrame:
+    """The quality result of every column of `df`; with a merged `state` its rows are not read, only its columns count."""
     fields = df.schema.fields
 
     def per_column(of: Callable[[T.StructField], object]) -> Column:
@@ -165,7 +213,7 @@ def profile(df: DataFrame, name: TableName, run_date: date | str) -> DataFrame:
     kind, length = F.col("_kind"), F.col("_length")
     none, number, text = kind == "none", kind == "number", kind == "text"
     not_null = rows - nulls
-    base = column_counts(df).select(
+    base = (column_counts(df) if state is None else counts_of_state(state, fields)).select(
         "*",
         per_column(lambda f: f.name).alias("columna"),
         per_column(value_class).alias("_kind"),

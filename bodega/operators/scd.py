@@ -82,12 +82,14 @@ def merge_versions(
     start: int | None = None,
     buckets: int = BUCKETS,
     settle: Settle = lazily,
+    gone: DataFrame | None = None,
 ) -> DataFrame:
     """The whole dimension after a type 2 merge: untouched rows, closed versions, new versions.
 
     `staging` holds one row per business key (see `newest`); `tracked` maps each watched column to
     the value its NULL compares as, or None. Columns outside `tracked` never trigger a version.
-    Close and insert share `run_ts`, so the two intervals touch exactly. The new and changed rows are
+    Close and insert share `run_ts`, so the two intervals touch exactly. The business keys of `gone` are closed without a
+    successor. The new and changed rows are
     used three times; `settle` may materialise them.
     """
     attributes = [c for c in dim.columns if c not in (key, VALID_FROM, VALID_TO, LINEAGE)]
@@ -95,6 +97,8 @@ def merge_versions(
     closing = pending.filter(F.col("_changed")).select(
         *[q(b).alias(f"_b{i}") for i, b in enumerate(business)], F.lit(True).alias("_closes")
     )
+    if gone is not None:
+        closing = closing.unionByName(gone.select(*[q(b).alias(f"_b{i}") for i, b in enumerate(business)], F.lit(True).alias("_closes")))
     match = reduce(lambda a, b: a & b, [q(b) == F.col(f"_b{i}") for i, b in enumerate(business)])
     closes = F.col("_closes").isNotNull() & (q(VALID_TO) == open_end())
     kept = (

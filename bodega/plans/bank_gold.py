@@ -23,26 +23,27 @@ DIMENSIONS = {
     for d in (
         Dimension("Dimension.Centro", "Centro_Staging", "Centro Key", ("WWI Centro ID",),
                   {"Nombre Centro": None, "Estado Centro": None, "Numero Empleados": 0},
-                  drop=("Telefono", "Email", "Director Centro", "Centro Padre"), add={"Centro Padre Key": "int"}),
+                  drop=("Telefono", "Email", "Director Centro", "Centro Padre"), add={"Centro Padre Key": "int"}, ends=True),
         Dimension(INSTITUTION, "EntidadFinanciera_Staging", "Entidad Financiera Key", ("WWI Entidad ID",), against_open=False),
         Dimension(RISK_CLASS, "ClasificacionRiesgo_Staging", "Clasificacion Riesgo Key", ("Codigo Clasificacion",),
                   drop=("WWI Clasificacion ID",), versioned=False),
         Dimension(PRODUCT, "Producto_Staging", "Producto Key", ("WWI Producto ID",),
                   {"TAE": 0, "TIN": 0, "Es Comercializable": None},
-                  drop=("Importe Minimo", "Importe Maximo", "Plazo Minimo Dias", "Plazo Maximo Dias", "Edad Minima", "Edad Maxima")),
+                  drop=("Importe Minimo", "Importe Maximo", "Plazo Minimo Dias", "Plazo Maximo Dias", "Edad Minima", "Edad Maxima"), ends=True),
         Dimension(CUSTOMER, "Cliente_Staging", "Cliente Key", ("WWI Cliente ID",),
-                  {"Segmento": "", "Provincia": "", "Es Cliente Activo": None}, drop=("Telefono Fijo", "Clasificacion Comercial")),
+                  {"Segmento": "", "Provincia": "", "Es Cliente Activo": None}, drop=("Telefono Fijo", "Clasificacion Comercial"),
+                  ends=True),
         Dimension("Dimension.PerfilRiesgo", "PerfilRiesgo_Staging", "Perfil Riesgo Key", ("WWI Cliente ID",),
                   {"Score Credito": 0, "Nivel Riesgo": ""},
                   drop=("Fecha Calculo Score", "Fuente Score", "Importe Promedio Transaccion",
-                        "Numero Transferencias Internacionales", "Fecha Actualizacion")),
+                        "Numero Transferencias Internacionales", "Fecha Actualizacion"), ends=True),
         Dimension("Dimension.Garantia", "Garantia_Staging", "Garantia Key", ("WWI Garantia ID",), against_open=False,
                   drop=("Numero Contrato", "Direccion Garantia", "Fecha Constitucion", "Fecha Liberacion")),
         Dimension("Dimension.Empleado", "Empleado_Staging", "Empleado Key", ("WWI Empleado ID",),
-                  {"Puesto": None, "Estado Empleado": None}, drop=("Telefono",)),
+                  {"Puesto": None, "Estado Empleado": None}, drop=("Telefono",), ends=True),
         Dimension(ACCOUNT, "Cuenta_Staging", "Cuenta Key", ("WWI Cuenta ID",), {"Estado Cuenta": None},
                   drop=("Cliente ID", "Saldo Actual", "Saldo Disponible", "Saldo Retenido", "Limite Descubierto"),
-                  lookup=Lookup("Cliente Key", CUSTOMER, ("Cliente ID", "WWI Cliente ID"), "Cliente Key")),
+                  lookup=Lookup("Cliente Key", CUSTOMER, ("Cliente ID", "WWI Cliente ID"), "Cliente Key"), ends=True),
     )
 }
 
@@ -145,14 +146,15 @@ def guarantee(g: Star) -> DataFrame:
 FACTS = {
     f.target: f
     for f in (
-        FactLoad("Fact.Credito", "Credito Key", credit, "WWI Credito ID", ranges=CREDITS),
-        FactLoad("Fact.CuotaPrestamo", "Cuota Prestamo Key", instalment, "WWI Cuota ID"),
-        FactLoad("Fact.Transferencia", "Transferencia Key", transfer, "WWI Transferencia ID", ranges=TRANSFERS),
-        FactLoad("Fact.Movimiento", "Movimiento Key", movement, "WWI Movimiento ID"),
+        FactLoad("Fact.Credito", "Credito Key", credit, "WWI Credito ID", ranges=CREDITS, needs=(CUSTOMER, PRODUCT)),
+        FactLoad("Fact.CuotaPrestamo", "Cuota Prestamo Key", instalment, "WWI Cuota ID", needs=(CUSTOMER,)),
+        FactLoad("Fact.Transferencia", "Transferencia Key", transfer, "WWI Transferencia ID", ranges=TRANSFERS,
+                 needs=(ACCOUNT,)),
+        FactLoad("Fact.Movimiento", "Movimiento Key", movement, "WWI Movimiento ID", needs=(ACCOUNT,)),
         FactLoad("Fact.SaldoCuenta", "Saldo Cuenta Key", account_balance, "Fecha Key", by="day",
-                 order=("Numero Cuenta", "Fecha")),
-        FactLoad("Fact.Provision", "Provision Key", provision, "WWI Provision ID"),
-        FactLoad("Fact.CIRBE", "CIRBE Key", risk_report, "WWI CIRBE ID"),
-        FactLoad("Fact.Aval", "Aval Key", guarantee, "WWI Aval ID"),
+                 order=("Numero Cuenta", "Fecha"), needs=(ACCOUNT,)),
+        FactLoad("Fact.Provision", "Provision Key", provision, "WWI Provision ID", needs=(CUSTOMER, RISK_CLASS)),
+        FactLoad("Fact.CIRBE", "CIRBE Key", risk_report, "WWI CIRBE ID", needs=(CUSTOMER, INSTITUTION, RISK_CLASS)),
+        FactLoad("Fact.Aval", "Aval Key", guarantee, "WWI Aval ID", needs=(CUSTOMER,)),
     )
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 from bodega.functions.dates import moment, open_end
 from bodega.functions.text import clean_email, clean_phone, clean_text
 from bodega.operators.control import ControlTables, LayerResult, run_layer
-from bodega.operators.incremental import IdRange, high_water, newer, range_high_water
+from bodega.operators.incremental import IdRange, newer, stored_mark, stored_range_marks, watches
 from bodega.operators.joins import latest_per_key, q
+from bodega.operators.snapshot import VANISHED, difference, digests
+from bodega.session import cut_lineage
 from bodega.sources.store import Store
 
 MAIN = "main"
@@ -138,41 +140,76 @@ class CleanLoad:
 
 
 def clean_marks(load: CleanLoad, store: Store, control: ControlTables | None) -> dict[str, Any]:
-    target = store.read(load.target) if store.exists(load.target) else None
+    """The watermarks of a load, from the control table or from what was recorded with the target's writes."""
     if load.by == "control":
         return {p: control.watermark(load.control_name(p)) for p in load.control_dates}
     if load.by == "none":
         return {}
     if load.ranges:
-        return range_high_water(target, load.ident, load.ranges)
-    return {MAIN: high_water(target, load.ident)}
+        return stored_range_marks(store, load.target, load.ident, load.ranges)
+    return {MAIN: stored_mark(store, load.target, load.ident)}
 
 
 def load_clean(load: CleanLoad, read: Reader, store: Store, run_ts: datetime, control: ControlTables | None = None,
-               single_lookups: bool = False, marks: dict[str, dict[str, Any]] | None = None) -> int:
+               single_lookups: bool = False, marks: dict[str, dict[str, Any]] | None = None, sort_by: Sequence[str] = ()) -> int:
     """Run one load and return the rows written (counted by the write itself).
 
+    With `sort_by` the rows are written in that order, over all files: later loads then skip the row groups below their mark, and
+    keys given by place follow the order.
+
     A load by control date then moves the mark of each part to the largest date of the rows it has read, so that rows
     arriving meanwhile belong to the next run. A header counts as read when its lines come later.
     """
     by_control = load.by == "control"
     sources = Sources(read, run_ts, clean_marks(load, store, control), load.ranges, single_lookups, {} if by_control else None)
-    rows = load.rows(sources)
+    rows, watch = load.rows(sources), watches(load.ident, load.ranges)
+    if sort_by:
+        rows = rows.orderBy(*[q(c) for c in sort_by])
+    written = (store.replace if load.by == "none" else store.append)(load.target, rows, watch=watch)
     if not by_control:
-        return store.replace(load.target, rows) if load.by == "none" else store.append(load.target, rows)
-    written = store.append(load.target, rows)
+        return written
     if marks is not None and written:
         marks[load.target] = sources.seen()
     return written
 
 
+def digests_of(target: str) -> str:
+    """The table with the row digests of a staging's last snapshot."""
+    return f"{target}_Huellas"
+
+
+def load_changes(load: CleanLoad, read: Reader, store: Store, run_ts: datetime, key: Sequence[str] = (), single_lookups: bool = False) -> int:
+    """Stage what has changed in the whole source since the last run; rows written are returned.
+
+    New and changed rows are staged as they are now. A row that is gone from the source is staged once more as it was, with a
+    validity that ends now, which closes its dimension member (`Dimension.ends`). The staging needs validity columns, and `key` (else
+    the load's id) must be unique. The rows are staged before their digests: a run that ends in between is repeated with
+    the same outcome, as a dimension takes the newest row of a member.
+    """
+    key, known = list(key) or [load.ident], digests_of(load.target)
+    rows = cut_lineage(load.rows(Sources(read, run_ts, {}, load.ranges, single_lookups)))
+    own = ["Valid From", "Valid To"]
+    if not store.exists(known):
+        written = store.append(load.target, rows, watch=watches(load.ident, load.ranges))
+        store.replace(known, digests(rows, key, own))
+        return written
+    states = cut_lineage(difference(rows, store.read(known), key, own))
+    fresh = rows.join(states.filter(F.col("_state") != VANISHED), key, "left_semi")
+    gone = states.filter(F.col("_state") == VANISHED).select(*[q(k) for k in key])
+    last = latest_per_key(store.read(load.target).join(gone, key, "left_semi"), key, [q("Valid From").desc_nulls_last()])
+    ended = last.withColumns({"Valid From": moment(run_ts), "Valid To": moment(run_ts)})
+    written = store.append(load.target, fresh.unionByName(ended.select(*[q(c) for c in fresh.columns])), watch=watches(load.ident, load.ranges))
+    store.replace(known, digests(rows, key, own))
+    return written
+
+
 def run_clean_layer(loads: Mapping[str, CleanLoad], read: Reader, store: Store, run_ts: datetime, only: str | None = None,
-                    parallel: int = 1, single_lookups: bool = False) -> LayerResult:
-    """All loads of a clean layer (or `only` one), with control and log rows."""
+                    parallel: int = 1, single_lookups: bool = False, sort_by: Mapping[str, Sequence[str]] | None = None) -> LayerResult:
+    """All loads of a clean layer (or `only` one), with control and log rows. `sort_by`: see `load_clean`."""
     control, marks = ControlTables(store), {}
 
     def job(load: CleanLoad) -> Callable[[], int]:
-        return lambda: load_clean(load, read, store, run_ts, control, single_lookups, marks)
+        return lambda: load_clean(load, read, store, run_ts, control, single_lookups, marks, (sort_by or {}).get(load.target, ()))
 
     def done(name: str) -> bool:
         return loads[name].by != "control"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bodega.operators.catalog import CatalogEntry, in_scope
-from bodega.operators.quality import Sweep, TableName, close_run, keep_newest_runs, sweep
+from bodega.operators.quality import Sweep, TableName, close_run, merge_states, profile_state, sweep
 from bodega.sources.store import Store
 
 RESULTS, RUNS, ERRORS = "DQ_Resultados", "RegistroCargas", "DQ_LOG"
@@ -26,6 +26,36 @@ ERROR_COLUMNS = (
 )
 
 
+#: Partition of the results: the date of a run.
+RUN_DATE = "fecha_ejecucion"
+KEPT_RUNS = 3
+#: Hidden partition of a kept profile state: the part of the table that it is of.
+PART = "_part"
+
+
+def drop_old_runs(store: Store, kept: int = KEPT_RUNS) -> None:
+    """Keep the newest run dates: older ones' partitions are dropped, the others stay where they are."""
+    version = store.version(RESULTS)
+    if version is None:
+        return
+    dates = sorted({p.values[RUN_DATE] for p in version.parts if p.values[RUN_DATE]}, reverse=True)
+    store.drop(RESULTS, lambda p: p.values[RUN_DATE] in dates[kept:])
+
+
+def refresh_state(tables: Store, table: str, states: Store) -> DataFrame:
+    """The merged profile state of a stored table, kept per part: parts that are new since the last call alone are read, and
+    the states of parts that the table no longer has are dropped."""
+    version, kept = tables.version(table), f"{table}_Estado"
+    current = {p.path: p for p in version.parts}
+    states.drop(kept, lambda p: p.values[PART] not in current)
+    known = {p.values[PART] for p in states.version(kept).parts} if states.exists(kept) else set()
+    for path, part in current.items():
+        if path not in known:
+            state = profile_state(tables.read(table, [part])).withColumn(PART, F.lit(path))
+            states.append(kept, state, partition_by=(PART,))
+    return merge_states(states.read(kept))
+
+
 @dataclass
 class QualityRun:
     store: Store
@@ -52,7 +82,7 @@ class QualityRun:
 
         def save(name: TableName, result: DataFrame) -> None:
             nonlocal written
-            written += self.store.append(RESULTS, result, partition_by=("fecha_ejecucion",))
+            written += self.store.append(RESULTS, result, partition_by=(RUN_DATE,))
 
         tables = {TableName(e.database, e.schema, e.table): e.data for e in entries if in_scope(e)}
         ok = False
@@ -64,6 +94,5 @@ class QualityRun:
         finally:
             closed = close_run(self.store.read(RUNS), self.package, PROCEDURE, written, self.clock() if now is None else now, ok)
             self.store.replace(RUNS, closed)
-        if self.store.exists(RESULTS):
-            self.store.replace(RESULTS, keep_newest_runs(self.results()), partition_by=("fecha_ejecucion",))
+        drop_old_runs(self.store)
         return out

@@ -87,15 +87,17 @@ def transaction(g: Star) -> DataFrame:
 FACTS = {
     f.target: f
     for f in (
-        FactLoad("Fact.Stock Holding", "Stock Holding Key", stock_holding, by="all", order=("WWI Stock Item ID", "Bin Location")),
-        FactLoad("Fact.Movement", "Movement Key", movement, "WWI Stock Item Transaction ID"),
+        FactLoad("Fact.Stock Holding", "Stock Holding Key", stock_holding, by="all", order=("WWI Stock Item ID", "Bin Location"),
+                 needs=(ITEM,)),
+        FactLoad("Fact.Movement", "Movement Key", movement, "WWI Stock Item Transaction ID", needs=(ITEM, CUSTOMER, SUPPLIER, KIND)),
         FactLoad("Fact.Order", "Order Key", order, "WWI Order ID",
-                 order=("WWI Order ID", "WWI Stock Item ID", "Description", "Quantity", "Unit Price")),
+                 order=("WWI Order ID", "WWI Stock Item ID", "Description", "Quantity", "Unit Price"), needs=(CUSTOMER, ITEM, EMPLOYEE)),
         FactLoad("Fact.Purchase", "Purchase Key", purchase, "WWI Purchase Order ID",
-                 order=("WWI Purchase Order ID", "WWI Stock Item ID", "Ordered Outers", "Received Outers")),
+                 order=("WWI Purchase Order ID", "WWI Stock Item ID", "Ordered Outers", "Received Outers"), needs=(SUPPLIER, ITEM)),
         FactLoad("Fact.Sale", "Sale Key", sale, "WWI Invoice ID",
-                 order=("WWI Invoice ID", "WWI Stock Item ID", "Description", "Quantity", "Total Including Tax")),
+                 order=("WWI Invoice ID", "WWI Stock Item ID", "Description", "Quantity", "Total Including Tax"), needs=(CUSTOMER, ITEM, EMPLOYEE)),
         FactLoad("Fact.Transaction", "Transaction Key", transaction, by="once",
-                 order=("WWI Customer Transaction ID", "WWI Supplier Transaction ID", "Date Key", "Total Including Tax")),
+                 order=("WWI Customer Transaction ID", "WWI Supplier Transaction ID", "Date Key", "Total Including Tax"),
+                 needs=(CUSTOMER, SUPPLIER, KIND, METHOD)),
     )
 }

@@ -190,8 +190,8 @@ def transaction(s: Sources) -> DataFrame:
     return customers.unionByName(suppliers, allowMissingColumns=True)
 
 
-def _dated(target: str, build, table: str, column: str) -> CleanLoad:
-    return CleanLoad(target, build, by="control", control_dates={MAIN: (table, column)}, validity=False)
+def _dated(target: str, build, table: str, column: str, ident: str) -> CleanLoad:
+    return CleanLoad(target, build, ident, by="control", control_dates={MAIN: (table, column)}, validity=False)
 
 
 LOADS = {
@@ -205,10 +205,10 @@ LOADS = {
         CleanLoad("Supplier_Staging", supplier, "WWI Supplier ID", validity=False),
         CleanLoad("TransactionType_Staging", transaction_type, "WWI Transaction Type ID", validity=False),
         CleanLoad("StockHolding_Staging", stock_holding, by="none", validity=False),
-        _dated("Movement_Staging", movement, "Warehouse.StockItemTransactions", "TransactionOccurredWhen"),
-        _dated("Order_Staging", order, "Sales.Orders", "OrderDate"),
-        _dated("Purchase_Staging", purchase, "Purchasing.PurchaseOrders", "OrderDate"),
-        _dated("Sale_Staging", sale, "Sales.Invoices", "InvoiceDate"),
+        _dated("Movement_Staging", movement, "Warehouse.StockItemTransactions", "TransactionOccurredWhen", "WWI Stock Item Transaction ID"),
+        _dated("Order_Staging", order, "Sales.Orders", "OrderDate", "WWI Order ID"),
+        _dated("Purchase_Staging", purchase, "Purchasing.PurchaseOrders", "OrderDate", "WWI Purchase Order ID"),
+        _dated("Sale_Staging", sale, "Sales.Invoices", "InvoiceDate", "WWI Invoice ID"),
         CleanLoad("Transaction_Staging", transaction, by="control", validity=False, control_dates={
             "customer": ("Sales.CustomerTransactions", "TransactionDate"),
             "supplier": ("Purchasing.SupplierTransactions", "TransactionDate"),

@@ -1,23 +1,29 @@
-"""The entity loads of both domains, as shipped, over raw tables derived from the given ones: first loads, second loads,
-the second day of every dimension."""
+"""The entity loads of both domains, as shipped, over raw tables derived from the given ones: first loads, second
+loads of merged stagings and of every fact through stored tables, the second day of every dimension."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime
 from functools import cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bodega.operators.incremental import range_high_water
+from bodega.operators.control import ControlTables
 from bodega.operators.joins import resolve
 from bodega.plans import bank_gold, bank_silver, wholesale_gold, wholesale_silver
-from bodega.plans.entity import Sources, spaced
-from bodega.plans.star import Star
+from bodega.plans.entity import Sources, load_changes, run_clean_layer, spaced
+from bodega.plans.star import FactLoad, Star, load_dimension, load_fact, run_star_layer
 from bodega.queries.base import RUN_TS, Tables, plain, query
 from bodega.queries.raw import RAW, raw, raw_sql
-from bodega.session import cut_lineage
+from bodega.session import cut_lineage, shared_folder
+from bodega.sources.buckets import colocated
+from bodega.sources.store import Store
 
 WIDE = bank_silver.SPAN
 DAY_ONE, DAY_ONE_TEXT = datetime(2024, 1, 1), "2024-01-01 00:00:00"
@@ -45,7 +51,7 @@ class Flow:
         return self._dims[target]
 
     def fact(self, load) -> DataFrame:
-        return load.build(Star(self.silver, self.dims, NOW))
+        return load.build(Star(self.silver, self.dims, NOW, rows_by=load.identity))
 
 
 def bank(t: Tables) -> Flow:
@@ -141,26 +147,51 @@ def dim(name: str, target: str, flow, staging: str, key: str, business: str, dro
         day_two(name, target, flow, key, business, f"select {columns}{extra} from ({SILVER[staging]}) s {joined}")
 
 
-def fact(name: str, load, flow, body: str, name_for: tuple[str, str, str] | None = None, again: str | None = None):
+def fact(name: str, load, flow, body: str, name_for: tuple[str, str, str] | None = None, again: Again | None = None):
     """Register a fact with its oracle. `name_for` shows a code in place of a hash-numbered key."""
-    def run(t: Tables) -> DataFrame:
-        f = flow(t)
-        rows = f.fact(load)
+    def named(f: Flow, rows: DataFrame) -> DataFrame:
         if name_for is not None:
             column, dimension, code = name_for
             rows = resolve(rows, f.dims(dimension), {column: column}, {code: code}, unknown=None).drop(column)
-        return plain(rows)
+        return rows
+
+    def run(t: Tables) -> DataFrame:
+        f = flow(t)
+        return plain(named(f, f.fact(load)))
 
     query(name, body, FLOATS.get(name, ()))(run)
     if again is not None:
-        fact_second_load(name, load, flow, again, body)
+        fact_second_load(name, load, flow, again, body, named)
+
+
+def stores(t: Tables) -> tuple[Store, Store]:
+    """Empty clean and star stores in the shared folder."""
+    root = f"{shared_folder(t.spark)}/loads-{uuid4().hex}"
+    return Store(t.spark, f"{root}/silver"), Store(t.spark, f"{root}/gold")
+
+
+def load_layer(loads, targets: list[str], read, store: Store, sort_by: dict[str, tuple[str, ...]] | None = None) -> None:
+    result = run_clean_layer({n: loads[n] for n in targets}, read, store, NOW, sort_by=sort_by)
+    if result.errors:
+        raise RuntimeError(str(result.messages))
+
+
+def by_load(store: Store, target: str, first: set[str]) -> DataFrame:
+    """A stored table with the number of the load that wrote a row; `first` are the parts of the first."""
+    parts = store.version(target).parts
+    one, two = ([p for p in parts if (p.path in first) == early] for early in (True, False))
+    return store.read(target, one).withColumn("lote", F.lit(1)).unionByName(store.read(target, two).withColumn("lote", F.lit(2)))
+
+
+def paths(store: Store, target: str) -> set[str]:
+    return {p.path for p in store.version(target).parts}
 
 
 def second_load(name: str, target: str, flow, parts: dict[str, tuple[str, str]]):
-    """Register two loads of a staging that merges sub-types: the lower half of each sub-type's ids, then the whole source.
+    """Register two loads of a stored staging that merges sub-types: the lower half of each sub-type's ids, then the whole source.
 
-    `parts` maps a sub-type to its raw table and id. The second load reads what is above the marks of the first, as the
-    shipped load does; together they must be the whole, each row once.
+    `parts` maps a sub-type to its raw table and id. The second load reads what is above the marks recorded by the first;
+    together they must be the whole, each row once.
     """
     load = (bank_silver.LOADS if flow is bank else wholesale_silver.LOADS)[target]
 
@@ -171,36 +202,127 @@ def second_load(name: str, target: str, flow, parts: dict[str, tuple[str, str]])
             rows = reader(table)
             return rows.filter(F.col(half[table][0]) <= half[table][1]) if table in half else rows
 
-        first = cut_lineage(load.rows(Sources(lower, NOW, ranges=load.ranges)))
-        marks = range_high_water(first, load.ident, load.ranges)
-        second = load.rows(Sources(reader, NOW, marks, load.ranges))
-        return plain(first.withColumn("lote", F.lit(1)).unionByName(second.withColumn("lote", F.lit(2))))
+        store, _ = stores(t)
+        load_layer({target: load}, [target], lower, store)
+        first = paths(store, target)
+        load_layer({target: load}, [target], reader, store)
+        return plain(by_load(store, target, first))
+
+    query(f"{name}_second_load", f"select *, {_subtype_batch(load, parts)} as lote from ({SILVER[target]})", FLOATS.get(name, ()))(run)
+
 
+def _subtype_batch(load, parts: dict[str, tuple[str, str]], of: str = "") -> str:
+    ident = f'{of}"{load.ident}"'
     cases = " ".join(
-        f"""when "{load.ident}" between {load.ranges[part].offset + 1} and {load.ranges[part].offset} + (select max({ident}) // 2 from ({RAW[table].replace('{', '').replace('}', '')})) then 1"""
-        for part, (table, ident) in parts.items())
-    query(f"{name}_second_load", f"select *, case {cases} else 2 end as lote from ({SILVER[target]})", FLOATS.get(name, ()))(run)
+        f"""when {ident} between {load.ranges[part].offset + 1} and {load.ranges[part].offset} + (select max({own}) // 2 from ({RAW[table].replace('{', '').replace('}', '')})) then 1"""
+        for part, (table, own) in parts.items())
+    return f"case {cases} else 2 end"
 
 
 def _half(rows: DataFrame, ident: str) -> int:
     return rows.agg(F.floor(F.max(ident) / 2)).first()[0] or 0
 
 
-def fact_second_load(name: str, load, flow, staging: str, body: str):
-    """Register two loads of a fact by id: from the lower half of its staging, then from all of it above the marks."""
-    def run(t: Tables) -> DataFrame:
-        f = flow(t)
-        half = _half(f.silver(staging), f"`{load.ident}`")
+@dataclass(frozen=True)
+class Again:
+    """How the source of a fact's staging is cut for two loads.
 
-        def lower(target: str) -> DataFrame:
-            return f.silver(target).filter(F.col(f"`{load.ident}`") <= half) if target == staging else f.silver(target)
+    `parts`: raw tables with the id at whose half they are cut, by sub-type (one sub-type is called main). `late` is a raw date column
+    that is ten years later in the second half, for stagings loaded by date, with the staging's name for it. `until` cuts by that
+    date instead. `also` are other stagings that the fact reads.
+    """
 
-        first = cut_lineage(load.build(Star(lower, f.dims, NOW, {}, load.ranges)))
-        second = load.build(Star(f.silver, f.dims, NOW, load.marks(first), load.ranges))
-        return plain(first.withColumn("lote", F.lit(1)).unionByName(second.withColumn("lote", F.lit(2))))
+    staging: str
+    parts: dict[str, tuple[str, str]]
+    late: tuple[str, str] | None = None
+    until: str | None = None
+    also: tuple[str, ...] = ()
 
-    batch = f"""case when "{load.ident}" <= (select max("{load.ident}") // 2 from ({SILVER[staging]})) then 1 else 2 end as lote"""
-    query(f"{name}_second_load", f"select *, {batch} from ({body})", FLOATS.get(name, ()))(run)
+
+def fact_second_load(name: str, load: FactLoad, flow, again: Again, body: str, named: Callable[[Flow, DataFrame], DataFrame]):
+    """Register two loads of a stored fact: from the first half of its source, then from all of it, through stored stagings.
+
+    The result has the surrogate keys. Stagings are stored in the order of the columns that identify a fact row, so keys given by
+    place follow that order and SQL can number the rows too.
+    """
+    staging = (bank_silver.LOADS if flow is bank else wholesale_silver.LOADS)[again.staging]
+
+    def loaded(t: Tables, twice: Callable[[Store, Store, Flow], None]) -> tuple[Flow, Store, set[str]]:
+        f, (silver, gold) = flow(t), stores(t)
+        reader = cache(raw(t))
+        half = {table: (own, None if again.until else _half(reader(table), own)) for table, own in again.parts.values()}
+
+        def source(lower: bool) -> Callable[[str], DataFrame]:
+            def read(table: str) -> DataFrame:
+                rows = reader(table)
+                if table not in half:
+                    return rows
+                own, middle = half[table]
+                if again.until:
+                    return rows.filter(F.col(again.late[0]) <= F.lit(again.until).cast("timestamp_ntz")) if lower else rows
+                if again.late:
+                    day = F.col(again.late[0])
+                    rows = rows.withColumn(again.late[0], F.when(F.col(own) > middle, day + F.expr("interval 10 years")).otherwise(day))
+                return rows.filter(F.col(own) <= middle) if lower else rows
+            return read
+
+        first: set[str] = set()
+        for lower in (True, False):
+            load_layer(f.loads, [again.staging, *again.also], source(lower), silver, {again.staging: load.identity})
+            twice(silver, gold, f)
+            first = first or paths(gold, load.target)
+        return f, gold, first
+
+    def once(silver: Store, gold: Store, f: Flow) -> None:
+        load_fact(load, silver, gold, NOW, dims=f.dims)
+
+    def run(t: Tables) -> DataFrame:
+        f, gold, first = loaded(t, once)
+        rows = by_load(gold, load.target, first) if load.by != "all" else gold.read(load.target)
+        return plain(named(f, rows))
+
+    order = ", ".join(f's."{c}" nulls first' for c in load.identity)
+    source, numbered = SILVER[again.staging], f"row_number() over (order by {order})"
+    if load.by == "all":
+        batch, keyed, columns, condition = "1", numbered, "", ""
+    elif again.until:
+        batch = f"""case when s."{again.late[1]}" <= '{again.until}' then 1 else 2 end"""
+        columns, condition = ", batch as lote", "where batch = 1" if load.by == "once" else ""
+    else:
+        if staging.ranges:
+            batch = _subtype_batch(staging, again.parts, "s.")
+        else:
+            (table, own), = again.parts.values()
+            batch = f"""case when s."{load.ident}" <= (select max({own}) // 2 from ({RAW[table].replace('{', '').replace('}', '')})) then 1 else 2 end"""
+        columns, condition = ", batch as lote", ""
+    if again.late and not again.until:
+        (table, own), = again.parts.values()
+        day = f'"{again.late[1]}"'
+        source = f"""select * replace (case when "{load.ident}" > (select max({own}) // 2 from ({RAW[table].replace('{', '').replace('}', '')}))
+            then strftime(cast({day} as date) + interval 10 year, '%Y-%m-%d') else {day} end as {day}) from ({source})"""
+    if load.by != "all":
+        numbered = f"row_number() over (partition by {batch} order by {order})"
+        keyed = "case when batch = 1 then place else place + (count(*) filter (where batch = 1) over ()) end"
+    text = body.replace(f"({SILVER[again.staging]}) s", f"({source}) s", 1)
+    head = text.index("select ") + len("select ")
+    text = f'{text[:head]}{numbered} as place, {batch} as batch, {text[head:]}'
+    keyed = keyed if load.by != "all" else "place"
+    sql = f"""select * exclude (place, batch), {keyed} as "{load.key}", 1 as "Lineage Key"{columns} from ({text})"""
+    query(f"{name}_second_load", f"select * from ({sql}) {'where lote = 1' if condition else ''}", FLOATS.get(name, ()))(run)
+    if load.by == "once":
+        def race(t: Tables) -> DataFrame:
+            def both(silver: Store, gold: Store, f: Flow) -> None:
+                for d in load.needs:
+                    f.dims(d)
+                with ThreadPoolExecutor(2) as pool:
+                    written = list(pool.map(lambda _: load_fact(load, silver, gold, NOW, dims=f.dims), range(2)))
+                if written.count(0) < 1:
+                    raise AssertionError(f"both loads have filled the fact: {written}")
+
+            f, gold, _ = loaded(t, both)
+            return plain(named(f, gold.read(load.target)).drop(load.key))
+
+        query(f"{name}_two_writers", f"""select * exclude ("{load.key}", lote) from ({sql}) where lote = 1""", FLOATS.get(name, ()))(race)
 
 
 def day_two(name: str, target: str, flow, key: str, business: str, columns: str):
@@ -402,6 +524,24 @@ dim("gd_account", "Dimension.Cuenta", bank, "Cuenta_Staging", "Cuenta Key", "WWI
     ', coalesce(c."Cliente Key", 0) as "Cliente Key"', f'left join ({DIMS["Dimension.Cliente"]}) c on c."WWI Cliente ID" = s."Cliente ID"')
 
 
+@query("gd_risk_class_keys", f"""select count(*) as n, 1 as menor, count(*) as mayor, count(*) as distintas, count(*) filter ("WWI Clasificacion ID" % 5 = 0) as nuevas,
+    count(*) filter ("WWI Clasificacion ID" % 5 <> 0) + 1 as primera_nueva from ({SILVER['ClasificacionRiesgo_Staging']})""")
+def gd_risk_class_keys(t: Tables) -> DataFrame:
+    """The second day of the dimension whose keys are numbered by a hash of a code: dense, unique, new members after the old ones."""
+    d, f = bank_gold.DIMENSIONS["Dimension.ClasificacionRiesgo"], bank(t)
+    _, gold = stores(t)
+    staging = f.silver(d.staging)
+    load_dimension(d, lambda _: staging.filter(F.col("`WWI Clasificacion ID`") % 5 != 0), gold, DAY_ONE)
+    old = gold.rows(d.target)
+    load_dimension(d, lambda _: staging, gold, NOW)
+    key = F.col(f"`{d.key}`")
+    codes = staging.filter(F.col("`WWI Clasificacion ID`") % 5 == 0).select("Codigo Clasificacion", F.lit(True).alias("_new"))
+    marked = gold.read(d.target).join(codes, "Codigo Clasificacion", "left")
+    return plain(marked.agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("menor"), F.max(key).alias("mayor"), F.count_distinct(key).alias("distintas"),
+        F.count_if("_new").alias("nuevas"), F.coalesce(F.min(F.when(F.col("_new"), key)), F.lit(old + 1)).alias("primera_nueva")))
+
+
 second_load("bs_customer", "Cliente_Staging", bank, {"person": ("Cliente.Personas", "PersonaID"), "company": ("Cliente.PersonasJuridicas", "PersonaJuridicaID")})
 second_load("bs_account", "Cuenta_Staging", bank, {
     "current": ("Cuenta.CuentasCorrientes", "CuentaCorrienteID"), "savings": ("Cuenta.CuentasAhorro", "CuentaAhorroID"), "payroll": ("Cuenta.CuentasNomina", "CuentaNominaID")})
@@ -410,6 +550,91 @@ second_load("bs_transfer", "Transferencia_Staging", bank, {
     "internal": ("Transferencia.TransferenciasInternas", "TransferenciaInternaID"), "external": ("Transferencia.TransferenciasExternas", "TransferenciaExternaID"),
     "sepa": ("Transferencia.TransferenciasSEPA", "TransferenciaSEPAID")})
 
+# --- bank, changed and vanished source rows reach a dimension -----------------------------------------
+
+_S = f"""select s.* exclude ("Telefono Fijo", "Clasificacion Comercial") from ({SILVER['Cliente_Staging']}) s"""
+_ORDER = """row_number() over (order by "WWI Cliente ID" % 1021, "WWI Cliente ID")"""
+
+
+@query("snapshot_two_days", f"""with s as ({_S}), early as (select {_ORDER} as k, * replace ('{DAY_ONE_TEXT}' as "Valid From") from s
+        where "WWI Cliente ID" > {WIDE} or "WWI Cliente ID" % 5 <> 0),
+    today as (select * replace (case when "WWI Cliente ID" <= {WIDE} and "WWI Cliente ID" % 7 = 0 then 1 - "Es Cliente Activo" else "Es Cliente Activo" end as "Es Cliente Activo")
+        from s where "WWI Cliente ID" > {WIDE} or "WWI Cliente ID" % 11 <> 0),
+    pending as (select n.*, o.k is not null as was from today n left join early o on o."WWI Cliente ID" = n."WWI Cliente ID"
+        where o.k is null or n."Es Cliente Activo" <> o."Es Cliente Activo"),
+    closes as (select "WWI Cliente ID" as id from pending where was union select "WWI Cliente ID" from early where "WWI Cliente ID" not in (select "WWI Cliente ID" from today))
+    select k as "Cliente Key", * exclude (k) replace (case when "WWI Cliente ID" in (select id from closes) then '{RUN_TS}' else "Valid To" end as "Valid To") from early
+    union all by name select (select max(k) from early) + {_ORDER} as "Cliente Key", * exclude (was) from pending""", FLOATS["gd_customer"])
+def snapshot_two_days(t: Tables) -> DataFrame:
+    """Two days of a whole raw source: late, changed and vanished persons, staged by their digests, then merged."""
+    reader, (silver, gold) = raw(t), stores(t)
+    load, d = bank_silver.LOADS["Cliente_Staging"], bank_gold.DIMENSIONS["Dimension.Cliente"]
+    ident, active = F.col("PersonaID"), F.col("EsClienteActivo")
+
+    def day(first: bool) -> Callable[[str], DataFrame]:
+        def read(table: str) -> DataFrame:
+            rows = reader(table)
+            if table != "Cliente.Personas":
+                return rows
+            if first:
+                return rows.filter(ident % 5 != 0)
+            return rows.filter(ident % 11 != 0).withColumn("EsClienteActivo", F.when(ident % 7 == 0, ~active).otherwise(active))
+        return read
+
+    for when, first in ((DAY_ONE, True), (NOW, False)):
+        load_changes(load, day(first), silver, when)
+        load_dimension(d, silver.read, gold, when)
+    return plain(gold.read(d.target))
+
+
+@query("layer_held_back", """select 'load Dimension.Payment Method' as proceso, 0 as filas, 'Error' as estado, 'source is gone' as motivo
+    union all select 'load Dimension.Stock Item', (select count(*) from part), 'Exitoso', null
+    union all select 'load Dimension.Transaction Type', (select count(*) from nation), 'Exitoso', null
+    union all select 'load Fact.Stock Holding', (select count(*) from part), 'Exitoso', null
+    union all select 'load Fact.Transaction', 0, 'Error', 'held back: Dimension.Payment Method failed'""")
+def layer_held_back(t: Tables) -> DataFrame:
+    """The run log of a layer in which one dimension fails: the fact that looks it up is held back, the others load."""
+    silver, gold = stores(t)
+    load_layer(wholesale_silver.LOADS, ["StockItem_Staging", "TransactionType_Staging", "StockHolding_Staging"], raw(t), silver)
+
+    def read(table: str) -> DataFrame:
+        if table == "PaymentMethod_Staging":
+            raise RuntimeError("source is gone")
+        return silver.read(table)
+
+    some = {n: wholesale_gold.DIMENSIONS[n] for n in ("Dimension.Payment Method", "Dimension.Stock Item", "Dimension.Transaction Type")}
+    run_star_layer(some, {n: wholesale_gold.FACTS[n] for n in ("Fact.Transaction", "Fact.Stock Holding")}, read, gold, NOW, parallel=3)
+    log = ControlTables(gold).log()
+    return plain(log.select(F.col("NombreProceso").alias("proceso"), F.col("RegistrosCargados").alias("filas"), F.col("Estado").alias("estado"),
+                            F.col("MensajeError").alias("motivo")))
+
+
+@query("layer_runs", f"""with n as (select (select count(*) from region) as clases, (select count(*) from nation) as entidades),
+    cargas as (select 1 as corrida, 'ClasificacionRiesgo_Staging' as tabla, clases as filas from n union all select 1, 'EntidadFinanciera_Staging', entidades from n
+        union all select 2, 'EntidadFinanciera_Staging', 0 union all select 3, 'ClasificacionRiesgo_Staging', 0 union all select 3, 'EntidadFinanciera_Staging', 0)
+    select 'registro' as parte, tabla, corrida, filas, 'Exitoso' as estado from cargas
+    union all select 'control', tabla, 3, null, 'OK' from cargas where corrida = 1
+    union all select 'filas', tabla, null, filas, null from cargas where corrida = 1""", ("corrida", "filas"))
+def layer_runs(t: Tables) -> DataFrame:
+    """A whole layer, one table of it alone, and the whole again: its log, control rows and row counts, as the status report has them."""
+    silver, _ = stores(t)
+    some = {n: bank_silver.LOADS[n] for n in ("ClasificacionRiesgo_Staging", "EntidadFinanciera_Staging")}
+    runs = [datetime(2024, 6, 27 + i) for i in range(1, 4)]
+    for when, only in zip(runs, (None, "EntidadFinanciera_Staging", None), strict=True):
+        run_clean_layer(some, raw(t), silver, when, only=only, parallel=2)
+    status = ControlTables(silver).status({n: silver.read(n) for n in some})
+    number = F.dayofmonth("FechaEjecucion") - 27
+    return plain(
+        status["runs"].select(F.lit("registro").alias("parte"), F.col("TablaDestino").alias("tabla"), number.alias("corrida"),
+                              F.col("RegistrosCargados").alias("filas"), F.col("Estado").alias("estado"))
+        .unionByName(status["control"].select(
+            F.lit("control").alias("parte"), F.col("TablaStagingDestino").alias("tabla"), (F.dayofmonth("FechaUltimaEjecucion") - 27).alias("corrida"),
+            F.lit(None).cast("bigint").alias("filas"), F.col("Estado").alias("estado")))
+        .unionByName(status["rows"].select(
+            F.lit("filas").alias("parte"), F.col("Tabla").alias("tabla"), F.lit(None).cast("int").alias("corrida"), F.col("Filas").alias("filas"),
+            F.lit(None).cast("string").alias("estado"))))
+
+
 # --- bank, facts --------------------------------------------------------------------------------------
 
 def dkey(column: str, target: str, of: str = "s") -> str:
@@ -428,11 +653,12 @@ _ACCOUNT_KEYS = 'coalesce(a."Cuenta Key", 0) as "{0}", coalesce(a."Cliente Key",
 
 fact("gf_movement", bank_gold.FACTS["Fact.Movimiento"], bank, f"""select {dkey('Fecha Movimiento', 'Fecha Movimiento Key')}, {dkey('Fecha Valor', 'Fecha Valor Key')}, {_ACCOUNT_KEYS.format('Cuenta Key')},
     {cols('Tipo Movimiento, Concepto, Importe Movimiento, Saldo Despues Movimiento, Canal Operacion, WWI Movimiento ID')}, 0 as "Centro Key"
-    from ({SILVER['Movimiento_Staging']}) s {_BY_ACCOUNT.format('Numero Cuenta')}""", again="Movimiento_Staging")
+    from ({SILVER['Movimiento_Staging']}) s {_BY_ACCOUNT.format('Numero Cuenta')}""", again=Again("Movimiento_Staging", {"main": ("Cuenta.MovimientosCuenta", "MovimientoCuentaID")}))
 
 fact("gf_account_balance", bank_gold.FACTS["Fact.SaldoCuenta"], bank, f"""select {dkey('Fecha', 'Fecha Key')}, {_ACCOUNT_KEYS.format('Cuenta Key')}, 0 as "Producto Key",
     {cols('Saldo Apertura, Saldo Cierre, Saldo Promedio, Numero Movimientos, Importe Total Entradas, Importe Total Salidas')}
-    from ({SILVER['SaldoDiario_Staging']}) s {_BY_ACCOUNT.format('Numero Cuenta')}""")
+    from ({SILVER['SaldoDiario_Staging']}) s {_BY_ACCOUNT.format('Numero Cuenta')}""",
+     again=Again("SaldoDiario_Staging", {"main": ("Cuenta.MovimientosCuenta", "MovimientoCuentaID")}, ("FechaMovimiento", "Fecha"), "2024-01-15"))
 
 fact("gf_credit", bank_gold.FACTS["Fact.Credito"], bank, f"""select {dkey('Fecha Formalizacion', 'Fecha Formalizacion Key')}, 20240630 as "Fecha Snapshot Key", coalesce(c."Cliente Key", 0) as "Cliente Key",
     coalesce(p.k, 0) as "Producto Key", 0 as "Garantia Key", 0 as "Centro Key", {cols('Numero Contrato, Tipo Credito, Importe Concedido, Importe Pendiente, TIN Aplicado, TAE Aplicado, Plazo Meses, Estado Prestamo, WWI Credito ID')},
@@ -441,30 +667,36 @@ fact("gf_credit", bank_gold.FACTS["Fact.Credito"], bank, f"""select {dkey('Fecha
     from ({SILVER['Credito_Staging']}) s left join ({CLIENTS}) c on c."WWI Cliente ID" = s."Cliente ID"
     left join (select "Nombre Producto" as n, min("Producto Key") as k from ({DIMS['Dimension.Producto']}) group by 1) p on p.n = s."Producto"
     left join (select "Numero Contrato" as nc, count(*) filter ("Estado Cuota" = 'PENDIENTE') as pend, count(*) filter ("Estado Cuota" = 'IMPAGADA') as imp, max("Dias Retraso") as ret
-        from ({SILVER['Cuota_Staging']}) group by 1) q on q.nc = s."Numero Contrato" """)
+        from ({SILVER['Cuota_Staging']}) group by 1) q on q.nc = s."Numero Contrato" """,
+    again=Again("Credito_Staging", {"loan": ("Credito.Prestamos", "PrestamoID"), "mortgage": ("Credito.PrestamosHipotecarios", "PrestamoHipotecarioID")}, also=("Cuota_Staging",)))
 
 fact("gf_instalment", bank_gold.FACTS["Fact.CuotaPrestamo"], bank, f"""select {dkey('Fecha Vencimiento', 'Fecha Vencimiento Key')}, {dkey('Fecha Pago', 'Fecha Pago Key')}, coalesce(h.k, 0) as "Cliente Key",
     {cols('Numero Contrato, Numero Cuota, Importe Cuota, Importe Capital, Importe Intereses, Importe Comisiones, Capital Pendiente, Importe Pagado, Estado Cuota, Dias Retraso, WWI Cuota ID')}
-    from ({SILVER['Cuota_Staging']}) s {_HOLDER}""", again="Cuota_Staging")
+    from ({SILVER['Cuota_Staging']}) s {_HOLDER}""", again=Again("Cuota_Staging", {"main": ("Credito.CuotasPrestamo", "CuotaPrestamoID")}, also=("Credito_Staging",)))
 
 fact("gf_transfer", bank_gold.FACTS["Fact.Transferencia"], bank, f"""select {dkey('Fecha Operacion', 'Fecha Operacion Key')}, {dkey('Fecha Valor', 'Fecha Valor Key')}, {_ACCOUNT_KEYS.format('Cuenta Origen Key')},
     {cols('Tipo Transferencia, Numero Operacion, Nombre Beneficiario, Pais Destino, Importe Transferencia, Comision Aplicada, Estado Transferencia, Canal Operacion, Es Pago Recurrente, Es SEPA, WWI Transferencia ID')}
-    from ({SILVER['Transferencia_Staging']}) s {_BY_ACCOUNT.format('Cuenta Origen')}""")
+    from ({SILVER['Transferencia_Staging']}) s {_BY_ACCOUNT.format('Cuenta Origen')}""", again=Again("Transferencia_Staging", {
+        "internal": ("Transferencia.TransferenciasInternas", "TransferenciaInternaID"), "external": ("Transferencia.TransferenciasExternas", "TransferenciaExternaID"),
+        "sepa": ("Transferencia.TransferenciasSEPA", "TransferenciaSEPAID")}))
 
 _CLASS = ("Clasificacion Riesgo Key", "Dimension.ClasificacionRiesgo", "Codigo Clasificacion")
 _BY_CLASS = f'left join ({DIMS["Dimension.ClasificacionRiesgo"]}) k on k."Nombre Clasificacion" = s."Clasificacion Riesgo"'
 fact("gf_provision", bank_gold.FACTS["Fact.Provision"], bank, f"""select {dkey('Fecha Provision', 'Fecha Provision Key')}, coalesce(h.k, 0) as "Cliente Key", k."Codigo Clasificacion",
     {cols('Numero Contrato, Tipo Provision, Importe Provisionado, Importe Recuperado, Saldo Provision, Porcentaje Provision, WWI Provision ID')}
-    from ({SILVER['Provision_Staging']}) s {_HOLDER} {_BY_CLASS}""", _CLASS)
+    from ({SILVER['Provision_Staging']}) s {_HOLDER} {_BY_CLASS}""", _CLASS,
+    Again("Provision_Staging", {"main": ("Riesgo.ProvisionesContables", "ProvisionID")}, also=("Credito_Staging",)))
 
 fact("gf_risk_report", bank_gold.FACTS["Fact.CIRBE"], bank, f"""select {dkey('Fecha Declaracion', 'Fecha Declaracion Key')}, coalesce(c."Cliente Key", 0) as "Cliente Key", coalesce(e."Entidad Financiera Key", 0) as "Entidad Financiera Key",
     k."Codigo Clasificacion", {cols('Periodo Declaracion, Tipo Operacion, Naturaleza Operacion, Importe Operacion, Saldo Vivo, Tipo Garantia, Es Operacion Dudosa, WWI CIRBE ID')},
     s."Importe Operacion" as "Riesgo Directo", 0.0::double as "Riesgo Indirecto", 0.0::double as "Provision Dotada" from ({SILVER['CIRBE_Staging']}) s left join ({CLIENTS}) c on c."WWI Cliente ID" = s."Cliente ID"
-    left join ({DIMS['Dimension.EntidadFinanciera']}) e on e."Nombre Entidad" = s."Entidad Financiera" {_BY_CLASS}""", _CLASS)
+    left join ({DIMS['Dimension.EntidadFinanciera']}) e on e."Nombre Entidad" = s."Entidad Financiera" {_BY_CLASS}""", _CLASS,
+    Again("CIRBE_Staging", {"main": ("Riesgo.OperacionesCIRBE", "OperacionCIRBEID")}))
 
 fact("gf_guarantee", bank_gold.FACTS["Fact.Aval"], bank, f"""select {dkey('Fecha Constitucion', 'Fecha Constitucion Key')}, {dkey('Fecha Vencimiento', 'Fecha Vencimiento Key')}, coalesce(h.k, 0) as "Cliente Titular Key",
     coalesce(c."Cliente Key", 0) as "Cliente Avalista Key", {cols('Numero Contrato, Numero Aval, Tipo Aval, Importe Avalado, Porcentaje Cobertura, Estado Aval, WWI Aval ID')}
-    from ({SILVER['Aval_Staging']}) s {_HOLDER} left join ({CLIENTS}) c on c."WWI Cliente ID" = s."Cliente Avalista ID" """)
+    from ({SILVER['Aval_Staging']}) s {_HOLDER} left join ({CLIENTS}) c on c."WWI Cliente ID" = s."Cliente Avalista ID" """,
+    again=Again("Aval_Staging", {"main": ("Credito.Avales", "AvalID")}, also=("Credito_Staging",)))
 
 # --- wholesale, clean layer ---------------------------------------------------------------------------
 
@@ -536,6 +768,25 @@ silver("ws_transaction", "Transaction_Staging", wholesale, "Sales.CustomerTransa
     {nul('WWI Bill To Customer ID, WWI Supplier ID, WWI Supplier Transaction ID, WWI Purchase Order ID', 'bigint')} from "Sales.CustomerTransactions"
     union all by name select {_MONEY}, {keep('SupplierID > WWI Supplier ID, PurchaseOrderID > WWI Purchase Order ID')}, SupplierTransactionID + 1000000 as "WWI Supplier Transaction ID" from "Purchasing.SupplierTransactions" """)
 
+# --- headers and lines stored in buckets --------------------------------------------------------------
+
+LINES = {
+    "ws_order": ("Order_Staging", {"Sales.Orders": "OrderID", "Sales.OrderLines": "OrderID"}),
+    "ws_purchase": ("Purchase_Staging", {"Purchasing.PurchaseOrders": "PurchaseOrderID", "Purchasing.PurchaseOrderLines": "PurchaseOrderID"}),
+    "ws_sale": ("Sale_Staging", {"Sales.Invoices": "InvoiceID", "Sales.InvoiceLines": "InvoiceID"}),
+}
+
+
+def bucketed_rows(t: Tables, target: str, keys: dict[str, str]) -> DataFrame:
+    """A load of lines whose header and line tables are stored in buckets of the header's id."""
+    run = uuid4().hex
+    read = colocated(t.spark, raw(t), keys, lambda table: f"{table.replace('.', '_')}_{run}", f"{shared_folder(t.spark)}/buckets-{run}", 8)
+    return wholesale_silver.LOADS[target].rows(Sources(read, NOW))
+
+
+for _name, (_target, _keys) in LINES.items():
+    query(f"{_name}_bucketed", SILVER[_target], FLOATS.get(_name, ()))(lambda t, target=_target, keys=_keys: plain(bucketed_rows(t, target, keys)))
+
 # --- wholesale, dimensions and facts ------------------------------------------------------------------
 
 _GOLD_VALID = f", {VALID}"
@@ -558,22 +809,28 @@ def _star(role: str) -> tuple[str, str]:
             f'left join (select "{business}", "{key}" from ({DIMS[dimension]})) {alias} on {alias}."{business}" = s."{own}"')
 
 
-def wholesale_fact(name: str, target: str, staging: str, roles: str, columns: str, extra: str = ""):
+def wholesale_fact(name: str, target: str, staging: str, roles: str, columns: str, again: Again, extra: str = ""):
     pairs = [_star(r.strip()) for r in roles.split(",")]
     fact(name, wholesale_gold.FACTS[target], wholesale,
-         f"select {', '.join(p[0] for p in pairs)}, {cols(columns)}{extra} from ({SILVER[staging]}) s {' '.join(p[1] for p in pairs)}")
+         f"select {', '.join(p[0] for p in pairs)}, {cols(columns)}{extra} from ({SILVER[staging]}) s {' '.join(p[1] for p in pairs)}", again=again)
 
 
 wholesale_fact("wf_stock_holding", "Fact.Stock Holding", "StockHolding_Staging", "Stock Item Key",
-               "Quantity On Hand, Bin Location, Last Stocktake Quantity, Last Cost Price, Reorder Level, Target Stock Level")
+               "Quantity On Hand, Bin Location, Last Stocktake Quantity, Last Cost Price, Reorder Level, Target Stock Level",
+               Again("StockHolding_Staging", {"main": ("Warehouse.StockItemHoldings", "StockItemID")}))
 wholesale_fact("wf_movement", "Fact.Movement", "Movement_Staging", "Stock Item Key, Customer Key, Supplier Key, Transaction Type Key",
-               "Date Key, WWI Stock Item Transaction ID, WWI Invoice ID, WWI Purchase Order ID, Quantity")
+               "Date Key, WWI Stock Item Transaction ID, WWI Invoice ID, WWI Purchase Order ID, Quantity",
+               Again("Movement_Staging", {"main": ("Warehouse.StockItemTransactions", "StockItemTransactionID")}, ("TransactionOccurredWhen", "Date Key")))
 wholesale_fact("wf_order", "Fact.Order", "Order_Staging", "Customer Key, Stock Item Key, Salesperson Key, Picker Key", """Order Date Key, Picked Date Key, WWI Order ID,
-    WWI Backorder ID, Description, Package, Quantity, Unit Price, Tax Rate, Total Excluding Tax, Tax Amount, Total Including Tax""", ', 0 as "City Key"')
+    WWI Backorder ID, Description, Package, Quantity, Unit Price, Tax Rate, Total Excluding Tax, Tax Amount, Total Including Tax""",
+               Again("Order_Staging", {"main": ("Sales.Orders", "OrderID")}, ("OrderDate", "Order Date Key")), ', 0 as "City Key"')
 wholesale_fact("wf_purchase", "Fact.Purchase", "Purchase_Staging", "Supplier Key, Stock Item Key",
-               "Date Key, WWI Purchase Order ID, Ordered Outers, Ordered Quantity, Received Outers, Package, Is Order Finalized")
+               "Date Key, WWI Purchase Order ID, Ordered Outers, Ordered Quantity, Received Outers, Package, Is Order Finalized",
+               Again("Purchase_Staging", {"main": ("Purchasing.PurchaseOrders", "PurchaseOrderID")}, ("OrderDate", "Date Key")))
 wholesale_fact("wf_sale", "Fact.Sale", "Sale_Staging", "Customer Key, Bill To Customer Key, Stock Item Key, Salesperson Key", """Invoice Date Key, Delivery Date Key, WWI Invoice ID,
-    Description, Package, Quantity, Unit Price, Tax Rate, Total Excluding Tax, Tax Amount, Profit, Total Including Tax, Total Dry Items, Total Chiller Items""", ', 0 as "City Key"')
+    Description, Package, Quantity, Unit Price, Tax Rate, Total Excluding Tax, Tax Amount, Profit, Total Including Tax, Total Dry Items, Total Chiller Items""",
+               Again("Sale_Staging", {"main": ("Sales.Invoices", "InvoiceID")}, ("InvoiceDate", "Invoice Date Key")), ', 0 as "City Key"')
 wholesale_fact("wf_transaction", "Fact.Transaction", "Transaction_Staging", "Customer Key, Supplier Key, Transaction Type Key, Payment Method Key", """Date Key, WWI Customer Transaction ID,
     WWI Supplier Transaction ID, WWI Invoice ID, WWI Purchase Order ID, Total Excluding Tax, Tax Amount, Total Including Tax, Outstanding Balance, Is Finalized""",
+    Again("Transaction_Staging", {"customer": ("Sales.CustomerTransactions", ""), "supplier": ("Purchasing.SupplierTransactions", "")}, ("TransactionDate", "Date Key"), "1995-06-17"),
     ', 0 as "Bill To Customer Key", cast(null as varchar) as "Supplier Invoice Number"')

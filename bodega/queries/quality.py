@@ -3,16 +3,25 @@ audits and run bookkeeping."""
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bodega.functions.identifiers import DNI_LETTERS
 from bodega.operators import audit
+from bodega.operators.catalog import CatalogEntry
 from bodega.operators.quality import (
     NEEDS_LENGTH, PATTERNS, TableName, close_run, keep_newest_runs, not_done_today, profile,
 )
 from bodega.operators.sampling import sample_rows, sample_sql
+from bodega.plans.quality_run import ERRORS, RESULTS, RUN_DATE, RUNS, QualityRun, drop_old_runs, refresh_state
 from bodega.queries.base import RUN_DAY, RUN_TS, Tables, plain, query
 from bodega.queries.raw import C, dni, email, iban, phone, postal
+from bodega.session import shared_folder
+from bodega.sources.store import Store
 
 PEOPLE = f"""select c_custkey as id, {dni(C)} as documento, {email(C)} as email, {phone(C)} as telefono, {postal(C)} as cp, {iban(C)} as cuenta,
     case when c_acctbal >= 0 then 'si' else 'No ' end as activo, case when c_custkey % 10 = 0 then null else c_mktsegment end as segmento,
@@ -55,7 +64,7 @@ GIVEN = {
 _YES = "('SI','NO','S','N','Y','TRUE','FALSE')"
 _YES_BIT = "('0','1','SI','NO','S','N','Y','TRUE','FALSE')"
 _CATEGORY_STOP = "('0','1','S','N','Y','TRUE','FALSE')"
-_LETTER = "substr('TRWAGMYFPDXBNJZSQVHLCKE', cast(try_cast(left(trim({c}), 8) as bigint) % 23 as integer) + 1, 1)"
+_LETTER = f"substr('{DNI_LETTERS}', " + "cast(try_cast(left(trim({c}), 8) as bigint) % 23 as integer) + 1, 1)"
 _STRICT = "regexp_matches(trim({c}), '^[0-9]{{8}}[A-Z]$')"
 _IBAN = "(length(rtrim({c})) = 24 and regexp_matches({c}, '^ES[0-9]{{2}}'))"
 _TEXT_TESTS = {
@@ -254,3 +263,44 @@ def dq_close_run(t: Tables) -> DataFrame:
     return plain(close_run(log, "error", "perfil", 20, RUN_TS, True).select("event_id", "Paquete", "Nuevos", "DuracionSeg", "DuracionMin", "Correcto"))
 
 
+
+
+@query("dq_state_merged", profile_oracle("lineitem", "lineitem", GIVEN["lineitem"]), COUNTS)
+def dq_state_merged(t: Tables) -> DataFrame:
+    """A profile from kept states: of the first half of a stored table, then of the part that was appended, added up."""
+    root = f"{shared_folder(t.spark)}/perfil-{uuid4().hex}"
+    tables, states = Store(t.spark, f"{root}/tablas"), Store(t.spark, f"{root}/estados")
+    early = F.col("l_shipdate") < F.lit("1995-06-17").cast("timestamp_ntz")
+    for rows in (t.lineitem.filter(early), t.lineitem.filter(~early | early.isNull())):
+        tables.append("lineitem", rows)
+        state = refresh_state(tables, "lineitem", states)
+    return plain(profile(tables.read("lineitem"), TableName("origen", "dado", "lineitem"), RUN_DAY, state))
+
+
+@query("dq_failed_column", """select 'resultado' as parte, 'nation' as tabla, 'n_nationkey' as columna, (select count(*) from nation) as filas
+    union all select 'resultado', 'nation', 'n_name', (select count(*) from nation) union all select 'resultado', 'region', 'r_name', (select count(*) from region)
+    union all select 'error', 'nation', 'roto', null union all select 'corrida', 'DQ_Resultados', 'true', 3""", ("filas",))
+def dq_failed_column(t: Tables) -> DataFrame:
+    """A profiling run over a catalog with a column that cannot be read: its error is logged, all else has results, the run is closed."""
+    store = Store(t.spark, f"{shared_folder(t.spark)}/corrida-{uuid4().hex}")
+    broken = t.nation.select("n_nationkey", "n_name", F.raise_error(F.concat(F.lit("roto "), "n_name")).cast("int").alias("roto"))
+    found = [CatalogEntry("Bronze", "origen", "dado", "nation", broken), CatalogEntry("Bronze", "origen", "dado", "region", t.region.select("r_name"))]
+    run = QualityRun(store)
+    run.run(found, datetime(2024, 6, 30))
+    none = F.lit(None).cast("bigint")
+    parts = [
+        run.results().select(F.lit("resultado").alias("parte"), "tabla", "columna", F.col("filas").cast("bigint").alias("filas")),
+        store.read(ERRORS).select(F.lit("error").alias("parte"), F.col("Tabla").alias("tabla"), F.col("Columna").alias("columna"), none.alias("filas")),
+        store.read(RUNS).select(F.lit("corrida").alias("parte"), F.col("NomTablaDestino").alias("tabla"), F.col("Correcto").cast("string").alias("columna"),
+                                F.col("Nuevos").cast("bigint").alias("filas")),
+    ]
+    return plain(reduce(DataFrame.unionByName, parts))
+
+
+@query("dq_dropped_runs", """select distinct event_id, strftime(cast(ts as date), '%Y-%m-%d') as fecha_ejecucion from events where cast(ts as date) > (select max(cast(ts as date)) - 3 from events)""")
+def dq_dropped_runs(t: Tables) -> DataFrame:
+    """Results stored by run date: the partitions of old dates are dropped, the newest three stay where they are."""
+    store = Store(t.spark, f"{shared_folder(t.spark)}/retencion-{uuid4().hex}")
+    store.append(RESULTS, t.events.select("event_id", F.col("ts").cast("date").alias(RUN_DATE)), partition_by=(RUN_DATE,))
+    drop_old_runs(store)
+    return plain(store.read(RESULTS))

@@ -6,10 +6,9 @@ Every table is derived from a whole given table and grows with it.
 
 from __future__ import annotations
 
+from bodega.functions.identifiers import DNI_LETTERS
 from bodega.queries.base import Tables
 
-LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
-
 
 def iban(ident: str) -> str:
     """A 24-character account number; every 25th has wrong control digits."""
@@ -23,7 +22,7 @@ def dni(ident: str) -> str:
     number = f"((({ident}) * 7919 + 12345678) % 100000000)"
     shift = f"(case when ({ident}) % 33 = 0 then 1 else 0 end)"
     return (f"(lpad(cast({number} as string), 8, '0') || "
-            f"substr('{LETTERS}', cast(({number} + {shift}) % 23 as int) + 1, 1))")
+            f"substr('{DNI_LETTERS}', cast(({number} + {shift}) % 23 as int) + 1, 1))")
 
 
 def email(ident: str) -> str:
@@ -54,6 +53,11 @@ def contract(prefix: str, ident: str) -> str:
     return f"('{prefix}-' || lpad(cast({ident} as string), 12, '0'))"
 
 
+def one_of(parent: str, number: str) -> str:
+    """The id of a row of the whole parent table (ids are 1 to its number of rows)."""
+    return f"({number}) % (select count(*) from {{{parent}}}) + 1"
+
+
 C, S, P, O, E = "c_custkey + 1", "s_suppkey + 1", "p_partkey + 1", "o_orderkey + 1", "event_id + 1"
 LINE = "l_orderkey * 10 + l_linenumber"
 LOAN_STATE = ("case when o_orderkey % 40 = 0 then 'Cancelado' when o_orderstatus = 'F' then 'Dudoso' "
@@ -101,15 +105,15 @@ RAW = {
             case when p_partkey % 7 = 0 then null else {money('p_size')} end as Comision from {{part}}) t""",
     "Cuenta.TiposCuenta": "select r_regionkey + 1 as TipoCuentaID, 'cuenta ' || r_name as NombreTipoCuenta from {region}",
     "Cuenta.CuentasCorrientes": f"""select {C} as CuentaCorrienteID, {iban(C)} as NumeroCuenta, c_custkey % 5 + 1 as TipoCuentaID,
-        c_custkey % 100 + 1 as ProductoID, {day('2014-01-01', 'c_custkey % 3000')} as FechaApertura, cast(null as date) as FechaCierre,
+        {one_of('part', 'c_custkey')} as ProductoID, {day('2014-01-01', 'c_custkey % 3000')} as FechaApertura, cast(null as date) as FechaCierre,
         {money('c_acctbal')} as SaldoActual, {money('c_acctbal')} as SaldoDisponible, cast(null as decimal(18,2)) as SaldoRetenido,
         {money('500')} as LimiteDescubierto, case when c_acctbal < 0 then 'bloqueada' else 'activa ' end as EstadoCuenta,
-        c_custkey % 10 + 1 as SucursalGestion from {{customer}}""",
+        {one_of('supplier', 'c_custkey')} as SucursalGestion from {{customer}}""",
     "Cuenta.CuentasAhorro": f"""select {S} as CuentaAhorroID, {iban('s_suppkey + 500000001')} as NumeroCuenta, s_suppkey % 5 + 1 as TipoCuentaID,
-        s_suppkey % 100 + 1 as ProductoID, {day('2014-01-01', 's_suppkey % 3000')} as FechaApertura, cast(null as date) as FechaCierre,
+        {one_of('part', 's_suppkey * 7')} as ProductoID, {day('2014-01-01', 's_suppkey % 3000')} as FechaApertura, cast(null as date) as FechaCierre,
         {money('s_acctbal')} as SaldoActual, cast(1.250 as decimal(5,3)) as TAEAplicado, 'activa' as EstadoCuenta from {{supplier}}""",
     "Cuenta.CuentasNomina": f"""select {P} as CuentaNominaID, {iban('p_partkey + 700000001')} as NumeroCuenta, p_partkey % 5 + 1 as TipoCuentaID,
-        p_partkey % 100 + 1 as ProductoID, {day('2014-01-01', 'p_size')} as FechaApertura, cast(null as date) as FechaCierre,
+        {one_of('part', 'p_partkey * 3')} as ProductoID, {day('2014-01-01', 'p_size')} as FechaApertura, cast(null as date) as FechaCierre,
         {money('p_retailprice')} as SaldoActual, {money('p_size')} as SaldoDisponible, p_size % 2 = 0 as TieneNominaDomiciliada,
         'activa' as EstadoCuenta from {{part}}""",
     "Cuenta.TitularesCuenta": f"""select {iban(C)} as NumeroCuenta, {C} as PersonaID, 'Titular' as TipoTitularidad from {{customer}}
@@ -118,15 +122,15 @@ RAW = {
         cast(ts as date) as FechaMovimiento, cast(ts as date) + 1 as FechaValor, event_type as TipoMovimiento, props as Concepto,
         case when event_type in ('error', 'view') then -{money('value')} else {money('value')} end as ImporteMovimiento,
         {money('value')} + cast(user_id as decimal(10,0)) as SaldoDespuesMovimiento, cast(null as string) as NumeroCuentaContrapartida,
-        'app movil' as CanalOperacion, cast(user_id % 10 + 1 as int) as SucursalOperacion from {{events}}""",
+        'app movil' as CanalOperacion, cast({one_of('supplier', 'user_id')} as int) as SucursalOperacion from {{events}}""",
     "Credito.Prestamos": f"""select {O} as PrestamoID, {contract('pre', O)} as NumeroContrato, o_custkey + 1 as PersonaID,
-        o_custkey % 100 + 1 as ProductoID, {money('o_totalprice')} as ImporteConcedido, {money('o_totalprice')} as ImportePendiente,
+        {one_of('part', 'o_orderkey')} as ProductoID, {money('o_totalprice')} as ImporteConcedido, {money('o_totalprice')} as ImportePendiente,
         cast(6.000 as decimal(5,3)) as TINAplicado, cast(6.200 as decimal(5,3)) as TAEAplicado, 'fijo' as TipoInteres, 24 as PlazoMeses,
         {money('o_orderkey % 500 + 10')} as ImporteCuota, cast(o_orderdate as date) as FechaFormalizacion,
         cast(o_orderdate as date) + 30 as FechaPrimerVencimiento, cast(o_orderdate as date) + 720 as FechaUltimoVencimiento,
-        cast(null as date) as FechaLiquidacion, {LOAN_STATE} as EstadoPrestamo, o_custkey % 10 + 1 as SucursalGestion from {{orders}}""",
+        cast(null as date) as FechaLiquidacion, {LOAN_STATE} as EstadoPrestamo, {one_of('supplier', 'o_orderkey')} as SucursalGestion from {{orders}}""",
     "Credito.PrestamosHipotecarios": f"""select {P} as PrestamoHipotecarioID, {contract('hip', P)} as NumeroContrato,
-        p_partkey % 100 + 1 as PersonaID, p_partkey % 100 + 1 as ProductoID, {money('p_retailprice')} as ImporteConcedido,
+        {one_of('customer', 'p_partkey')} as PersonaID, {one_of('part', 'p_partkey * 7')} as ProductoID, {money('p_retailprice')} as ImporteConcedido,
         {money('p_retailprice')} as ImportePendiente, cast(1.800 as decimal(5,3)) as TINAplicado, cast(1.900 as decimal(5,3)) as TAEAplicado,
         'variable ' as TipoInteres, 300 as PlazoMeses, {money('p_size')} as ImporteCuota, {day('2016-01-01', 'p_size')} as FechaFormalizacion,
         {day('2016-02-01', 'p_size')} as FechaPrimerVencimiento, {day('2036-01-01', 'p_size')} as FechaUltimoVencimiento,
@@ -188,8 +192,8 @@ RAW = {
         {S} as DirectorSucursal, cast(s_suppkey % 40 as int) as NumeroEmpleados, {day('2000-01-01', 's_suppkey')} as FechaApertura,
         cast(null as date) as FechaCierre, 'abierta' as EstadoSucursal from {{supplier}}""",
     "Organizacion.Empleados": f"""select {S} as EmpleadoID, 'emp-' || cast(s_suppkey as string) as NumeroEmpleado, {S} as PersonaID,
-        s_suppkey % 7 + 1 as DepartamentoID, s_suppkey % 12 + 1 as SucursalID, 'gestor' as Puesto, 'n' || cast(s_nationkey as string) as Categoria,
-        case when s_suppkey % 10 = 0 then null else s_suppkey % 10 + 1 end as SupervisorID, {day('2010-01-01', 's_suppkey')} as FechaAlta,
+        s_suppkey % 7 + 1 as DepartamentoID, {one_of('supplier', 's_suppkey * 3')} as SucursalID, 'gestor' as Puesto, 'n' || cast(s_nationkey as string) as Categoria,
+        case when s_suppkey % 10 = 0 then null else {one_of('supplier', 's_suppkey * 7')} end as SupervisorID, {day('2010-01-01', 's_suppkey')} as FechaAlta,
         cast(null as date) as FechaBaja, 'activo' as EstadoEmpleado from {{supplier}}""",
     "Application.Countries": """select r_regionkey as CountryID, lower(r_name) as CountryName, 'cont ' || r_name as Continent,
         'reg' as Region, 'sub ' as Subregion from {region}""",
@@ -207,7 +211,7 @@ RAW = {
         date '2013-01-01' as ValidFrom, date '9999-12-31' as ValidTo from {nation}""",
     "Sales.Customers": f"""select {C} as CustomerID, lower(c_name) as CustomerName, c_custkey - c_custkey % 10 + 1 as BillToCustomerID,
         c_nationkey % 6 + 1 as CustomerCategoryID, case when c_custkey % 3 = 0 then null else c_nationkey + 1 end as BuyingGroupID,
-        c_custkey % 12 + 1 as PrimaryContactPersonID, case when c_custkey % 7 = 0 then null else ' 28 ' || {postal(C)} || ' 123456' end as PostalPostalCode,
+        {one_of('supplier', 'c_custkey')} as PrimaryContactPersonID, case when c_custkey % 7 = 0 then null else ' 28 ' || {postal(C)} || ' 123456' end as PostalPostalCode,
         date '2013-01-01' as ValidFrom, date '9999-12-31' as ValidTo from {{customer}}""",
     "Sales.CustomerCategories": "select r_regionkey + 1 as CustomerCategoryID, lower(r_name) as CustomerCategoryName from {region}",
     "Sales.BuyingGroups": "select n_nationkey + 1 as BuyingGroupID, lower(n_name) as BuyingGroupName from {nation}",
@@ -226,22 +230,22 @@ RAW = {
         case when l_linenumber = 1 then l_suppkey + 1 end as CustomerID, case when l_linenumber > 1 then l_suppkey + 1 end as SupplierID,
         l_linenumber as TransactionTypeID, {LINE} as StockItemTransactionID, l_orderkey as InvoiceID, cast(null as bigint) as PurchaseOrderID,
         cast(-l_quantity as int) as Quantity from {{lineitem}}""",
-    "Sales.Orders": f"""select {O} as OrderID, o_custkey + 1 as CustomerID, o_orderkey % 20 + 1 as SalespersonPersonID,
-        case when o_orderstatus = 'P' then null else o_orderkey % 30 + 1 end as PickedByPersonID, cast(null as bigint) as BackorderOrderID,
+    "Sales.Orders": f"""select {O} as OrderID, o_custkey + 1 as CustomerID, {one_of('supplier', 'o_orderkey')} as SalespersonPersonID,
+        case when o_orderstatus = 'P' then null else {one_of('supplier', 'o_orderkey * 3')} end as PickedByPersonID, cast(null as bigint) as BackorderOrderID,
         o_orderdate as OrderDate, case when o_orderstatus = 'F' then o_orderdate end as PickingCompletedWhen from {{orders}}""",
     "Sales.OrderLines": f"""select l_orderkey + 1 as OrderID, l_partkey + 1 as StockItemID, l_returnflag || ' line ' as Description,
         l_linenumber % 6 + 1 as PackageTypeID, cast(l_quantity as int) as Quantity, {money('l_extendedprice')} as UnitPrice,
         cast(l_tax * 100 as decimal(18,3)) as TaxRate from {{lineitem}}""",
-    "Purchasing.PurchaseOrders": f"""select {O} as PurchaseOrderID, o_custkey % 10 + 1 as SupplierID, o_orderdate as OrderDate,
+    "Purchasing.PurchaseOrders": f"""select {O} as PurchaseOrderID, {one_of('supplier', 'o_custkey')} as SupplierID, o_orderdate as OrderDate,
         o_orderstatus = 'F' as IsOrderFinalized from {{orders}}""",
     "Purchasing.PurchaseOrderLines": """select l_orderkey + 1 as PurchaseOrderID, l_partkey + 1 as StockItemID, cast(l_quantity as int) as OrderedOuters,
         cast(l_quantity as int) - 1 as ReceivedOuters, l_linenumber % 5 + 1 as PackageTypeID from {lineitem}""",
     "Purchasing.Suppliers": f"""select {S} as SupplierID, lower(s_name) as SupplierName, s_nationkey % 6 + 1 as SupplierCategoryID,
-        s_suppkey % 8 + 1 as PrimaryContactPersonID, 'ref' || cast(s_suppkey as string) as SupplierReference, s_nationkey as PaymentDays,
+        {one_of('supplier', 's_suppkey * 7')} as PrimaryContactPersonID, 'ref' || cast(s_suppkey as string) as SupplierReference, s_nationkey as PaymentDays,
         {postal(S)} as PostalPostalCode, date '2013-01-01' as ValidFrom, date '9999-12-31' as ValidTo from {{supplier}}""",
     "Purchasing.SupplierCategories": "select r_regionkey + 1 as SupplierCategoryID, lower(r_name) as SupplierCategoryName from {region}",
     "Sales.Invoices": f"""select {O} as InvoiceID, o_custkey + 1 as CustomerID, o_custkey - o_custkey % 10 + 1 as BillToCustomerID,
-        o_orderkey % 20 + 1 as SalespersonPersonID, o_orderdate as InvoiceDate, case when o_orderstatus = 'F' then o_orderdate end as ConfirmedDeliveryTime
+        {one_of('supplier', 'o_orderkey')} as SalespersonPersonID, o_orderdate as InvoiceDate, case when o_orderstatus = 'F' then o_orderdate end as ConfirmedDeliveryTime
         from {{orders}}""",
     "Sales.InvoiceLines": f"""select l_orderkey + 1 as InvoiceID, l_partkey + 1 as StockItemID, l_linestatus || ' sold' as Description,
         l_linenumber % 5 + 1 as PackageTypeID, cast(l_quantity as int) as Quantity, {money('l_extendedprice')} as UnitPrice,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
@@ -9,15 +11,17 @@ from pyspark.sql import functions as F
 
 from bodega.functions.amounts import money
 from bodega.functions.dates import moment
-from bodega.operators.control import control_rows, last_processed, purge, upsert
+from bodega.operators.control import control_rows, last_processed, log_rows, purge, purge_partitions, upsert
 from bodega.operators.facts import daily_balance, snapshot_key
-from bodega.operators.incremental import high_water, id_ranges, latest_of, newer, newer_in_ranges, range_high_water, union_subtypes
-from bodega.operators.joins import resolve
+from bodega.operators.incremental import (
+    high_water, id_ranges, latest_of, newer, newer_in_ranges, stored_mark, stored_range_marks, union_subtypes, watches,
+)
+from bodega.operators.joins import hot_values, resolve
 from bodega.operators.keys import FACT_BUCKETS, number_rows
 from bodega.operators.scd import as_of, changes, first_versions, merge_versions, missing_members, newest, open_versions
 from bodega.queries.base import RUN_TS, Tables, plain, query
 from bodega.session import shared_folder
-from bodega.sources.store import Store
+from bodega.sources.store import Store, Watch
 
 DAY_ONE, DAY_TWO, BETWEEN = "2024-01-01 00:00:00", RUN_TS, "2024-03-01 00:00:00"
 BIG = 10**12
@@ -33,19 +37,22 @@ def numbered(tag: int, df: DataFrame) -> DataFrame:
 def incremental_id(t: Tables) -> DataFrame:
     source = t.events.select("event_id")
     half = source.agg(F.floor(F.max("event_id") / 2)).first()[0]
-    target = source.filter(F.col("event_id") <= half)
-    return plain(numbered(1, target).unionByName(numbered(2, newer(source, "event_id", high_water(target, "event_id")))))
+    return plain(two_loads(t, "event_id", source.filter(F.col("event_id") <= half), source))
+
+
+def two_loads(t: Tables, column: str, *sources: DataFrame, make: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Loads into a stored table that does not exist before: each appends what is above the mark recorded by the ones before."""
+    store = Store(t.spark, f"{shared_folder(t.spark)}/marks-{uuid4().hex}")
+    for tag, rows in enumerate(sources, 1):
+        store.append("cargas", numbered(tag, make(newer(rows, column, stored_mark(store, "cargas", column)))), watch=[Watch(column)])
+    return store.read("cargas")
 
 
 @query("incremental_first_load", "select o_orderkey, o_custkey, case when o_orderkey <= (select max(o_orderkey) // 2 from orders) then 1 else 2 end as lote from orders")
 def incremental_first_load(t: Tables) -> DataFrame:
-    """Two loads into a stored table that does not exist before: each appends what is above the stored mark."""
-    store, source = Store(t.spark, f"{shared_folder(t.spark)}/first-load-{uuid4().hex}"), t.orders.select("o_orderkey", "o_custkey")
+    source = t.orders.select("o_orderkey", "o_custkey")
     half = source.agg(F.floor(F.max("o_orderkey") / 2)).first()[0]
-    for tag, rows in ((1, source.filter(F.col("o_orderkey") <= half)), (2, source)):
-        mark = high_water(store.read("orders") if store.exists("orders") else None, "o_orderkey")
-        store.append("orders", numbered(tag, newer(rows, "o_orderkey", mark)))
-    return plain(store.read("orders"))
+    return plain(two_loads(t, "o_orderkey", source.filter(F.col("o_orderkey") <= half), source))
 
 
 @query("incremental_ranges", f"""select id, case when id <= {BIG} then (case when id <= (select max(c_custkey) // 2 from customer) then 1 else 2 end)
@@ -55,10 +62,12 @@ def incremental_ranges(t: Tables) -> DataFrame:
     ranges = id_ranges(person=0, company=BIG)
     people, firms = t.customer.select((F.col("c_custkey") + 1).alias("id")), t.supplier.select((F.col("s_suppkey") + 1).alias("id"))
     half = {n: df.agg(F.floor((F.max("id") - 1) / 2)).first()[0] for n, df in {"person": people, "company": firms}.items()}
-    loaded = union_subtypes({"person": people.filter(F.col("id") <= half["person"]), "company": firms.filter(F.col("id") <= half["company"])}, "id", ranges)
-    marks = range_high_water(loaded, "id", ranges)
-    rest = newer_in_ranges(union_subtypes({"person": people, "company": firms}, "id", ranges), "id", ranges, marks)
-    return plain(numbered(1, loaded).unionByName(numbered(2, rest)))
+    first = union_subtypes({"person": people.filter(F.col("id") <= half["person"]), "company": firms.filter(F.col("id") <= half["company"])}, "id", ranges)
+    store = Store(t.spark, f"{shared_folder(t.spark)}/marks-{uuid4().hex}")
+    for tag, rows in enumerate((first, union_subtypes({"person": people, "company": firms}, "id", ranges)), 1):
+        rows = newer_in_ranges(rows, "id", ranges, stored_range_marks(store, "cargas", "id", ranges))
+        store.append("cargas", numbered(tag, rows), watch=watches("id", ranges))
+    return plain(store.read("cargas"))
 
 
 @query("incremental_target_date", """select user_id, strftime(cast(ts as date), '%Y-%m-%d') as dia, count(*) as n,
@@ -69,8 +78,7 @@ def incremental_target_date(t: Tables) -> DataFrame:
     def daily(df: DataFrame) -> DataFrame:
         return df.groupBy("user_id", "dia").agg(F.count(F.lit(1)).alias("n"))
 
-    target = daily(moves.filter(F.col("dia") <= F.lit("2024-01-15").cast("date")))
-    return plain(numbered(1, target).unionByName(numbered(2, daily(newer(moves, "dia", high_water(target, "dia"))))))
+    return plain(two_loads(t, "dia", moves.filter(F.col("dia") <= F.lit("2024-01-15").cast("date")), moves, make=daily))
 
 
 @query("incremental_control", """select o_orderkey from orders where o_orderdate > (select min(l_shipdate) + interval 700 day from lineitem where l_returnflag = 'R')""")
@@ -239,6 +247,44 @@ def fact_lookup_unknown(t: Tables) -> DataFrame:
                               snapshot_key(RUN_TS).alias("Snapshot Key")))
 
 
+@query("lookup_hot_key", """select l_orderkey, l_linenumber, s, coalesce(k, 0) as "Proveedor Key" from (
+      select l_orderkey, l_linenumber, case when (l_orderkey + l_linenumber) % 3 = 0 then 1 when (l_orderkey + l_linenumber) % 3 = 1 then null else l_suppkey end as s from lineitem)
+    left join (select row_number() over (order by s_suppkey % 1021, s_suppkey) as k, s_suppkey from supplier) on s_suppkey = s""", ("s",))
+def lookup_hot_key(t: Tables) -> DataFrame:
+    """A third of the rows look up one value, a third none: the value's rows are dealt out by their measured share, the others by their identity."""
+    dim, facts = hot_lookup(t)
+    hot = hot_values(facts, ["s"])["s"]
+    rows = resolve(facts, open_versions(dim), {"s": "s_suppkey"}, {"Proveedor Key": "Proveedor Key"}, identity=("l_orderkey", "l_linenumber"), hot=hot)
+    return plain(rows)
+
+
+def hot_lookup(t: Tables) -> tuple[DataFrame, DataFrame]:
+    case = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(3))
+    value = F.when(case == 0, 1).when(case == 2, F.col("l_suppkey")).cast("bigint")
+    return (first_versions(t.supplier.select("s_suppkey"), "Proveedor Key", ["s_suppkey"], DAY_ONE),
+            t.lineitem.select("l_orderkey", "l_linenumber", value.alias("s")))
+
+
+@query("log_purged_by_day", """select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts from events where not (ts < timestamp '2024-04-10 12:00:00' - interval 85 day)""")
+def log_purged_by_day(t: Tables) -> DataFrame:
+    """A log stored by day: whole days are dropped, and only the day of the limit is written anew."""
+    store = Store(t.spark, f"{shared_folder(t.spark)}/log-{uuid4().hex}")
+    log_rows(store, t.events.select("event_id", "ts"), "registro", "ts")
+    purge_partitions(store, "registro", datetime(2024, 4, 10, 12), 85, "ts")
+    return plain(store.read("registro"))
+
+
+@query("append_compacted", "select o_orderkey, o_orderpriority from orders")
+def append_compacted(t: Tables) -> DataFrame:
+    """Many small appends, put together on the way."""
+    store, source = Store(t.spark, f"{shared_folder(t.spark)}/small-{uuid4().hex}"), t.orders.select("o_orderkey", "o_orderpriority")
+    for i in range(8):
+        store.append("pedidos", source.filter(F.pmod("o_orderkey", F.lit(8)) == i), watch=[Watch("o_orderkey")])
+        if i % 3 == 2:
+            store.compact("pedidos", 1 << 40)
+    return plain(store.read("pedidos"))
+
+
 def signed_moves(t: Tables) -> DataFrame:
     value = money("value")
     return t.events.select(
