@@ -88,22 +88,26 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     spread = sown(own.select(*keys, token_hashes(F.col("text")).alias("tokens")), keys, "tokens")
     met = spread.join(F.broadcast(planted) if small else planted, "seed")
-    # Alignments of a text, each once; their number is bounded by the text's own length.
+    # A row per alignment, so that nothing grows with the alignments of one text or the texts of one item.
     aligned = common.settle(
-        met.groupBy(*keys, "item_key", (F.col("i") - F.col("j")).alias("shift")).agg(F.lit(1).alias("_one"))
-        .groupBy(*keys).agg(F.collect_list(F.struct("item_key", "shift")).alias("found")), "alignments")
-    # A text is read again only where something was met.
-    few = (aligned.agg(F.sum(F.size("found"))).first()[0] or 0) <= BROADCAST_SEEDS // 4
-    right = aligned.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
+        met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "item_key", (F.col("i") - F.col("j")).alias("shift")).distinct(),
+        "alignments")
+    few = aligned.count() <= BROADCAST_SEEDS // 4
+
+    def sent(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if few else rows
+
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    texts = own.join(F.broadcast(right) if few else right, same)
-    tokens = F.col("tokens")
-    windows = F.transform("found", lambda c: F.struct(
-        c["item_key"].alias("item_key"), c["shift"].alias("shift"),
-        F.slice(tokens, F.greatest(c["shift"], F.lit(0)) + 1, F.lit(longest)).alias("window")))
+    # A text is read again only where something was met, in chunks that reach an item's length beyond their end.
+    texts = own.join(sent(aligned.select("_id", "_hash").distinct()), same, "left_semi")
+    tokens = texts.select(*keys, token_hashes(F.col("text")).alias("tokens"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(CHUNK))
+    cut = F.transform(starts, lambda start: F.slice("tokens", start + 1, F.lit(CHUNK + longest)))
+    chunks = tokens.select(*keys, F.posexplode(cut).alias("number", "chunk"))
+    inside = F.greatest("shift", F.lit(0))
     placed = (
-        texts.select(*keys, token_hashes(F.col("text")).alias("tokens"), "found")
-        .select(*keys, F.inline(windows).alias("item_key", "shift", "window"))
+        chunks.join(sent(aligned), same & (F.col("number") == F.floor(inside / CHUNK)))
+        .select(*keys, "item_key", "shift", F.slice("chunk", inside % CHUNK + 1, F.lit(longest)).alias("window"))
         .join(F.broadcast(items) if small else items, "item_key"))
     scored = placed.select(*keys, "item_id", F.size("item").alias("n"), F.greatest("shift", F.lit(0)).alias("start"),
                            local_score(F.col("window"), F.col("item"), F.least(F.col("shift"), F.lit(0))).alias("score"))

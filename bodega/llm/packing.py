@@ -16,58 +16,103 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bodega.llm import common
 from bodega.llm.tokens import encoder
 
 CAPACITY = 4096
 END_ID = 1
-#: Patterns enumerated for the fit; a parameter of the solver's size, not of the data.
+#: Patterns enumerated for the fit, of each kind; a parameter of the solver's size, not of the data.
 PATTERNS = 8_000
 STEPS = 300
-#: Parts of the fitted counts that are tried; what is not used is packed as residual.
-SHARES = (1.0, 0.9, 0.75, 0.5)
+#: Parts of the fitted counts that are tried; what is not used is packed as residual, with the last part all of it.
+SHARES = (1.0, 0.9, 0.75, 0.5, 0.0)
+#: Price of a wasted place against a document that the fit misses.
+WASTE = 2.0
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def patterns(lengths: np.ndarray, capacity: int, limit: int = PATTERNS) -> np.ndarray:
-    """Up to `limit` patterns of one to three of the given lengths that fill a sequence to the last place.
+@dataclass(frozen=True)
+class Patterns:
+    """Patterns as rows: up to three lengths (0: none) and how often each occurs in a sequence."""
 
-    Rows of three lengths, 0 where a pattern has fewer. Pairs come first; triples are thinned evenly over all of them.
+    lengths: np.ndarray
+    times: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def waste(self, capacity: int) -> np.ndarray:
+        return capacity - (self.lengths * self.times).sum(axis=1)
+
+
+def thinned(rows: np.ndarray, limit: int) -> np.ndarray:
+    """At most `limit` rows, taken evenly."""
+    return rows[np.linspace(0, len(rows) - 1, min(limit, len(rows))).astype(int)] if len(rows) else rows
+
+
+def patterns(lengths: np.ndarray, capacity: int, limit: int = PATTERNS) -> Patterns:
+    """Patterns of the given lengths, at most `limit` of each kind: pairs, then triples, that fill a sequence to the last place; one
+    length with as many of another as fit and one that fills the rest, for short documents; and for every length as many of it as
+    fit with the longest that fits the rest, so that no length is without a pattern.
+
+    Where there are more than `limit` of a kind, they are taken evenly; what the fit then misses is packed as residual.
     """
     present = np.zeros(capacity + 1, bool)
     present[lengths] = True
-    out = [np.array([[capacity, 0, 0]])] if present[capacity] else []
+    largest = np.maximum.accumulate(np.where(present, np.arange(capacity + 1), 0))  # the longest of at most so many ids
+    rows = [np.array([[capacity, 1, 0, 0, 0, 0]])] if present[capacity] else []
+
     small = lengths[(lengths * 2 <= capacity) & present[capacity - lengths] & (lengths < capacity)]
-    out.append(np.stack([capacity - small, small, np.zeros_like(small)], axis=1))
-    room = max(0, limit - sum(map(len, out)))
-    triples = []
+    one, none = np.ones_like(small), np.zeros_like(small)
+    rows.append(thinned(np.stack([capacity - small, one, small, one, none, none], axis=1), limit))
+
+    triples = [np.zeros((0, 6), int)]
     for a in lengths[lengths * 3 <= capacity]:
         b = lengths[(lengths >= a) & (lengths * 2 <= capacity - a)]
         b = b[present[capacity - a - b]]
-        triples.append(np.stack([capacity - a - b, b, np.full_like(b, a)], axis=1))
-    if triples and room:
-        all3 = np.concatenate(triples)
-        out.append(all3[np.linspace(0, len(all3) - 1, min(room, len(all3))).astype(int)] if len(all3) else all3)
-    return np.concatenate(out) if out else np.zeros((0, 3), int)
-
-
-def fit_counts(pats: np.ndarray, histogram: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Repeat counts x >= 0 that minimise |A x - histogram|^2, by accelerated projected gradient steps.
+        one = np.ones_like(b)
+        triples.append(np.stack([capacity - a - b, one, b, one, np.full_like(b, a), one], axis=1))
+    rows.append(thinned(np.concatenate(triples), limit))
+
+    filled = [np.zeros((0, 6), int)]
+    for a in thinned(lengths[lengths * 2 <= capacity], max(1, limit // 16)):
+        b = lengths[lengths * 4 <= capacity - a]
+        many = np.where(b > 0, (capacity - a) // np.maximum(b, 1), 0)
+        many = many - (np.arange(len(b)) % 2)  # with the most that fit, or one less and a longer rest
+        rest = capacity - a - b * many
+        fits = present[rest] | (rest == 0)
+        b, many, rest = b[fits], many[fits], rest[fits]
+        one = np.ones_like(b)
+        filled.append(np.stack([np.full_like(b, a), one, b, many, rest, one * (rest > 0)], axis=1))
+    rows.append(thinned(np.concatenate(filled), limit))
+
+    many = capacity // lengths
+    rest = largest[capacity - many * lengths]
+    none = np.zeros_like(lengths)
+    rows.append(np.stack([lengths, many, rest, (rest > 0).astype(int), none, none], axis=1))
+    found = np.unique(np.concatenate(rows), axis=0)
+    return Patterns(found[:, ::2], found[:, 1::2])
+
+
+def fit_counts(pats: Patterns, histogram: np.ndarray, capacity: int = CAPACITY, steps: int = STEPS) -> np.ndarray:
+    """Repeat counts x >= 0 that minimise |A x - histogram|^2 / 2 and a price for wasted places, by accelerated projected gradient steps.
 
     A has a row per length and a column per pattern; it is used through the patterns' three lengths only.
     """
     if not len(pats):
         return np.zeros(0)
-    weight = (pats > 0).astype(float)
+    weight = (pats.times * (pats.lengths > 0)).astype(float)
 
     def times(x):
-        return np.bincount(pats.ravel(), (weight * x[:, None]).ravel(), len(histogram))
+        return np.bincount(pats.lengths.ravel(), (weight * x[:, None]).ravel(), len(histogram))
 
     def back(r):
-        return (r[pats] * weight).sum(axis=1)
+        return (r[pats.lengths] * weight).sum(axis=1)
 
+    price = WASTE * pats.waste(capacity) / capacity
     v = np.ones(len(pats))
     for _ in range(30):
         v = back(times(v))
@@ -77,7 +122,7 @@ def fit_counts(pats: np.ndarray, histogram: np.ndarray, steps: int = STEPS) -> n
     x = y = np.zeros(len(pats))
     t = 1.0
     for _ in range(steps):
-        new = np.maximum(0, y - step * back(times(y) - histogram))
+        new = np.maximum(0, y - step * (back(times(y) - histogram) + price))
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         y = new + (t - 1) / t_new * (new - x)
         x, t = new, t_new
@@ -118,9 +163,10 @@ class _Open:
         return room, first, count
 
 
-def make_plan(histogram: dict[int, int], capacity: int, share: float, pats: np.ndarray, fitted: np.ndarray) -> Plan:
+def make_plan(histogram: dict[int, int], capacity: int, share: float, pats: Patterns, fitted: np.ndarray) -> Plan:
     """The plan for one share of the fitted counts: patterns first, then best fit decreasing for the rest."""
     plan, left, used = Plan(capacity), dict(histogram), defaultdict(int)
+    gaps: list[tuple[int, int, int]] = []
 
     def place(length: int, count: int, first: int, per: int, offset: int) -> None:
         plan.rows.append((length, used[length], used[length] + count, first, per, offset))
@@ -131,17 +177,25 @@ def make_plan(histogram: dict[int, int], capacity: int, share: float, pats: np.n
         wanted = int(fitted[p] * share)
         if wanted < 1:
             break
-        own = [int(n) for n in pats[p] if n]
-        times = min(wanted, *(left[n] // own.count(n) for n in own))
+        own = [(int(n), int(k)) for n, k in zip(pats.lengths[p], pats.times[p], strict=True) if n and k]
+        needed: dict[int, int] = defaultdict(int)
+        for n, k in own:
+            needed[n] += k
+        times = min(wanted, *(left[n] // k for n, k in needed.items()))
         if times < 1:
             continue
         offset = 0
-        for n in own:
-            place(n, times, plan.sequences, 1, offset)
-            offset += n
+        for n, k in own:
+            place(n, times * k, plan.sequences, k, offset)
+            offset += n * k
+        # Places that the pattern leaves are open to the residuals.
+        if offset < capacity:
+            gaps.append((capacity - offset, plan.sequences, times))
         plan.sequences += times
 
     rest = _Open()
+    for room, first, count in gaps:
+        rest.put(room, first, count)
     for n in sorted(left, reverse=True):
         while left[n]:
             run = rest.take(n)
@@ -173,7 +227,7 @@ def best_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     for n, c in histogram.items():
         counts[n] = c
     pats = patterns(np.array(sorted(histogram)), capacity)
-    fitted = fit_counts(pats, counts)
+    fitted = fit_counts(pats, counts, capacity)
     least = -(-sum(n * c for n, c in histogram.items()) // capacity)
     best = None
     for share in SHARES:
@@ -190,22 +244,29 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     One row stays one row; rows of equal length are interchangeable. An empty table gives an empty table.
     """
-    spark = pieces.sparkSession
+    import pyarrow as pa
+
     histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = best_plan(histogram, capacity)
-    intervals = spark.createDataFrame(
-        plan.rows, "_length long, _first long, _last long, _sequence long, _per long, _offset long")
+    # Intervals in the order of length and first number: a row's is the last that starts at or before it. Their number depends on
+    # the lengths and patterns, not on the documents.
+    plan = np.array(sorted(best_plan(histogram, capacity).rows), np.int64).reshape(-1, 6)
+    held = pieces.sparkSession.sparkContext.broadcast(plan)
     order = [c for c in ("doc_id", "piece") if c in pieces.columns] or ["length"]
     numbered = common.number_within(pieces, ["length"], order, "_number")
-    within = F.col("_number") - F.col("_first")
-    return (
-        # A few rows for each of at most `capacity` lengths, whatever the number of documents.
-        numbered.join(F.broadcast(intervals), (F.col("length") == F.col("_length"))
-                      & (F.col("_number") >= F.col("_first")) & (F.col("_number") < F.col("_last")))
-        .withColumn("sequence_id", F.expr("_sequence + (_number - _first) div _per"))
-        .withColumn("offset", F.col("_offset") + within % F.col("_per") * F.col("length"))
-        .drop("_number", "_length", "_first", "_last", "_sequence", "_per", "_offset")
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length, first, _, sequence, per, offset = held.value.T
+        places = length * (1 << 48) + first
+        for batch in batches:
+            own, number = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("length", "_number"))
+            at = np.searchsorted(places, own * (1 << 48) + number, "right") - 1
+            inside = number - first[at]
+            kept = batch.drop_columns(["_number"])
+            yield pa.record_batch([*kept.columns, pa.array(sequence[at] + inside // per[at]), pa.array(offset[at] + inside % per[at] * own)],
+                                  names=[*kept.schema.names, "sequence_id", "offset"])
+
+    schema = T.StructType([f for f in numbered.schema if f.name != "_number"]).add("sequence_id", "long").add("offset", "long")
+    return numbered.mapInArrow(run, schema)
 
 
 def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:

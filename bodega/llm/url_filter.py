@@ -16,63 +16,98 @@ BUCKETS = 1024
 GRAMS = (2, 3, 4)
 REGULARISATION = 0.0003
 
-# The labelled table: (url, 1 to block). Invented addresses that show what either kind looks like.
+# The labelled table: (url, 1 to block). Invented addresses that show what either kind looks like; languages, numbers and endings
+# of paths are dealt alike to both, so that only names tell.
 LABELLED = """
-0 https://www.riverton.example.com/en/412
-0 https://blog.ashford.example.net/en/87?page=2
-0 http://therins.example.org/fr/305.html
-0 https://m.thenden.example.com/de/118/
-0 https://library.example.org/catalogue/item/5521
-0 https://docs.example.com/guide/install.html
-0 https://news.example.net/2021/05/city-council
-0 https://www.university.example.org/courses/history
-0 http://thertion.example.net/es/664#top
-0 https://blog.theres.example.com/en/575
-0 https://museum.example.org/exhibitions/current
-0 https://recipes.example.com/soup/lentil
-0 https://ththing.example.com/en/99/
-0 https://forum.example.net/t/garden-tools/1282
-0 https://weather.example.org/station/14
-0 http://blog.ththan.example.net/en/960
-0 https://m.therou.example.com/en/474.html
-0 https://journal.example.org/articles/1044/full
-0 https://ththble.example.net/es/797#top
-0 https://www.therti.example.org/en/334/
-0 https://blog.tionsh.example.net/de/612?utm_source=feed
-0 https://www.thered.example.net/de/40.html
-0 https://blog.ththan.example.net/en/369#top
-0 https://m.tionble.example.org/es/20/
-0 https://www.tiontion.example.com/fr/7?page=2&ref=x
-0 https://blog.therhe.example.net/es/533/
-0 https://therat.example.net/en/231#top
-0 http://ththre.example.com/es/77?utm_source=feed
-0 https://ththnt.example.org/en/8/
-1 https://spam-farm.example.org/en/728?utm_source=feed
-1 http://www.cheap-pills.example.com/en/450?page=2
-1 https://casino-bonus.example.net/win/888
-1 http://free-money-now.example.com/click/1
-1 https://best-casino.example.org/en/77
-1 https://cheap-loans.example.net/apply/fast
-1 http://pills-online.example.com/fr/12.html
-1 https://www.spam-farm.example.net/de/311#top
-1 https://hot-singles.example.com/chat/9
-1 http://replica-watches.example.org/sale/50
-1 https://blog.cheap-pills.example.net/es/204/
-1 https://link-farm.example.com/out/3312
-1 https://m.spam-farm.example.com/en/19
-1 http://xxx-videos.example.net/view/4
-1 https://crack-serials.example.org/keygen/download
-1 https://payday-cash.example.com/en/5
-1 https://win-prizes.example.net/claim?id=9
-1 http://adult-cams.example.com/live/2
-1 https://www.seo-links.example.org/buy/100
-1 https://cheap-pills.example.org/fr/91
-1 http://free-bets.example.net/odds/14
-1 https://www.free-bets.example.org/en/300
-1 https://adult-chat.example.net/en/6?page=2
-1 http://ads-server.example.com/en/81/
-1 https://m.click-track.example.org/fr/2.html
-1 http://m.adult-x.example.org/es/45.html
+0 http://www.riverton.example.com/fr/12
+0 https://ashford.example.com/en/734#top
+0 https://blog.library.example.net/de/6?page=2&ref=x
+0 http://m.docs.example.net/en/153/
+0 https://www.news.example.org/es/92?utm_source=feed
+0 https://university.example.org/fr/2096?page=2
+0 http://blog.museum.example.com/en/323.html
+0 https://m.recipes.example.com/de/19
+0 https://www.forum.example.net/en/741#top
+0 http://weather.example.net/es/13?page=2&ref=x
+0 https://blog.journal.example.org/fr/160/
+0 https://m.lorant.example.org/en/99?utm_source=feed
+0 http://www.shenwick.example.com/de/2103?page=2
+0 https://morthal.example.com/en/330.html
+0 https://blog.stennis.example.net/es/26
+0 http://m.bretton.example.net/fr/748#top
+0 https://www.hathenby.example.org/en/20?page=2&ref=x
+0 https://intore.example.org/de/167/
+0 http://blog.wesley.example.com/en/106?utm_source=feed
+0 https://m.carding.example.com/es/2110?page=2
+0 https://www.northam.example.net/fr/337.html
+0 http://oakworth.example.net/en/33
+0 https://blog.melrose.example.org/de/755#top
+0 https://m.tanner.example.org/en/27?page=2&ref=x
+0 http://www.bexhill.example.com/es/174/
+0 https://sandling.example.com/fr/113?utm_source=feed
+0 https://blog.corbridge.example.net/en/2117?page=2
+0 http://m.ellerton.example.net/de/344.html
+0 https://www.thornby.example.org/en/40
+0 https://tilsham.example.org/es/762#top
+0 http://blog.storth.example.com/fr/34?page=2&ref=x
+0 https://m.sharrow.example.com/en/181/
+0 https://www.tenbury.example.net/de/120?utm_source=feed
+0 http://thames.example.net/en/2124?page=2
+0 https://blog.theatre.example.org/es/351.html
+0 https://m.shelby.example.org/fr/47
+0 http://www.tithe.example.com/en/769#top
+0 https://tolson.example.com/de/41?page=2&ref=x
+0 https://blog.stonehouse.example.net/en/188/
+0 http://m.thistle.example.net/es/127?utm_source=feed
+0 https://www.throne.example.org/fr/2131?page=2
+0 https://tiller.example.org/en/358.html
+0 http://blog.sheringham.example.com/de/54
+0 https://m.station.example.com/en/776#top
+0 https://www.nations.example.net/es/48?page=2&ref=x
+0 http://thirsk.example.net/fr/195/
+0 https://blog.orchard.example.org/en/134?utm_source=feed
+0 https://m.hedger.example.org/de/2138?page=2
+0 http://www.thetford.example.com/en/365.html
+0 https://winter.example.com/es/61
+0 https://blog.dandelion.example.net/fr/783#top
+0 http://m.streatham.example.net/en/55?page=2&ref=x
+0 https://www.ander.example.org/de/202/
+0 https://ention.example.org/en/141?utm_source=feed
+0 http://blog.sthone.example.com/es/2145?page=2
+1 http://www.pill-store.example.com/fr/12
+1 https://casino-royal.example.com/en/734#top
+1 https://blog.money-fast.example.net/de/6?page=2&ref=x
+1 http://m.bet-casino.example.net/en/153/
+1 https://www.loans-quick.example.org/es/92?utm_source=feed
+1 https://online-pillshop.example.org/fr/2096?page=2
+1 http://blog.spam-links.example.com/en/323.html
+1 https://m.singles-hot.example.com/de/19
+1 https://www.watch-replica.example.net/en/741#top
+1 http://link-exchange.example.net/es/13?page=2&ref=x
+1 https://blog.xxx-clips.example.org/fr/160/
+1 https://m.serial-crack.example.org/en/99?utm_source=feed
+1 http://www.cash-payday.example.com/de/2103?page=2
+1 https://prize-wins.example.com/en/330.html
+1 https://blog.cams-live.example.net/es/26
+1 http://m.links-seo.example.net/fr/748#top
+1 https://www.bets-live.example.org/en/20?page=2&ref=x
+1 https://chat-hot.example.org/de/167/
+1 http://blog.ad-clicks.example.com/en/106?utm_source=feed
+1 https://m.farms-of-spam.example.com/es/2110?page=2
+1 https://www.freebet-casino.example.net/fr/337.html
+1 http://cheapest-pill.example.net/en/33
+1 https://blog.spammy-farm.example.org/de/755#top
+1 https://m.win-a-prize.example.org/en/27?page=2&ref=x
+1 http://www.bonus-bets.example.com/es/174/
+1 https://adults-x.example.com/fr/113?utm_source=feed
+1 https://blog.track-clicks.example.net/en/2117?page=2
+1 http://m.free-prizes.example.net/de/344.html
+1 https://www.adult-zone.example.net/es/88
+1 http://my-adults.example.com/en/301?page=2
+1 https://blog.pills-mart.example.net/en/41/
+1 https://m.cheap-meds.example.org/de/77#top
+1 http://m.xx-adult.example.net/fr/6.html
+1 https://pill-depot.example.com/en/509?utm_source=feed
 """
 
 #: (host, path, verdict); a rule fits its host and all subdomains where the path starts with the rule's.

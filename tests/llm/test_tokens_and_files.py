@@ -80,6 +80,29 @@ def test_plan_places_everything(lengths):
         assert plan.sequences <= -(-sum(lengths) // 4096) * 1.3 + 1
 
 
+MIXES = {
+    "log-normal": lambda r: r.lognormal(6, 0.8, 60_000), "short": lambda r: r.integers(50, 700, 60_000), "tiny": lambda r: r.integers(1, 60, 60_000),
+    "thirds": lambda r: r.integers(1000, 1900, 30_000), "halves": lambda r: r.integers(1500, 2600, 30_000),
+    "few lengths": lambda r: r.choice([900, 1100, 1300, 1500, 1700], 30_000),
+    "two kinds": lambda r: np.concatenate([r.integers(1200, 1400, 20_000), r.integers(2600, 2900, 12_000)]),
+}
+
+
+@pytest.mark.parametrize("name", MIXES)
+def test_patterns_serve_every_mix(name):
+    """No mix is without patterns, and the plan never needs more sequences than best fit decreasing alone."""
+    lengths, counts = np.unique(np.clip(MIXES[name](np.random.default_rng(0)).astype(int), 1, 4096), return_counts=True)
+    histogram = dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+    pats = packing.patterns(lengths, 4096)
+    assert set(pats.lengths[pats.times > 0].tolist()) == set(lengths.tolist())
+    assert (pats.waste(4096) >= 0).all()
+    alone = packing.make_plan(histogram, 4096, 0.0, pats, np.zeros(len(pats))).sequences
+    plan = packing.best_plan(histogram)
+    assert plan.sequences <= alone
+    if name in ("few lengths", "two kinds"):
+        assert plan.sequences < alone
+
+
 def test_files_round_trip(spark, tmp_path):
     got = token_files.encode_documents(cases.documents(spark), BYTE, str(tmp_path / "files")).collect()
     assert sorted(((r.doc_id is not None, r.doc_id or 0), r.n_tokens, r.ids_crc32) for r in got) == sorted(
