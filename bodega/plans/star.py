@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -95,6 +95,14 @@ OPEN = "_open"
 LAST_KEY = "last_key"
 
 
+def marked_keys(rows: DataFrame, own: str, others: Sequence[str]) -> DataFrame:
+    """Rows whose schema says, for the dictionary, which column is the key and which are keys of other tables."""
+    for name, mark in [(own, "pk"), *[(c, "fk") for c in others]]:
+        if name in rows.columns:
+            rows = rows.withMetadata(name, {**rows.schema[name].metadata, mark: 1})
+    return rows
+
+
 def split(versions: DataFrame) -> DataFrame:
     """Versions with the partition they are stored in."""
     return versions.withColumn(OPEN, q(VALID_TO) == open_end())
@@ -120,8 +128,12 @@ def load_dimension(d: Dimension, silver: Reader, gold: Store, run_ts: datetime)
     """
     staging, version = silver(d.staging), gold.version(d.target)
     apart = (OPEN,) if d.tracked else ()
+
+    def marked(rows: DataFrame) -> DataFrame:
+        return marked_keys(rows, d.key, [d.lookup.column] if d.lookup else [])
+
     if version is None:
-        rows = d.first(staging, gold.read, run_ts, cut_lineage)
+        rows = marked(d.first(staging, gold.read, run_ts, cut_lineage))
         return gold.replace(d.target, split(rows) if apart else rows, apart, notes=lambda n: {LAST_KEY: n})
     start = version.notes.get(LAST_KEY)
     start = next_start(gold.read(d.target), d.key) if start is None else start
@@ -131,7 +143,7 @@ def load_dimension(d: Dimension, silver: Reader, gold: Store, run_ts: datetime)
     parts = [p for p in version.parts if is_open(p)]
     dim = gold.read(d.target, parts)
     before = dim.count()
-    merged = d.merged(dim, staging, gold.read, run_ts, cut_lineage, start, ends=d.ends)
+    merged = marked(d.merged(dim, staging, gold.read, run_ts, cut_lineage, start, ends=d.ends))
     if version.partition_by != apart:  # stored whole by an earlier release, or by hand
         return gold.replace(d.target, split(merged), apart, notes=lambda n: {LAST_KEY: start + n - before}) - before
     own = {p.path for p in parts}
@@ -275,6 +287,7 @@ def load_fact(f: FactLoad, silver: Reader | Store, gold: Store, run_ts: datetime
     if keys and not isinstance(silver, Store) and f.by != "all":
         star.start = loaded()
     rows = f.build(star).withColumn(LINEAGE, F.lit(1)).withColumnRenamed(FACT_KEY, f.key)
+    rows = marked_keys(rows, f.key, [c for c in rows.columns if c.endswith(" Key") and c not in (f.key, LINEAGE)])
     if f.by == "all":
         return gold.replace(f.target, rows, watch=watch)
     if f.by != "once":

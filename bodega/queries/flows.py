@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bodega.operators.catalog import column_catalog, stored_tables
 from bodega.operators.control import ControlTables
 from bodega.operators.joins import resolve
 from bodega.plans import bank_gold, bank_silver, wholesale_gold, wholesale_silver
 from bodega.plans.entity import Sources, load_changes, run_clean_layer, spaced
 from bodega.plans.star import FactLoad, Star, load_dimension, load_fact, run_star_layer
-from bodega.queries.base import RUN_TS, Tables, plain, query
+from bodega.queries.base import REGISTRY, RUN_TS, Tables, plain, query
 from bodega.queries.raw import RAW, raw, raw_sql
 from bodega.session import cut_lineage, shared_folder
 from bodega.sources.buckets import colocated
@@ -229,7 +230,7 @@ class Again:
 
     `parts`: raw tables with the id at whose half they are cut, by sub-type (one sub-type is called main). `late` is a raw date column
     that is ten years later in the second half, for stagings loaded by date, with the staging's name for it. `until` cuts by that
-    date instead. `also` are other stagings that the fact reads.
+    date instead. `also` are other stagings that the fact reads. `ties` tell rows apart that the fact's own order does not.
     """
 
     staging: str
@@ -237,6 +238,7 @@ class Again:
     late: tuple[str, str] | None = None
     until: str | None = None
     also: tuple[str, ...] = ()
+    ties: tuple[str, ...] = ()
 
 
 def fact_second_load(name: str, load: FactLoad, flow, again: Again, body: str, named: Callable[[Flow, DataFrame], DataFrame]):
@@ -268,7 +270,7 @@ def fact_second_load(name: str, load: FactLoad, flow, again: Again, body: str, n
 
         first: set[str] = set()
         for lower in (True, False):
-            load_layer(f.loads, [again.staging, *again.also], source(lower), silver, {again.staging: load.identity})
+            load_layer(f.loads, [again.staging, *again.also], source(lower), silver, {again.staging: (*load.identity, *again.ties)})
             twice(silver, gold, f)
             first = first or paths(gold, load.target)
         return f, gold, first
@@ -281,7 +283,7 @@ def fact_second_load(name: str, load: FactLoad, flow, again: Again, body: str, n
         rows = by_load(gold, load.target, first) if load.by != "all" else gold.read(load.target)
         return plain(named(f, rows))
 
-    order = ", ".join(f's."{c}" nulls first' for c in load.identity)
+    order = ", ".join(f's."{c}" nulls first' for c in (*load.identity, *again.ties))
     source, numbered = SILVER[again.staging], f"row_number() over (order by {order})"
     if load.by == "all":
         batch, keyed, columns, condition = "1", numbered, "", ""
@@ -672,7 +674,9 @@ fact("gf_credit", bank_gold.FACTS["Fact.Credito"], bank, f"""select {dkey('Fecha
 
 fact("gf_instalment", bank_gold.FACTS["Fact.CuotaPrestamo"], bank, f"""select {dkey('Fecha Vencimiento', 'Fecha Vencimiento Key')}, {dkey('Fecha Pago', 'Fecha Pago Key')}, coalesce(h.k, 0) as "Cliente Key",
     {cols('Numero Contrato, Numero Cuota, Importe Cuota, Importe Capital, Importe Intereses, Importe Comisiones, Capital Pendiente, Importe Pagado, Estado Cuota, Dias Retraso, WWI Cuota ID')}
-    from ({SILVER['Cuota_Staging']}) s {_HOLDER}""", again=Again("Cuota_Staging", {"main": ("Credito.CuotasPrestamo", "CuotaPrestamoID")}, also=("Credito_Staging",)))
+    from ({SILVER['Cuota_Staging']}) s {_HOLDER}""", again=Again(
+        "Cuota_Staging", {"main": ("Credito.CuotasPrestamo", "CuotaPrestamoID")}, also=("Credito_Staging",),
+        ties=("Fecha Vencimiento", "Importe Cuota", "Importe Capital", "Importe Intereses", "Estado Cuota", "Dias Retraso")))
 
 fact("gf_transfer", bank_gold.FACTS["Fact.Transferencia"], bank, f"""select {dkey('Fecha Operacion', 'Fecha Operacion Key')}, {dkey('Fecha Valor', 'Fecha Valor Key')}, {_ACCOUNT_KEYS.format('Cuenta Origen Key')},
     {cols('Tipo Transferencia, Numero Operacion, Nombre Beneficiario, Pais Destino, Importe Transferencia, Comision Aplicada, Estado Transferencia, Canal Operacion, Es Pago Recurrente, Es SEPA, WWI Transferencia ID')}
@@ -820,17 +824,37 @@ wholesale_fact("wf_stock_holding", "Fact.Stock Holding", "StockHolding_Staging",
                Again("StockHolding_Staging", {"main": ("Warehouse.StockItemHoldings", "StockItemID")}))
 wholesale_fact("wf_movement", "Fact.Movement", "Movement_Staging", "Stock Item Key, Customer Key, Supplier Key, Transaction Type Key",
                "Date Key, WWI Stock Item Transaction ID, WWI Invoice ID, WWI Purchase Order ID, Quantity",
-               Again("Movement_Staging", {"main": ("Warehouse.StockItemTransactions", "StockItemTransactionID")}, ("TransactionOccurredWhen", "Date Key")))
+               Again("Movement_Staging", {"main": ("Warehouse.StockItemTransactions", "StockItemTransactionID")}, ("TransactionOccurredWhen", "Date Key"),
+                     ties=("Date Key", "WWI Stock Item ID", "WWI Customer ID", "WWI Supplier ID", "WWI Transaction Type ID", "Quantity")))
 wholesale_fact("wf_order", "Fact.Order", "Order_Staging", "Customer Key, Stock Item Key, Salesperson Key, Picker Key", """Order Date Key, Picked Date Key, WWI Order ID,
     WWI Backorder ID, Description, Package, Quantity, Unit Price, Tax Rate, Total Excluding Tax, Tax Amount, Total Including Tax""",
-               Again("Order_Staging", {"main": ("Sales.Orders", "OrderID")}, ("OrderDate", "Order Date Key")), ', 0 as "City Key"')
+               Again("Order_Staging", {"main": ("Sales.Orders", "OrderID")}, ("OrderDate", "Order Date Key"),
+                     ties=("Package", "Tax Rate")), ', 0 as "City Key"')
 wholesale_fact("wf_purchase", "Fact.Purchase", "Purchase_Staging", "Supplier Key, Stock Item Key",
                "Date Key, WWI Purchase Order ID, Ordered Outers, Ordered Quantity, Received Outers, Package, Is Order Finalized",
-               Again("Purchase_Staging", {"main": ("Purchasing.PurchaseOrders", "PurchaseOrderID")}, ("OrderDate", "Date Key")))
+               Again("Purchase_Staging", {"main": ("Purchasing.PurchaseOrders", "PurchaseOrderID")}, ("OrderDate", "Date Key"), ties=("Package",)))
 wholesale_fact("wf_sale", "Fact.Sale", "Sale_Staging", "Customer Key, Bill To Customer Key, Stock Item Key, Salesperson Key", """Invoice Date Key, Delivery Date Key, WWI Invoice ID,
     Description, Package, Quantity, Unit Price, Tax Rate, Total Excluding Tax, Tax Amount, Profit, Total Including Tax, Total Dry Items, Total Chiller Items""",
-               Again("Sale_Staging", {"main": ("Sales.Invoices", "InvoiceID")}, ("InvoiceDate", "Invoice Date Key")), ', 0 as "City Key"')
+               Again("Sale_Staging", {"main": ("Sales.Invoices", "InvoiceID")}, ("InvoiceDate", "Invoice Date Key"),
+                     ties=("Package", "Tax Rate", "Profit")), ', 0 as "City Key"')
 wholesale_fact("wf_transaction", "Fact.Transaction", "Transaction_Staging", "Customer Key, Supplier Key, Transaction Type Key, Payment Method Key", """Date Key, WWI Customer Transaction ID,
     WWI Supplier Transaction ID, WWI Invoice ID, WWI Purchase Order ID, Total Excluding Tax, Tax Amount, Total Including Tax, Outstanding Balance, Is Finalized""",
     Again("Transaction_Staging", {"customer": ("Sales.CustomerTransactions", ""), "supplier": ("Purchasing.SupplierTransactions", "")}, ("TransactionDate", "Date Key"), "1995-06-17"),
     ', 0 as "Bill To Customer Key", cast(null as varchar) as "Supplier Invoice Number"')
+
+
+_HOLDING = wholesale_gold.FACTS["Fact.Stock Holding"]
+
+
+@query("catalog_keys", f"""select 'Dimension' as schema_name, 'Stock Item' as table_name, column_name, cast(column_name = 'Stock Item Key' as integer) as es_pk, 0 as es_fk from (describe {DIMS['Dimension.Stock Item']})
+    union all select 'Fact', 'Stock Holding', column_name, 0, cast(column_name = 'Stock Item Key' as integer) from (describe {REGISTRY['wf_stock_holding'].oracle})
+    union all select 'Fact', 'Stock Holding', 'Stock Holding Key', 1, 0 union all select 'Fact', 'Stock Holding', 'Lineage Key', 0, 0""")
+def catalog_keys(t: Tables) -> DataFrame:
+    """The dictionary of a loaded star: its own keys and those of other tables, as the loads have marked them."""
+    silver, gold = stores(t)
+    load_layer(wholesale_silver.LOADS, ["StockItem_Staging", "StockHolding_Staging"], raw(t), silver)
+    load_dimension(wholesale_gold.DIMENSIONS["Dimension.Stock Item"], silver.read, gold, NOW)
+    load_fact(_HOLDING, silver, gold, NOW)
+    names = {n: tuple(n.split(".")) for n in ("Dimension.Stock Item", "Fact.Stock Holding")}
+    columns = column_catalog(t.spark, stored_tables(gold, "Gold", "almacen", names))
+    return plain(columns.filter("data_type <> 'binary'").select("schema_name", "table_name", "column_name", "es_pk", "es_fk"))

@@ -187,3 +187,15 @@ def test_quality_run_end_to_end(spark, store):
         run.run(entries[:1], datetime(2024, 6, day))
     assert sorted(r["fecha_ejecucion"].day for r in run.results().collect()) == [2, 3, 4]
     assert store.read(RUNS).filter("Correcto").count() == 5
+
+
+@pytest.mark.parametrize("name", ["lineitem", "documents", "people", "pages", "customer", "conversations"])
+def test_the_profile_of_texts_compiles(spark, tables, name):
+    """Generated code that does not compile ends the query here instead of falling back."""
+    from bodega.queries.base import REGISTRY
+
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert REGISTRY[f"dq_profile_{name}"].run(tables).count() > 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
