@@ -74,40 +74,66 @@ LABELLED = """
 0 https://www.ander.example.org/de/202/
 0 https://ention.example.org/en/141?utm_source=feed
 0 http://blog.sthone.example.com/es/2145?page=2
-1 http://www.pill-store.example.com/fr/12
-1 https://casino-royal.example.com/en/734#top
-1 https://blog.money-fast.example.net/de/6?page=2&ref=x
-1 http://m.bet-casino.example.net/en/153/
-1 https://www.loans-quick.example.org/es/92?utm_source=feed
-1 https://online-pillshop.example.org/fr/2096?page=2
-1 http://blog.spam-links.example.com/en/323.html
-1 https://m.singles-hot.example.com/de/19
-1 https://www.watch-replica.example.net/en/741#top
-1 http://link-exchange.example.net/es/13?page=2&ref=x
-1 https://blog.xxx-clips.example.org/fr/160/
-1 https://m.serial-crack.example.org/en/99?utm_source=feed
-1 http://www.cash-payday.example.com/de/2103?page=2
-1 https://prize-wins.example.com/en/330.html
-1 https://blog.cams-live.example.net/es/26
-1 http://m.links-seo.example.net/fr/748#top
-1 https://www.bets-live.example.org/en/20?page=2&ref=x
-1 https://chat-hot.example.org/de/167/
-1 http://blog.ad-clicks.example.com/en/106?utm_source=feed
-1 https://m.farms-of-spam.example.com/es/2110?page=2
-1 https://www.freebet-casino.example.net/fr/337.html
-1 http://cheapest-pill.example.net/en/33
-1 https://blog.spammy-farm.example.org/de/755#top
-1 https://m.win-a-prize.example.org/en/27?page=2&ref=x
-1 http://www.bonus-bets.example.com/es/174/
-1 https://adults-x.example.com/fr/113?utm_source=feed
-1 https://blog.track-clicks.example.net/en/2117?page=2
-1 http://m.free-prizes.example.net/de/344.html
-1 https://www.adult-zone.example.net/es/88
-1 http://my-adults.example.com/en/301?page=2
-1 https://blog.pills-mart.example.net/en/41/
-1 https://m.cheap-meds.example.org/de/77#top
-1 http://m.xx-adult.example.net/fr/6.html
-1 https://pill-depot.example.com/en/509?utm_source=feed
+1 http://www.pills-money.example.com/fr/12
+1 https://casino-loan.example.com/en/734#top
+1 https://blog.bets-adult.example.net/de/6?page=2&ref=x
+1 http://m.spam-xxx.example.net/en/153/
+1 https://www.cheap-cams.example.org/es/92?utm_source=feed
+1 https://free-prize.example.org/fr/2096?page=2
+1 http://blog.win-links.example.com/en/323.html
+1 https://m.money-seo.example.com/de/19
+1 https://www.loan-replica.example.net/en/741#top
+1 http://adult-watches.example.net/es/13?page=2&ref=x
+1 https://blog.xxx-payday.example.org/fr/160/
+1 https://m.cams-cash.example.org/en/99?utm_source=feed
+1 http://www.prize-hot.example.com/de/2103?page=2
+1 https://links-singles.example.com/en/330.html
+1 https://blog.seo-crack.example.net/es/26
+1 http://m.replica-serials.example.net/fr/748#top
+1 https://www.watches-track.example.org/en/20?page=2&ref=x
+1 https://payday-clicks.example.org/de/167/
+1 http://blog.cash-ads.example.com/en/106?utm_source=feed
+1 https://m.hot-bonus.example.com/es/2110?page=2
+1 https://www.singles-farm.example.net/fr/337.html
+1 http://crack-pill.example.net/en/33
+1 https://blog.serials-bet.example.org/de/755#top
+1 https://m.track-pills.example.org/en/27?page=2&ref=x
+1 http://www.clicks-casino.example.com/es/174/
+1 https://ads-bets.example.com/fr/113?utm_source=feed
+1 https://blog.bonus-spam.example.net/en/2117?page=2
+1 http://m.farm-cheap.example.net/de/344.html
+1 https://www.pill-free.example.org/en/40
+1 https://bet-win.example.org/es/762#top
+1 http://blog.pills-cams.example.com/fr/34?page=2&ref=x
+1 https://m.casino-prize.example.com/en/181/
+1 https://www.bets-links.example.net/de/120?utm_source=feed
+1 http://spam-seo.example.net/en/2124?page=2
+1 https://blog.cheap-replica.example.org/es/351.html
+1 https://m.free-watches.example.org/fr/47
+1 http://www.win-payday.example.com/en/769#top
+1 https://money-cash.example.com/de/41?page=2&ref=x
+1 https://blog.loan-hot.example.net/en/188/
+1 http://m.adult-singles.example.net/es/127?utm_source=feed
+1 https://www.xxx-crack.example.org/fr/2131?page=2
+1 https://cams-serials.example.org/en/358.html
+1 http://blog.prize-track.example.com/de/54
+1 https://m.links-clicks.example.com/en/776#top
+1 https://www.seo-ads.example.net/es/48?page=2&ref=x
+1 http://replica-bonus.example.net/fr/195/
+1 https://blog.watches-farm.example.org/en/134?utm_source=feed
+1 https://m.payday-pill.example.org/de/2138?page=2
+1 http://www.cash-bet.example.com/en/365.html
+1 https://hot-pills.example.com/es/61
+1 https://blog.singles-casino.example.net/fr/783#top
+1 http://m.crack-bets.example.net/en/55?page=2&ref=x
+1 https://www.serials-spam.example.org/de/202/
+1 https://track-cheap.example.org/en/141?utm_source=feed
+1 http://blog.clicks-free.example.com/es/2145?page=2
+1 https://m.ads-win.example.com/fr/372.html
+1 https://www.bonus-money.example.net/en/68
+1 http://farm-loan.example.net/de/790#top
+1 https://blog.pill-adult.example.org/en/62?page=2&ref=x
+1 https://m.bet-xxx.example.org/es/209/
 """
 
 #: (host, path, verdict); a rule fits its host and all subdomains where the path starts with the rule's.

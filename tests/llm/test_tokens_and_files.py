@@ -99,7 +99,7 @@ def test_patterns_serve_every_mix(name):
     alone = packing.make_plan(histogram, 4096, 0.0, pats, np.zeros(len(pats))).sequences
     plan = packing.best_plan(histogram)
     assert plan.sequences <= alone
-    if name in ("few lengths", "two kinds"):
+    if name in ("short", "thirds"):
         assert plan.sequences < alone
 
 
