@@ -4,9 +4,9 @@ Both tokenizers cut the same bytes. The tokens of A and B are sorted together by
 their ends tells where a group ends: at a start that reaches it, no token of either goes across. Within a group every A
 token is linked with every B token. An id pair counts once for each document that holds it linked.
 
-Neither tokenizer merges across the place where white space follows something else, so texts are cut there into units, and
-each distinct unit is tokenized and aligned once per worker, many new ones in one call, as one text. Texts in which that does not
-hold are one unit. Documents go on
+Neither tokenizer merges across the place where white space follows something else, or an ASCII mark a Latin letter, so texts are
+cut there into units, and each distinct unit is tokenized and aligned once per worker, many new ones in one call, as one text; of a
+full table the units used most stay. Texts in which that does not hold are one unit. Documents go on
 in chunks of some million characters: a chunk's distinct pairs are counted over the corpus and the counts brought back to the chunk,
 so that a frequent pair travels once a chunk, not once a document.
 """
@@ -23,22 +23,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bodega.llm import common
-from bodega.llm.tokens import Encoder
+from bodega.llm.tokens import LETTERS, Encoder
 
 #: Characters of a chunk's texts; a longer text is a chunk of its own.
 CHUNK = 2_000_000
-#: Units, and characters of units, that a worker keeps; it starts afresh beyond that.
+#: Units, and characters of units, that a worker keeps. Beyond so many units the half used most stays, beyond so many characters none.
 KEPT_UNITS, KEPT_CHARACTERS = 250_000, 32_000_000
 #: So many new units are tokenized and aligned at once.
 NEW_UNITS = 20_000
-#: Stands before new units that are tokenized as one text.
+#: Stands before new units that are tokenized as one text, and before each of them that starts with a mark.
 AHEAD = " x"
 
 UNITS = re.compile(r"\s*\S+|\s+")
+MARKS = r"!-/:-@\[-`{-~"
+#: Units that also end where a mark follows a letter; the last match is empty.
+SHORT_UNITS = re.compile(rf"\s*+[^\s{LETTERS}]*+(?:[{LETTERS}]++(?:[^\s{LETTERS}{MARKS}][^\s{LETTERS}]*+)?+)*+")
 #: A text with one of these is one unit: white space to one side only, or part of what the piece model joins to a word.
 WHOLE = re.compile("[\r\x1c-\x1f▁\x00]")
 #: A piece that would join a unit's end to the white space after it.
 JOINS = re.compile("[^\\s▁]▁|\\S[^\\S\r]")
+#: A piece that would join a letter to the mark after it.
+JOINS_MARKS = re.compile(f"[{LETTERS}][{MARKS}]")
 SPACE = "▁"
 
 TOTALS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -71,6 +76,9 @@ class Pieces:
         self.bytes_of = {i: bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)}
         self.space = self.model.piece_to_id(SPACE)
         self.cuts = not any(JOINS.search(p) for p in names)
+        # Control pieces and the unknown one never stand for characters of a text.
+        self.cuts_marks = not any(
+            JOINS_MARKS.search(p) for i, p in enumerate(names) if not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i)))
 
     def whole(self, text: str) -> list[int]:
         """Of a text with a space before it, which the model puts there itself; other white space in front gets one more."""
@@ -108,6 +116,7 @@ class Aligner:
         self.text: list[str] = []
         self.good: np.ndarray = np.zeros(0, bool)
         self.totals = np.zeros((0, 4), np.int64)
+        self.used = np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -115,50 +124,81 @@ class Aligner:
         """A text with a space before it, cut; a tuple is a text that is not cut."""
         if not self.cuts or WHOLE.search(text):
             return [(" " + text,)]
-        return UNITS.findall(" " + text)
+        return SHORT_UNITS.findall(" " + text)[:-1] if self.b.cuts_marks else UNITS.findall(" " + text)
+
+    def keep_most_used(self, n: int) -> None:
+        """Keep the n units with the most uses, older uses counting half; their numbers change."""
+        if n >= len(self.used):
+            return
+        at = np.sort(np.argpartition(self.used, len(self.used) - n)[len(self.used) - n:])
+        keys = list(self.number)
+        self.number = {keys[i]: k for k, i in enumerate(at.tolist())}
+        self.characters = sum(len(k) if isinstance(k, str) else len(k[0]) for k in self.number)
+        self.text = [self.text[i] for i in at.tolist()]
+        places, sizes = self._places(at)
+        self.pairs, self.times = self.pairs[places], self.times[places]
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.good, self.totals, self.used = self.good[at], self.totals[at], self.used[at] // 2
 
     def learn(self, units: set) -> None:
         """Number the units that are new."""
-        if len(self.number) + len(units) > KEPT_UNITS or self.characters > KEPT_CHARACTERS:
+        new = units.difference(self.number)
+        if self.characters > KEPT_CHARACTERS:
             self.clear()
-        new = [u for u in units if u not in self.number]
+            new = units
+        elif len(self.number) + len(new) > KEPT_UNITS:
+            self.keep_most_used(KEPT_UNITS // 2)
+            new = units.difference(self.number)
+        new = list(new)
         for at in range(0, len(new), NEW_UNITS):
             some = new[at:at + NEW_UNITS]
             # Units that end in white space, and texts that are not cut, are tokenized alone.
             plain = [u for u in some if isinstance(u, str) and not u[-1].isspace()]
             alone = [u for u in some if not isinstance(u, str) or u[-1].isspace()]
+            # Those that start with a mark come last.
+            plain = [u for u in plain if u[0].isspace()] + [u for u in plain if not u[0].isspace()]
             joined = self._together(plain) if plain else None
             if joined is not None:
                 self._add(plain, *joined)
-            else:
-                alone = some
+            elif plain:
+                self._add(plain, *self._alone(plain))
             if alone:
                 self._add(alone, *self._alone([u if isinstance(u, str) else u[0] for u in alone]))
 
     def _together(self, units: list[str]) -> tuple[np.ndarray, ...] | None:
         """(good, unit and id of A's tokens, unit and id of B's) of units read as one text; none if a token is not within a unit."""
-        sizes = np.array([len(AHEAD), *[len(u.encode()) for u in units]])
-        ends, text = np.cumsum(sizes), AHEAD + "".join(units)
-        raw, out = text.encode(), []
+        spaced = sum(u[0].isspace() for u in units)
+        parts = [AHEAD, *units[:spaced], *[p for u in units[spaced:] for p in (AHEAD, u)]]
+        # Which unit a part is; -1: what stands before one.
+        owner = np.full(len(parts), -1)
+        owner[1:spaced + 1] = np.arange(spaced)
+        owner[spaced + 2::2] = np.arange(spaced, len(units))
+        text = "".join(parts)
+        ends, raw, out = np.cumsum([len(p.encode()) for p in parts]), text.encode(), []
         for ids, table, size in ((self.a.tokenizer.encode(text, add_special_tokens=False).ids, self.bytes_a, self.size_a),
                                  (self.b.whole(text), self.bytes_b, self.size_b)):
             if b"".join(map(table.__getitem__, ids)) != raw:
                 return None
             ids = np.array(ids, np.int64)
             stop = np.cumsum(size[ids])
-            unit = np.searchsorted(ends, stop - size[ids], "right")
-            if (stop > ends[unit]).any():
+            part = np.searchsorted(ends, stop - size[ids], "right")
+            if (stop > ends[part]).any():
                 return None
-            own = unit > 0
-            out += [unit[own] - 1, ids[own]]
+            unit = owner[part]
+            own = unit >= 0
+            out += [unit[own], ids[own]]
         return np.ones(len(units), bool), *out
 
     def _alone(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         good, out = np.zeros(len(texts), bool), [[], [], [], []]
         for i, t in enumerate(texts):
+            ahead = "" if t[0].isspace() else AHEAD
             raw = t.encode()
-            own = self.a.tokenizer.encode(t, add_special_tokens=False).ids, self.b.whole(t)
-            good[i] = all(b"".join(map(table.__getitem__, ids)) == raw for ids, table in zip(own, (self.bytes_a, self.bytes_b), strict=True))
+            own = [self.a.tokenizer.encode(ahead + t, add_special_tokens=False).ids, self.b.whole(ahead + t)]
+            tables = self.bytes_a, self.bytes_b
+            if ahead:
+                own = [after(ids, table, len(AHEAD)) for ids, table in zip(own, tables, strict=True)]
+            good[i] = all(b"".join(map(table.__getitem__, ids)) == raw for ids, table in zip(own, tables, strict=True))
             if good[i]:
                 for k, ids in enumerate(own):
                     out[2 * k] += [i] * len(ids)
@@ -183,6 +223,7 @@ class Aligner:
         counts = [np.bincount(x, minlength=n) for x in (unit_a, unit_b, unit)]
         self.totals = np.concatenate([self.totals, np.stack([*counts, n_links], axis=1)])
         self.good = np.concatenate([self.good, good])
+        self.used = np.concatenate([self.used, np.zeros(n, np.int64)])
 
         # Distinct ids of a group with their numbers, then every A id with every B id.
         (ga, ia, ta), (gb, ib, tb) = distinct(group_a, a), distinct(group_b, b)
@@ -214,19 +255,33 @@ class Aligner:
             out[u] = text
         return out
 
+    def _places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the units' pairs stand, unit after unit, and how many each has."""
+        sizes = self.first[numbers + 1] - self.first[numbers]
+        return np.repeat(self.first[numbers] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum()), sizes
+
     def document(self, units: list) -> tuple[np.ndarray, str, np.ndarray, np.ndarray] | None:
         """(totals, groups as text, distinct pairs, their links) of a text's learned units; none if bytes differ."""
         at = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
         if not self.good[at].all():
             return None
         own, times = np.unique(at, return_counts=True)
-        sizes = self.first[own + 1] - self.first[own]
-        places = np.repeat(self.first[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        self.used[own] += times
+        places, sizes = self._places(own)
         pairs, which = np.unique(self.pairs[places], return_inverse=True)
         links = np.bincount(which, self.times[places] * np.repeat(times, sizes), len(pairs)).astype(np.int64)
         return self.totals[at].sum(axis=0), ";".join([self.text[i] for i in at.tolist()]), pairs, links
 
 
+def after(ids: list[int], table: list[bytes], size: int) -> list[int]:
+    """The ids behind the first `size` bytes."""
+    at = 0
+    while size > 0 and at < len(ids):
+        size -= len(table[ids[at]])
+        at += 1
+    return ids[at:]
+
+
 def distinct(group: np.ndarray, key: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (group, key), sorted, with their number or weight."""
     if weight is None:
@@ -265,7 +320,7 @@ def chunks_of(batches: Iterator, chunk: int) -> Iterator[tuple[list, list[str]]]
 
 def documents_of(tool: Aligner, texts: list[str]) -> Iterator[tuple[np.ndarray, str, np.ndarray, np.ndarray] | None]:
     cut = [tool.units(t) if t else [] for t in texts]
-    tool.learn({u for units in cut for u in units})
+    tool.learn(set().union(*cut))
     for units in cut:
         yield tool.document(units) if units else None
 

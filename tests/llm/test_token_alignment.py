@@ -116,6 +116,39 @@ def test_a_worker_that_starts_afresh(spark, plain, monkeypatch):
         assert found[1] == text_of(plain(text))
 
 
+def test_units_end_before_marks():
+    tool = token_alignment.Aligner(BYTE, PIECE)
+    assert tool.units("the, the. don't x,y z!!  ") == [" the", ",", " the", ".", " don", "'t", " x", ",y", " z", "!!", "  "]
+    for text in ODD + [t for _, t in cases.rows() if t]:
+        assert "".join(u if isinstance(u, str) else u[0] for u in tool.units(text)) == " " + text
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_marks_after_letters(plain, monkeypatch, together):
+    tool = token_alignment.Aligner(BYTE, PIECE)
+    if not together:
+        monkeypatch.setattr(tool, "_together", lambda units: None)
+    rng = random.Random(12)
+    letters = list("aeé'stmd,.!-_1²ªß ") + ["'ll", "re", "ing", "\u0301", "<s>", "\n", "x.y"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
+    for text, found in zip(texts, token_alignment.documents_of(tool, texts), strict=True):
+        want = plain(text)
+        assert (found is None and want == []) or found[1] == text_of(want), repr(text)
+
+
+def test_the_most_used_units_stay(plain, monkeypatch):
+    monkeypatch.setattr(token_alignment, "KEPT_UNITS", 30)
+    tool, added = token_alignment.Aligner(BYTE, PIECE), Counter()
+    add = tool._add
+    monkeypatch.setattr(tool, "_add", lambda keys, *rest: (added.update(keys), add(keys, *rest)))
+    for i in range(20):
+        text = "one two, one two. " * 5 + " ".join(f"w{i}w{j}" for j in range(20))
+        (found,) = token_alignment.documents_of(tool, [text])
+        assert found[1] == text_of(plain(text))
+    assert [added[u] for u in (" one", " two", ",", ".")] == [1, 1, 1, 1]
+    assert len(tool.number) <= 45
+
+
 def test_coalesce():
     import numpy as np
 
