@@ -27,6 +27,8 @@ END_ID = 2
 #: Ids in a frame, the unit that a reader decompresses.
 FRAME_IDS = 65_536
 LEVEL = 3
+#: About so many bytes of texts are tokenized together.
+PART = 16_000_000
 MANIFEST = "file long, path string, n_docs long, n_ids long, n_bytes long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long, file long"
 
@@ -166,6 +168,18 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri) if ":" in uri else (fs.LocalFileSystem(), uri)
 
 
+def parts_of(batches: Iterator, size: int) -> Iterator:
+    """Batches (doc_id, text) in parts of about `size` bytes of text."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        edges = [0, *(np.flatnonzero(np.diff(total // size)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Tokenize, order by doc_id and write one file per task into `folder` (a new folder that all executors share).
 
@@ -186,9 +200,9 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
         own = f"{path}.{context.taskAttemptId()}"
         with files.open_output_stream(own, compression=None) as out:
             writer = Writer(out, 2 if max(enc.size, end_id + 1) <= 1 << 16 else 4)
-            for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    writer.add(doc_id, enc.encode(text.as_py()) + end)
+            for part in parts_of(batches, PART):
+                for doc_id, packed in zip(part.column(0).to_pylist(), enc.encode_all(part.column(1)), strict=True):
+                    writer.add(doc_id, packed + end)
             writer.close()
         if writer.docs:
             files.move(own, path)

@@ -1,7 +1,8 @@
 """Token ids of whole texts, as packed little-endian unsigned 32-bit numbers.
 
 Tokenizing costs most per distinct word, not per word. White space always separates what a tokenizer of the two
-kinds below merges, so a text is cut there into units, and each distinct unit is encoded once per worker. Units of
+kinds below merges, so a text is cut there into units, and each distinct unit is encoded once per worker, or once for
+many texts that are encoded together. Units of
 plain Latin characters are cut by the tokenizer's own pattern and given to its model; all others, and texts with a
 special token's string in them, go through the tokenizer whole. The ids equal
 ``Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids``.
@@ -13,6 +14,12 @@ import functools
 import json
 import os
 import re
+from typing import TYPE_CHECKING
+
+import numpy as np
+
+if TYPE_CHECKING:
+    import pyarrow as pa
 
 #: Entries of a worker's unit cache; it starts afresh beyond that.
 CACHE = 400_000
@@ -32,6 +39,9 @@ WORD_PIECES = re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 BYTE_PIECES = re.compile(
     f"{CONTRACTIONS}| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
 
+#: What most units are: letters, then marks that cannot start a contraction. Both are pieces.
+WORD_AND_MARKS = re.compile(rf"( ?[{LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
+
 
 def byte_characters() -> dict[int, str]:
     """The character by which byte-level vocabularies write each byte."""
@@ -76,6 +86,10 @@ class Encoder:
         return out
 
     def unit(self, unit: str) -> bytes:
+        if self.kind == "byte" and (found := WORD_AND_MARKS.fullmatch(unit)):
+            word, marks = found.groups()
+            ids = self.pieces.get(word) or self.piece(word)
+            return ids + (self.pieces.get(marks) or self.piece(marks)) if marks else ids
         if not SIMPLE.fullmatch(unit):
             return self.whole(unit)
         if self.kind == "word":
@@ -110,6 +124,35 @@ class Encoder:
         except TypeError:  # a unit whose end is open
             return self.joined(UNITS.findall(text), self.loose)
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """`encode` of each text, where each distinct unit of all texts is encoded once."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if self.kind != "byte":
+            return [self.encode(t) for t in texts.to_pylist()]
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        cut = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+        coded = cut.flatten().dictionary_encode()
+        which, edges = coded.indices.to_numpy(), cut.offsets.to_numpy()
+        edges = edges - edges[0]
+        units = coded.dictionary.to_pylist()
+        ids = list(map(self.unit, units))
+        ends_open = np.array([u != "" and u[-1].isspace() for u in units], bool)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        n = sizes[which]
+        stop = np.cumsum(n)
+        places = np.repeat(first[which] - stop + n, n) + np.arange(n.sum())
+        packed = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+        # Texts in which a unit's end is open, or that units cannot be told in, go one by one.
+        alone = np.diff(np.concatenate([[0], np.cumsum(ends_open[which])])[edges]) > 0
+        for s in ["\0", *self.special]:
+            alone |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        at = 4 * np.concatenate([[0], stop])[edges]
+        return [self.encode(texts[i].as_py()) if one else packed[a:b]
+                for i, (one, a, b) in enumerate(zip(alone.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True))]
+
 
 def kind_of(layout: dict) -> str:
     """Which of the two known ways of cutting a text into pieces the tokenizer's file states."""

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from bodega.llm import packing, token_files
+from bodega.llm import packing, token_files, tokens
 from bodega.llm.tokens import Encoder
 from tests.llm import cases
 
@@ -24,6 +24,41 @@ def test_unit_cache_gives_the_tokenizers_ids(path):
     assert encoder.encode(None) == encoder.encode("") == b""
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_texts_encoded_together_have_their_own_ids(path):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    parts = ["a", "the", "é", "1", " ", "  ", "\n", "\t", "'s", "'", "!", ",", "-", "\xa0", "\u0301", "日", "\0", "İ", "×", "<|endoftext|>", " of", "x" * 70]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000)] + [None, "", " "] + [t for _, t in cases.rows()]
+    encoder = Encoder(path)
+    want = [encoder.whole(t) if t else b"" for t in texts]
+    assert encoder.encode_all(pa.array(texts, pa.string())) == want
+    assert encoder.encode_all(pa.array([None, *texts], pa.string()).slice(1)) == want
+    assert encoder.encode_all(pa.array([], pa.string())) == []
+
+
+def test_a_unit_of_texts_encoded_together_is_encoded_once(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "CACHE", 2)
+    encoder, seen = Encoder(BYTE), []
+    unit = encoder.unit
+    monkeypatch.setattr(encoder, "unit", lambda u: (seen.append(u), unit(u))[1])
+    encoder.encode_all(pa.array([" one two, three four two,", "x one two, three"] * 50, pa.string()))
+    assert len(seen) == len(set(seen))
+
+
+def test_parts_of_batches_are_all_rows_in_order():
+    import pyarrow as pa
+
+    rows = [(i, t) for i, t in enumerate([None, "", "a" * 5, "b" * 50, "c", None, "d" * 9, "e" * 10, ""] * 4)]
+    batch = pa.record_batch([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows], pa.string())], names=["doc_id", "text"])
+    parts = list(token_files.parts_of(iter([batch, batch.slice(0, 0), batch.slice(3, 2)]), 10))
+    assert [r for p in parts for r in zip(*[c.to_pylist() for c in p.columns])] == rows + rows[3:5]
+    assert len(parts) > 8 and all(p.num_rows for p in parts)
+
+
 def ids_of(path, text, end):
     return Encoder(path).whole(text or "") + end.to_bytes(4, "little")
 
